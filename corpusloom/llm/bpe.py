@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.caches import TwoGenerations
-from corpusloom.llm.common import only, small_batches, tokenizer_path
+from corpusloom.llm.common import only, prepare, tokenizer_path
 
 #: White space as the tokenizers' patterns take \s, and their two split patterns.
 WHITE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
@@ -287,7 +287,7 @@ def round_trip(documents: DataFrame, path: str | None = None, id_col: str = "doc
     row; other columns are ignored.
     """
     path = path or tokenizer_path("word_bpe_49k.json")
-    small_batches(documents.sparkSession)
+    prepare(documents.sparkSession)
 
     @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
     def trip(texts: pd.Series) -> pd.DataFrame:
