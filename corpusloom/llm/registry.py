@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import bpe, packing, quality_classifier, quality_rules, token_files
+from corpusloom.llm import bpe, packing, pii, quality_classifier, quality_rules, secrets, token_files
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,10 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.classify(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(_read(spark, sf_dir, "documents"))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digest(_read(spark, sf_dir, "documents"))
 
@@ -33,7 +37,11 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
-QUERIES = (op1_bpe, op3_packing, op5_quality_classifier, op8_token_files, op9_quality_rules)
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(_read(spark, sf_dir, "documents"))
+
+
+QUERIES = (op1_bpe, op3_packing, op5_quality_classifier, op6_pii, op8_token_files, op9_quality_rules, op10_secrets)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
