@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import bpe, packing, pii, quality_classifier, quality_rules, secrets, token_files
+from corpusloom.llm import bpe, minhash, packing, pii, quality_classifier, quality_rules, secrets, token_files
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_read(spark, sf_dir, "documents"))
 
 
+def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.classes(_read(spark, sf_dir, "documents"))
+
+
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.classify(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
@@ -41,7 +45,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(_read(spark, sf_dir, "documents"))
 
 
-QUERIES = (op1_bpe, op3_packing, op5_quality_classifier, op6_pii, op8_token_files, op9_quality_rules, op10_secrets)
+QUERIES = (op1_bpe, op3_packing, op4_minhash, op5_quality_classifier, op6_pii, op8_token_files, op9_quality_rules, op10_secrets)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
