@@ -7,12 +7,16 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_schema
 
 from corpusloom.llm.common import discard, staged
 
 #: Rows up to which a side of a join is broadcast; beyond it Spark's shuffled join does the work.
 SMALL = 200_000
 
+#: Links as run_groups returns them.
+LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
 
 def small_or_shuffled(df: DataFrame, rows: int = SMALL) -> DataFrame:
     """``df``, thin and staged, marked for broadcast if a count shows that it is small."""
@@ -52,20 +56,23 @@ def _mark(edges: DataFrame) -> tuple:
     return tuple(row)
 
 
-def block_pairs(members: DataFrame, group: str, size: Column, member: Column, block: int) -> DataFrame:
-    """Members of each group dealt to tasks of at most about twice ``block`` rows, any two of a group in one at least.
+def block_pairs(members: DataFrame, size: Column, member: Column, block: int, alone: bool = False) -> DataFrame:
+    """Members of groups dealt to tasks of at most about twice ``block`` rows, any two of a group in one at least.
 
-    Adds the columns _i and _j. A group of up to ``block`` rows is one task; a
-    larger one is dealt to blocks by hash, with a task for each two of them.
+    Adds _b, the row's block, and _i and _j, the task's blocks. A group of up
+    to ``block`` rows is one task; a larger one is dealt to blocks by hash,
+    with a task for each two of them, and for each by itself if ``alone``.
     """
     blocks = F.greatest(F.ceil(size / F.lit(block)).cast("int"), F.lit(1))
     rows = members.withColumn("_g", blocks).withColumn("_b", F.pmod(F.xxhash64(member, F.lit(11)), F.col("_g")).cast("int"))
-    others = F.when(F.col("_g") == 1, F.array(F.lit(0))).otherwise(F.array_remove(F.sequence(F.lit(0), F.col("_g") - 1), F.col("_b")))
+    others = F.sequence(F.lit(0), F.col("_g") - 1)
+    if not alone:
+        others = F.when(F.col("_g") == 1, others).otherwise(F.array_remove(others, F.col("_b")))
     rows = rows.withColumn("_o", F.explode(others))
-    return rows.withColumn("_i", F.least("_b", "_o")).withColumn("_j", F.greatest("_b", "_o")).drop("_g", "_b", "_o")
+    return rows.withColumn("_i", F.least("_b", "_o")).withColumn("_j", F.greatest("_b", "_o")).drop("_g", "_o")
 
 
-def run_groups(rows: DataFrame, keys: list[str], work: Callable[[dict[str, list]], list[tuple]], schema: str, names: list[str]) -> DataFrame:
+def run_groups(rows: DataFrame, keys: list[str], work: Callable[[dict[str, list]], list[tuple]], schema: pa.Schema) -> DataFrame:
     """Apply ``work`` to the columns of each group, many groups in a task without a call for each.
 
     The rows of a group must fit into memory; see block_pairs.
@@ -92,15 +99,15 @@ def run_groups(rows: DataFrame, keys: list[str], work: Callable[[dict[str, list]
                     held[n] += values[start:end]
                 start = end
             while len(out) >= 8192:
-                yield _batch(out[:8192], names)
+                yield _batch(out[:8192], schema)
                 out = out[8192:]
         if held:
             out += work(held)
         if out:
-            yield _batch(out, names)
+            yield _batch(out, schema)
 
-    return dealt.mapInArrow(run, schema)
+    return dealt.mapInArrow(run, from_arrow_schema(schema))
 
 
-def _batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
-    return pa.record_batch({n: pa.array(c, pa.int64()) for n, c in zip(names, zip(*rows, strict=True), strict=True)})
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.record_batch([pa.array(c, f.type) for f, c in zip(schema, zip(*rows, strict=True), strict=True)], schema=schema)

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.caches import TwoGenerations
 from corpusloom.llm.common import only, prepare, staged
-from corpusloom.llm.components import block_pairs, components, run_groups, small_or_shuffled
+from corpusloom.llm.components import LINKS, block_pairs, components, run_groups, small_or_shuffled
 
 WORDS, THRESHOLD = 5, 0.8
 #: A pair at the threshold agrees in no band with a probability of (1 - 0.8^ROWS)^BANDS = 3e-5.
@@ -207,18 +207,18 @@ def classes(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     buckets = in_bands.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("lo"), F.max("rep").alias("hi"), F.bit_xor(F.xxhash64("rep")).alias("x"))
     buckets = buckets.filter("n > 1").groupBy("n", "lo", "hi", "x").agg(F.min("band").alias("band")).select("band", "n")
     members = in_bands.join(buckets, "band")
-    pairs = block_pairs(members, "band", F.col("n"), F.col("rep"), BLOCK).drop("n")
+    pairs = block_pairs(members, F.col("n"), F.col("rep"), BLOCK).drop("n")
     sketched = pairs.join(reps.select("rep", "sketch"), "rep")
-    near = run_groups(sketched, ["band", "_i", "_j"], sketch_forest, "a long, b long", ["a", "b"])
+    near = run_groups(sketched, ["band", "_i", "_j"], sketch_forest, LINKS)
 
     clusters = staged(components(near), "clusters").withColumnRenamed("node", "rep")
     sizes = clusters.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
-    dealt = block_pairs(clusters.join(sizes, "component"), "component", F.col("n"), F.col("rep"), TEXT_BLOCK).drop("n")
+    dealt = block_pairs(clusters.join(sizes, "component"), F.col("n"), F.col("rep"), TEXT_BLOCK).drop("n")
     wanted = small_or_shuffled(clusters.select(F.col("rep").alias("_id")))
     texts = only(documents, doc_id=id_col, text=text_col).join(wanted, F.col("doc_id") == F.col("_id"), "left_semi")
     texts = texts.dropDuplicates(["doc_id"]).withColumnRenamed("doc_id", "rep")
     full = dealt.join(texts.join(reps.select("rep", "sketch"), "rep"), "rep")
-    linked = run_groups(full.drop("h1"), ["component", "_i", "_j"], text_forest, "a long, b long", ["a", "b"])
+    linked = run_groups(full, ["component", "_i", "_j"], text_forest, LINKS)
 
     found = components(linked).withColumnRenamed("node", "rep").withColumnRenamed("component", "class_id")
     named = reps.select("h1", "h2", "rep").join(found, "rep", "left").select("h1", "h2", F.coalesce("class_id", "rep").alias("class_id"))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import bpe, minhash, packing, pii, quality_classifier, quality_rules, secrets, token_files
+from corpusloom.llm import bpe, minhash, nn_descent, packing, pii, quality_classifier, quality_rules, secrets, token_files
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +33,10 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(_read(spark, sf_dir, "documents"))
 
 
+def op7_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nn_descent.links(_read(spark, sf_dir, "embeddings"))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digest(_read(spark, sf_dir, "documents"))
 
@@ -45,7 +49,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(_read(spark, sf_dir, "documents"))
 
 
-QUERIES = (op1_bpe, op3_packing, op4_minhash, op5_quality_classifier, op6_pii, op8_token_files, op9_quality_rules, op10_secrets)
+QUERIES = (op1_bpe, op3_packing, op4_minhash, op5_quality_classifier, op6_pii, op7_nn_descent, op8_token_files, op9_quality_rules, op10_secrets)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
