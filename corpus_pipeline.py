@@ -1,5 +1,61 @@
-"""The corpus pipeline: documents in, packed training sequences out."""
+"""The corpus pipeline: documents in, packed training sequences out.
+
+Each stage takes (spark, docs, sf_dir) and works on all that the stage before
+it kept. All but the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+
+from corpusloom.llm import minhash, packing, quality_classifier, quality_rules, secrets
+from corpusloom.llm.common import staged
+
+
+def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fail the base rules or a risk-controlled cutoff go."""
+    return quality_rules.accepted(docs, _labels(spark, sf_dir))
+
+
+def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier takes for low quality go."""
+    return quality_classifier.accepted(docs, _labels(spark, sf_dir))
+
+
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near copies stays."""
+    return minhash.deduplicated(docs)
+
+
+def secret_scan_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets in the texts are replaced by a mask."""
+    return secrets.redacted(docs)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row for each piece of a document with its place in a sequence."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("quality_rules", quality_rules_stage),
+    ("quality_classifier", quality_classifier_stage),
+    ("near_dedup", near_dedup_stage),
+    ("secret_scan", secret_scan_stage),
+    ("packing", packing_stage),
+]
+
+#: The stages' learned cutoffs, signatures and packing can't be said in SQL; see tests/llm.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents of a data directory; each result is written and read again."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = staged(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

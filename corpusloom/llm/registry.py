@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import bpe, minhash, nn_descent, packing, pii, quality_classifier, quality_rules, secrets, token_files
+import corpus_pipeline
+from corpusloom.llm import bpe, html_pages, minhash, nn_descent, packing, pii, quality_classifier, quality_rules, secrets, token_files
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +18,10 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_read(spark, sf_dir, "documents"))
 
 
+def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_pages.extract(_read(spark, sf_dir, "pages"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_read(spark, sf_dir, "documents"))
 
@@ -49,11 +54,11 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(_read(spark, sf_dir, "documents"))
 
 
-QUERIES = (op1_bpe, op3_packing, op4_minhash, op5_quality_classifier, op6_pii, op7_nn_descent, op8_token_files, op9_quality_rules, op10_secrets)
+QUERIES = (op1_bpe, op2_html, op3_packing, op4_minhash, op5_quality_classifier, op6_pii, op7_nn_descent, op8_token_files, op9_quality_rules, op10_secrets)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {q.__name__: q for q in QUERIES}
+    return {q.__name__: q for q in QUERIES} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
