@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.plans import relational
+from corpusloom.plans import relational, structure
 
-MODULES = (relational,)
+MODULES = (relational, structure)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
