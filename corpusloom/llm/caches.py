@@ -29,3 +29,25 @@ class TwoGenerations:
             if new:
                 young.update(zip(new, self.make(new), strict=True))
         return young
+
+    def values(self, keys: list) -> list:
+        """The values of ``keys``, in their order, with one lookup for each key that is known."""
+        young = self.young
+        out = list(map(young.get, keys))
+        gaps = [i for i, v in enumerate(out) if v is None]
+        if gaps:
+            missing = {keys[i] for i in gaps}
+            if len(young) + len(missing) > self.size:
+                self.old, self.young = young, {}
+                young = self.young
+            new = []
+            for k in missing:
+                if (v := self.old.get(k)) is None:
+                    new.append(k)
+                else:
+                    young[k] = v
+            if new:
+                young.update(zip(new, self.make(new), strict=True))
+            for i in gaps:
+                out[i] = young[keys[i]]
+        return out
