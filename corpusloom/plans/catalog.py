@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.plans import relational, structure
+from corpusloom.plans import relational, structure, texts
 
-MODULES = (relational, structure)
+MODULES = (relational, structure, texts)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
