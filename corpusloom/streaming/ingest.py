@@ -17,13 +17,14 @@ def new_files(spark: SparkSession, folder: str, schema: T.StructType, form: str
 def event_counts(events: DataFrame, late: str = "10 minutes", length: str = "1 hour") -> DataFrame:
     """Events of each type and window; rows later than ``late`` are left out, which bounds the state."""
     windows = F.window("ts", length)
-    counted = events.withWatermark("ts", late).groupBy(windows.alias("w"), "event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"))
-    return counted.select(F.col("w.start").alias("start"), "event_type", "n", "total")
+    timed = events.withColumn("ts", F.col("ts").cast("timestamp"))  # watermarks need a time with zone
+    counted = timed.withWatermark("ts", late).groupBy(windows.alias("w"), "event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"))
+    return counted.select(F.col("w.start").cast("timestamp_ntz").alias("start"), "event_type", "n", "total")
 
 
 def distinct_events(events: DataFrame, key: str, late: str = "10 minutes") -> DataFrame:
     """Each event once, also if a source sends it again within the watermark."""
-    return events.withWatermark("ts", late).dropDuplicatesWithinWatermark([key])
+    return events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late).dropDuplicatesWithinWatermark([key])
 
 
 def replace_partitions(root: str, key: str, order: str, buckets: int = 64) -> Callable[[DataFrame, int], None]:
