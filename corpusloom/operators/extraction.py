@@ -51,14 +51,18 @@ def _body(heads: DataFrame, lines: DataFrame, start: str, end: str) -> DataFrame
     return joined.withColumn("body", F.trim(F.concat_ws(" ", F.when(F.col("tail") != "", F.col("tail")), "_rest"))).drop("_rest", "tail")
 
 
-def extract(captures: DataFrame, treaty: bool = False, policy: DataFrame | None = None, fifth_admitted: Column | None = None) -> Extracted:
+def extract(captures: DataFrame, treaty: bool = False, policy: DataFrame | None = None, fifth_admitted: Column | None = None, recover: bool = False) -> Extracted:
     """Relations from captures (doc, html).
 
+    With ``recover`` headers of looser shapes count too, where their own
+    terminator follows.
+
     ``policy`` has reviewed classes of source units that no unit takes: (doc,
     source_unit_id, kind, reason), kinds and reasons as in APPROVED.
     """
     lines = markup.line_stream(captures, "doc", "html").checkpoint()
-    events = grammar.classified(lines, treaty, fifth_admitted).checkpoint()
+    events = grammar.classified(lines, treaty, fifth_admitted)
+    events = (grammar.recovered(lines, events) if recover else events).checkpoint()
     source = lines.filter("event is not null").select("doc", "line", "event.*")
 
     heads = segmentation.tree_parent(events.filter("kind = 'H'")).select("doc", "line", "heading", "level", "text", "parent_line")
@@ -74,6 +78,9 @@ def extract(captures: DataFrame, treaty: bool = False, policy: DataFrame | None
     units = segmentation.units(events)
     found = units.filter("head_line is not null")
     first = events.filter("kind = 'A'").select("doc", F.col("line").alias("head_line"), "number", "ordinal_raw", trim(F.regexp_replace("text", unit, "")).alias("tail"))
+    if recover:
+        for shape in (grammar.RECOVERED_SUFFIXED, grammar.RECOVERED_OPEN):
+            first = first.withColumn("tail", trim(F.regexp_replace("tail", shape, "")))
     last = events.filter("kind = 'F'").select("doc", F.col("line").alias("end_line"), F.col("base").alias("_eb"), "suffix", F.col("text").alias("ficha_ref"))
     made = found.join(first, ["doc", "head_line"]).join(last, ["doc", "end_line"])
     made = _body(made, lines, "head_line", "end_line")
@@ -138,6 +145,24 @@ def reconcile(source: DataFrame, articles: DataFrame, provisions: DataFrame, lin
     return gaps, ledger
 
 
+def matched_policy(unbound: DataFrame, policy: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(classes, faults) of source events without unit against a reviewed policy, in order.
+
+    Both are numbered by their order in the document; at each place all of
+    caption, base, ficha, order, source unit and source lines must agree. Places that only one
+    side has, or where they differ, are faults; there are no classes then for
+    the document.
+    """
+    fields = ["source_unit_id", "caption", "base", "ficha", "order", "source_lines"]
+    w = Window.partitionBy("doc").orderBy("order")
+    a = unbound.select("doc", F.row_number().over(w).alias("place"), F.struct(*fields).alias("_a"))
+    b = policy.select("doc", F.row_number().over(w).alias("place"), F.struct(*fields).alias("_b"), "kind", "reason")
+    both = a.join(b, ["doc", "place"], "full_outer")
+    faults = both.filter(~F.col("_a").eqNullSafe(F.col("_b"))).select("doc", "place")
+    fine = both.filter(F.col("_a").eqNullSafe(F.col("_b"))).join(faults.select("doc").distinct(), "doc", "left_anti")
+    return fine.select("doc", F.col("_a.source_unit_id").alias("source_unit_id"), "kind", "reason"), faults
+
+
 def policy_faults(policy: DataFrame) -> DataFrame:
     """Policy rows with a kind and reason that isn't an approved pair."""
     return policy.filter(~F.struct("kind", "reason").isin(*[F.struct(F.lit(k), F.lit(r)) for k, r in APPROVED]))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.numbers import base, header_number
+from corpusloom.operators.segmentation import owned_candidates
 
 #: Ordinal words, and the patterns of headers, terminators and headings; (?iu) folds marked letters too.
 ORDINAL = (
@@ -64,6 +65,31 @@ def classified(lines: DataFrame, treaty: bool = False, fifth_admitted: Column |
     )
 
 
+#: Headers that count only where the document is known to need them and the next terminator is their own.
+RECOVERED_SUFFIXED = (
+    r"(?iu)^[ \t]*A[ \t]*R[ \t]*T[IÍ]CULOS?(?:[ \t]+|(?:\.[ \t]*)?)([0-9]+(?:[ \t]+(?:quinquies|sexies|septies)))"
+    r"(?:[ \t]*\.?[ \t]*[-—][ \t]*|[ \t]*\.[ \t]+|[ \t]*\.(?=[0-9A-Za-z\xC0-\xD6\xD8-\xF6\xF8-\xFF]))"
+)
+RECOVERED_OPEN = (
+    r"(?iu)^[ \t]*A[ \t]*R[ \t]*T[IÍ]CULOS?(?:[ \t]+|(?:\.[ \t]*)?)([0-9]+(?:[ \t]+(?:bis|ter|qu(?:a\u0301|\u00E1|a)ter|quinquies|sexies|septies))?)"
+    r"(?:[ \t\u00A0]*:[ \t\u00A0]*|[ \t\u00A0]+)(?=\p{L}|\p{N})"
+)
+
+
+def recovered(lines: DataFrame, events: DataFrame) -> DataFrame:
+    """Events with the headers that only looser shapes find, each proved by the terminator of its base that comes next.
+
+    A line that is an event already is no candidate.
+    """
+    shape = F.when(F.col("text").rlike(RECOVERED_SUFFIXED), F.regexp_extract("text", RECOVERED_SUFFIXED, 1)).when(F.col("text").rlike(RECOVERED_OPEN), F.regexp_extract("text", RECOVERED_OPEN, 1))
+    found = lines.select("doc", "line", "text", shape.alias("_n")).filter("_n is not null").join(events.select("doc", "line"), ["doc", "line"], "left_anti")
+    number = header_number(F.col("_n"))
+    found = found.select("doc", "line", "text", number["number"].alias("number"), number["ordinal_raw"].alias("ordinal_raw"), base(number["number"]).alias("base"))
+    own = owned_candidates(events, found).select("doc", "line")
+    made = found.join(own, ["doc", "line"], "left_semi").withColumn("kind", F.lit("A"))
+    return events.unionByName(made, allowMissingColumns=True)
+
+
 def adopted(number: Column, end_base: Column, end_suffix: Column) -> Column:
     """The number of a unit whose header lost the suffix that its terminator has."""
     lost = (number == end_base) & end_suffix.isNotNull()
