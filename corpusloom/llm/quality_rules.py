@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import only, prepare
+from corpusloom.llm.common import only, prepare, staged
 
 SPACE = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -163,7 +163,7 @@ def judge(documents: DataFrame, labels: DataFrame, risk: float = 0.01, delta: fl
     """
     prepare(documents.sparkSession)
     rows = only(documents, doc_id=id_col, text=text_col, stratum=stratum_col)
-    rows = rows.select("doc_id", F.col("stratum").cast("string").alias("stratum"), measure("text").alias("m"))
+    rows = staged(rows.select("doc_id", F.col("stratum").cast("string").alias("stratum"), measure("text").alias("m")), "measured")
     cutoffs = calibrate(rows, labels.select("doc_id", "quality"), risk, delta)
     m = F.col("m")
     kept = ~base_failed(m) & verdict(m, F.col("stratum"), cutoffs)
@@ -174,7 +174,7 @@ def judge(documents: DataFrame, labels: DataFrame, risk: float = 0.01, delta: fl
 def accepted(documents: DataFrame, labels: DataFrame, risk: float = 0.01, delta: float = 0.05) -> DataFrame:
     """The rows of ``documents`` that the rules keep, with their columns."""
     prepare(documents.sparkSession)
-    rows = documents.select(F.col("doc_id"), F.col("lang").cast("string").alias("stratum"), measure(F.col("text")).alias("m"))
+    rows = staged(documents.select(F.col("doc_id"), F.col("lang").cast("string").alias("stratum"), measure(F.col("text")).alias("m")), "measured")
     cutoffs = calibrate(rows, labels.select("doc_id", "quality"), risk, delta)
     judged = documents.withColumn("_m", measure(F.col("text")))
     m = F.col("_m")
