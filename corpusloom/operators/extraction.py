@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.text import descriptive_label, trim
 from corpusloom.operators import grammar, markup, segmentation
-from corpusloom.operators.integrity import contained_in
+from corpusloom.operators.integrity import contained_in, positional_differences
 
 #: What the gaps and the ledger's rows are called.
 EMITTED_ARTICLE, EMITTED_PROVISION, GAP, EXCLUSION = "emitted-article", "emitted-transitory", "known-gap", "reviewed-exclusion"
@@ -163,6 +163,11 @@ def matched_policy(unbound: DataFrame, policy: DataFrame) -> tuple[DataFrame, Da
     return fine.select("doc", F.col("_a.source_unit_id").alias("source_unit_id"), "kind", "reason"), faults
 
 
+def incomplete(source: DataFrame, ledger: DataFrame) -> DataFrame:
+    """Places at which the ledger isn't the source's events in order, each once."""
+    return positional_differences(source.select("doc", "order", F.col("unit").alias("source_unit_id"), "caption"), ledger, ["doc"], ["order"], ["source_unit_id", "caption"])
+
+
 def policy_faults(policy: DataFrame) -> DataFrame:
     """Policy rows with a kind and reason that isn't an approved pair."""
     return policy.filter(~F.struct("kind", "reason").isin(*[F.struct(F.lit(k), F.lit(r)) for k, r in APPROVED]))

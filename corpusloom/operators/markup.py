@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.functions.text import WHITE
+from corpusloom.functions.text import WHITE, caption_key
 
 #: Elements that end a line, elements that are dropped with all they hold, elements without end.
 LINE_TAGS = frozenset("p div h1 h2 h3 h4 h5 h6 li tr section article header footer blockquote pre".split())
@@ -51,6 +51,7 @@ class _Lines(HTMLParser):
         self.anchor: dict | None = None
         self.events: list[dict] = []
         self.faults: list[str] = []
+        self.links: list[dict] = []
         self.open: list[str] = []
 
     def handle_starttag(self, tag, attrs):
@@ -99,8 +100,11 @@ class _Lines(HTMLParser):
         if not CAPTION.fullmatch(caption):
             return
         onclick = (attrs.get("onclick") or "").strip()
+        href = (attrs.get("href") or "").strip()
+        if href:
+            self.links.append({"caption": caption, "href": href})
         if not onclick:
-            if not (attrs.get("href") or "").strip().lower().startswith("https://"):
+            if not href.lower().startswith("https://"):
                 self.faults.append("anchor-without-handler")
             return
         m = HANDLER.fullmatch(onclick)
@@ -118,36 +122,37 @@ _MARKED = re.compile(f"{MARK}([0-9]+){MARK}")
 _EDGES = "".join(c for c in map(chr, range(0x10000)) if c.isspace() and c not in "\x1c\x1d\x1e\x1f\x85") + "﻿"
 
 
-def lines_of(html: str) -> tuple[list[tuple[str, dict | None]], list[str]]:
-    """The lines of a payload with the source event that each carries, and the faults found."""
-    out, faults, number = [], [], 0
+def lines_of(html: str) -> tuple[list[tuple[str, dict | None]], list[str], list[dict]]:
+    """The lines of a payload with the source event that each carries, the faults found, and the links of captions."""
+    out, faults, links, number = [], [], [], 0
     for piece in fragments(html):
         p = _Lines()
         p.feed(re.sub(r"(?i)</?(?:html|body)[^>]*>", "", piece))
         p.close()
         faults += p.faults
+        links += p.links
         for raw in "".join(p.parts).split("\n"):
             marks = [int(x) for x in _MARKED.findall(raw)]
             text = _COLLAPSE.sub(" ", _MARKED.sub("", raw)).strip(_EDGES)
             if text:
                 out.append((text, p.events[marks[0]] | {"order": number + marks[0]} if marks else None))
         number += len(p.events)
-    return out, faults
+    return out, faults, links
 
 
 _LINE = pa.struct([("text", pa.string()), ("caption", pa.string()), *[(x, pa.int64()) for x in ("order", "base", "ficha", "version", "unit")], ("kind", pa.string())])
-_ARROW = pa.struct([("lines", pa.list_(_LINE)), ("faults", pa.list_(pa.string()))])
+_ARROW = pa.struct([("lines", pa.list_(_LINE)), ("faults", pa.list_(pa.string())), ("links", pa.list_(pa.struct([("caption", pa.string()), ("href", pa.string())])))])
 
 
 def parsed(html: Column) -> Column:
-    """struct<lines, faults> of a payload; null gives no lines."""
+    """struct<lines, faults, links> of a payload; null gives no lines."""
 
-    @F.arrow_udf("struct<lines:array<struct<text:string,caption:string,`order`:long,base:long,ficha:long,version:long,unit:long,kind:string>>,faults:array<string>>")
+    @F.arrow_udf("struct<lines:array<struct<text:string,caption:string,`order`:long,base:long,ficha:long,version:long,unit:long,kind:string>>,faults:array<string>,links:array<struct<caption:string,href:string>>>")
     def run(payloads: pa.Array) -> pa.Array:
         rows = []
         for payload in payloads.to_pylist():
-            got, faults = lines_of(payload or "")
-            rows.append({"lines": [{"text": t, **(e or {})} for t, e in got], "faults": faults})
+            got, faults, links = lines_of(payload or "")
+            rows.append({"lines": [{"text": t, **(e or {})} for t, e in got], "faults": faults, "links": links})
         return pa.array(rows, _ARROW)
 
     return run(html)
@@ -165,6 +170,13 @@ def faults(captures: DataFrame, doc: str, html: str) -> DataFrame:
     return captures.select(F.col(doc).alias("doc"), F.explode(parsed(F.col(html))["faults"]).alias("fault"))
 
 
+def source_urls(captures: DataFrame, doc: str, html: str) -> DataFrame:
+    """(doc, caption_key, href): the first link of each caption, compared in NFC, lower case and without white space."""
+    rows = captures.select(F.col(doc).alias("doc"), F.posexplode(parsed(F.col(html))["links"]).alias("at", "l"))
+    keyed = rows.select("doc", "at", caption_key(F.col("l.caption")).alias("caption_key"), F.col("l.href").alias("href"))
+    return keyed.groupBy("doc", "caption_key").agg(F.min_by("href", "at").alias("href"))
+
+
 def text_lines(rows: DataFrame, doc: str, text: str) -> DataFrame:
     """(doc, line, text): the lines of plain texts, blanks collapsed, empty ones left out, numbered anew."""
     parts = rows.select(F.col(doc).alias("doc"), F.posexplode(F.split(text, "\n", -1)).alias("at", "raw"))

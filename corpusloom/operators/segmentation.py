@@ -25,17 +25,20 @@ def islands(events: DataFrame, doc: str = "doc", line: str = "line") -> DataFram
 
 
 def units(events: DataFrame, doc: str = "doc", line: str = "line") -> DataFrame:
-    """A row for each terminator: its island's first header with its base, the headers dropped before it and those within the body."""
-    seg = islands(events, doc, line)
-    ends = seg.filter("kind = 'F'").select(doc, "seg", F.col(line).alias("end_line"), F.col("base").alias("end_base"))
-    heads = seg.filter("kind = 'A'").join(ends, [doc, "seg"])
-    first = F.min(F.when(F.col("base") == F.col("end_base"), F.col(line)))
-    per = heads.groupBy(doc, "seg").agg(first.alias("head_line"), F.array_sort(F.collect_list(line)).alias("_lines"))
-    out = ends.join(per, [doc, "seg"], "left")
-    n = lambda cond: F.coalesce(F.size(F.filter("_lines", cond)), F.lit(0)).cast("long")
-    dropped = F.when(F.col("_lines").isNull(), F.lit(0)).otherwise(n(lambda x: F.col("head_line").isNull() | (x < F.col("head_line")))).cast("long")
-    inside = F.when(F.col("_lines").isNull(), F.lit(0)).otherwise(n(lambda x: F.coalesce(x > F.col("head_line"), F.lit(False)))).cast("long")
-    return out.select(doc, "seg", "head_line", "end_line", "end_base", dropped.alias("n_dropped"), inside.alias("n_within"))
+    """A row for each terminator: its island's first header with its base, the headers dropped before it and those within the body.
+
+    Islands lie within documents, so the grouping needs no exchange beyond
+    that of the window.
+    """
+    head = F.struct(F.col(line).cast("long").alias("line"), F.col("base").alias("base"))
+    end = F.struct(F.col(line).cast("long").alias("line"), F.col("base").alias("base"))
+    rows = islands(events, doc, line).groupBy(doc, "seg").agg(F.max(F.when(F.col("kind") == "F", end)).alias("_end"), F.collect_list(F.when(F.col("kind") == "A", head)).alias("_heads"))
+    mine = F.array_min(F.transform(F.filter("_heads", lambda h: h["base"] == F.col("_end.base")), lambda h: h["line"]))
+    rows = rows.filter("_end is not null").withColumn("head_line", mine)
+    n = lambda test: F.size(F.filter("_heads", test)).cast("long")
+    dropped = n(lambda h: F.col("head_line").isNull() | (h["line"] < F.col("head_line")))
+    within = n(lambda h: F.coalesce(h["line"] > F.col("head_line"), F.lit(False)))
+    return rows.select(doc, "seg", "head_line", F.col("_end.line").alias("end_line"), F.col("_end.base").alias("end_base"), dropped.alias("n_dropped"), within.alias("n_within"))
 
 
 def last_heading(events: DataFrame, doc: str = "doc", line: str = "line") -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import canonical, hashing, numbers
 from corpusloom.functions import text as X
-from corpusloom.operators import grammar, loading, markup, segmentation
+from corpusloom.operators import extraction, grammar, loading, markup, segmentation, validators
 
 
 def test_fnv():
@@ -48,7 +48,7 @@ def test_grammar(spark):
 
 def test_markup_lines_and_faults():
     html = "<p>uno <span>dos</span><br>tres&nbsp;</p><style>x</style><o:p>y</o:p><a onclick='handleArticuloClick(1,0,2,3)'>Ficha  Artículo 1</a> cola"
-    got, faults = markup.lines_of(html)
+    got, faults, _ = markup.lines_of(html)
     assert [t for t, _ in got] == ["uno dos", "tres", "Ficha Artículo 1 cola"] and got[2][1]["unit"] == 3 and not faults
     assert markup.lines_of("<a onclick='handleArticuloClick(1,0,2,3,4)'>Ficha Artículo 1</a>")[1] == ["malformed-handler"]
     assert markup.lines_of("<a>Ficha Artículo 1</a>")[1] == ["anchor-without-handler"] and markup.lines_of("<a href='https://x'>Ficha Artículo 1</a>")[1] == []
@@ -80,6 +80,41 @@ def test_text_functions(spark):
     assert [tuple(r) for r in got] == [("a b", True, 7, "ab"), ("", False, 2, ""), ("🙂é", True, 3, "🙂é"), ("E\u0301 x", True, 4, "\xe9x")]
 
 
+def test_source_urls(spark):
+    html = "<a href='https://a'>Ficha Artículo 1</a><a href='https://b'>FICHA  ARTÍCULO 1</a><a href='https://c' onclick='handleArticuloClick(2,0,1,9)'>Ficha Artículo 2</a>"
+    got = markup.source_urls(spark.createDataFrame([(1, html)], "doc long, html string"), "doc", "html").collect()
+    assert {r.caption_key: r.href for r in got} == {"fichaartículo1": "https://a", "fichaartículo2": "https://c"}
+
+
+def test_reviewed_policy(spark):
+    schema = "doc long, source_unit_id long, caption string, base long, ficha long, `order` long, source_lines array<string>"
+    unbound = spark.createDataFrame([(1, 5, "c", 1, 0, 3, ["x"]), (1, 6, "d", 2, 0, 4, []), (2, 7, "e", 1, 0, 0, ["y"])], schema)
+    policy = spark.createDataFrame([(1, 5, "c", 1, 0, 3, ["x"], "known-gap", "source-text-unavailable"), (1, 6, "d", 2, 0, 4, [], "reviewed-exclusion", "source-elimination-notice"), (2, 7, "e", 1, 0, 0, ["z"], "known-gap", "x")], schema + ", kind string, reason string")
+    fine, faults = extraction.matched_policy(unbound, policy)
+    assert sorted(r.source_unit_id for r in fine.collect()) == [5, 6] and [(r.doc, r.place) for r in faults.collect()] == [(2, 1)]
+    assert [r.source_unit_id for r in extraction.policy_faults(policy).collect()] == [7]
+
+
+def test_recovered_headers_need_their_own_terminator(spark):
+    lines = ["ARTÍCULO 1.- x", "Ficha Artículo 1", "Artículo 175 septies.- y", "texto", "Ficha Artículo 175", "Artículo 9 de otra ley", "Ficha Artículo 10"]
+    df = spark.createDataFrame([(1, i, t) for i, t in enumerate(lines)], "doc long, line long, text string")
+    got = grammar.recovered(df, grammar.classified(df)).filter("kind = 'A'").orderBy("line").select("line", "number").collect()
+    assert [tuple(r) for r in got] == [(0, "1"), (2, "175 septies")]
+
+
+def test_catalog_faults(spark):
+    from corpusloom.sources import captures
+
+    path = {"gzipPath": "g", "sidecarPath": "s", "rawSha256": "0" * 64, "gzipSha256": "0" * 64, "uncompressedBytes": 1}
+    row = {"kind": "emitted-article", "sourceUnitId": 5, "domOrder": 0, "caption": "Ficha Artículo 1", "unitLabel": "1", "reason": None}
+    counts = {"emittedArticles": 1, "emittedTransitories": 0, "knownGaps": 0, "reviewedExclusions": 0, "total": 1}
+    one = {"slug": "a", "authorityId": 2, "versionId": 1, "profileMembership": {"app": True, "mcp": False}, "template": None, "capture": path, "expectations": {"frontMatter": "absent", "classifications": counts, "sourceUnitCoordinates": 1, "ledger": [row]}}
+    two = one | {"slug": "B!", "authorityId": 1, "profileMembership": {"app": False, "mcp": False}, "expectations": one["expectations"] | {"classifications": counts | {"total": 3}, "sourceUnitCoordinates": 7, "ledger": [row, row]}}
+    rows = spark.createDataFrame([one, two], captures._AUTHORITY)
+    assert {(r.slug, r.fault) for r in validators.authority_faults(rows, captures.ledger(rows)).collect()} == {("B!", f) for f in ("emittedArticles", "total", "ids", "coordinates", "membership", "slug")}
+    assert {(r.slug, r.fault) for r in validators.catalog_faults(rows.coalesce(1)).collect()} == {("B!", "authorityId"), ("a", "gzipPath"), ("B!", "gzipPath"), ("a", "sidecarPath"), ("B!", "sidecarPath")}
+
+
 def loop(events):
     """The units of one document as a loop over its events finds them."""
     out, i = {}, 0
