@@ -53,7 +53,7 @@ def _hash_words(words: list[str]) -> list[int]:
     return [xxhash.xxh3_64_intdigest(w) for w in words]
 
 
-_WORD_HASHES = TwoGenerations(150_000, _hash_words)
+_WORD_HASHES = TwoGenerations(50_000, _hash_words)
 
 
 def shingles(text: str, size: int = WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -34,6 +34,8 @@ from corpusloom.llm.common import only, prepare, staged, tokenizer_path
 WINDOW, END_ID = 2048, 1
 #: Groups that the pieces of one length are ranked in.
 SALTS = 512
+#: Pieces in the tokenizer's cache: fewer than elsewhere, as workers in a pipeline hold the caches of other stages too.
+CACHED = 300_000
 
 
 def combinations(window: int, present: np.ndarray) -> np.ndarray:
@@ -155,7 +157,7 @@ def cut(documents: DataFrame, path: str, window: int = WINDOW) -> DataFrame:
 
     @F.arrow_udf(kind)
     def pieces(texts: pa.Array) -> pa.Array:
-        tokenizer, rows = token_ids.load(path), []
+        tokenizer, rows = token_ids.load(path, CACHED), []
         end = array("I", [END_ID]).tobytes()
         for text in texts.to_pylist():
             ids = tokenizer.ids(text or "") + end

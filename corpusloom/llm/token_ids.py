@@ -34,14 +34,14 @@ class CachedTokenizer:
     space go to the library as a whole.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cached: int = CACHED_PIECES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.cache = TwoGenerations(CACHED_PIECES, self._make)
+        self.cache = TwoGenerations(cached, self._make)
         self.table = str.maketrans({chr(b): c for b, c in enumerate(byte_symbols())})
         probe = lambda text: self.library.encode(text, add_special_tokens=False).ids
         self.lowers = probe("Aa Bb\n") == probe("aa") + probe("bb")
@@ -93,7 +93,8 @@ class CachedTokenizer:
 _LOADED: dict[str, CachedTokenizer] = {}
 
 
-def load(path: str) -> CachedTokenizer:
+def load(path: str, cached: int = CACHED_PIECES) -> CachedTokenizer:
+    """The worker's tokenizer for a file; ``cached`` pieces at least stay in the cache of the first that asks for it."""
     if path not in _LOADED:
-        _LOADED[path] = CachedTokenizer(path)
+        _LOADED[path] = CachedTokenizer(path, cached)
     return _LOADED[path]
