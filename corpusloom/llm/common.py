@@ -97,6 +97,14 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def fresh(df: DataFrame, stem: str) -> str:
+    """A column name that ``df`` doesn't have, in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while stem.lower() in taken:
+        stem += "_"
+    return stem
+
+
 def only(df: DataFrame, **columns: str) -> DataFrame:
     """``df`` with just the named columns under new names, so that no other column can clash."""
     return df.select(*[F.col(f"`{source}`").alias(name) for name, source in columns.items()])

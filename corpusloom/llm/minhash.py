@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.caches import TwoGenerations
-from corpusloom.llm.common import only, prepare, staged
+from corpusloom.llm.common import fresh, only, prepare, staged
 from corpusloom.llm.components import LINKS, block_pairs, components, run_groups, small_or_shuffled
 
 WORDS, THRESHOLD = 5, 0.8
@@ -230,5 +230,6 @@ def classes(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def deduplicated(documents: DataFrame) -> DataFrame:
     """The rows of ``documents`` that stay, one of each class, with their columns."""
-    gone = staged(classes(documents).filter("not kept").select(F.col("doc_id").alias("_id")), "gone")
-    return documents.join(small_or_shuffled(gone), F.col("doc_id") == F.col("_id"), "left_anti")
+    key = fresh(documents, "_id")
+    gone = staged(classes(documents).filter("not kept").select(F.col("doc_id").alias(key)), "gone")
+    return documents.join(small_or_shuffled(gone), F.col("doc_id") == F.col(key), "left_anti")

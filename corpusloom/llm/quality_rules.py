@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import only, prepare, staged
+from corpusloom.llm.common import fresh, only, prepare, staged
 
 SPACE = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -176,6 +176,7 @@ def accepted(documents: DataFrame, labels: DataFrame, risk: float = 0.01, delta:
     prepare(documents.sparkSession)
     rows = staged(documents.select(F.col("doc_id"), F.col("lang").cast("string").alias("stratum"), measure(F.col("text")).alias("m")), "measured")
     cutoffs = calibrate(rows, labels.select("doc_id", "quality"), risk, delta)
-    judged = documents.withColumn("_m", measure(F.col("text")))
-    m = F.col("_m")
-    return judged.filter(~base_failed(m) & verdict(m, F.col("lang").cast("string"), cutoffs)).drop("_m")
+    name = fresh(documents, "_m")
+    m = F.col(name)
+    judged = documents.withColumn(name, measure(F.col("text")))
+    return judged.filter(~base_failed(m) & verdict(m, F.col("lang").cast("string"), cutoffs)).drop(name)

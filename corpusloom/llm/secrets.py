@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm import spans
+from corpusloom.llm.common import fresh
 
 #: Kinds of candidates: by the name in front, as a key block, by their form, or any long token of mixed characters.
 NAMED = r"(?i:(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|auth[_-]?key|client[_-]?secret|bearer)[\"']?\x20?[:=]\x20?[\"']?)"
@@ -158,7 +159,7 @@ def train(spark: SparkSession, findings: list[tuple[str, str, int]] | None = Non
     return Forest(np.array([r.f for r in got], dtype=float), np.array([r.label for r in got], dtype=float))
 
 
-def _judged(documents: DataFrame, text: Column, forest: Forest, threshold: float, text_name: str, found_name: str) -> DataFrame:
+def _judged(documents: DataFrame, text: Column, forest: Forest, text_name: str, found_name: str) -> DataFrame:
     """``documents`` with the text without marks and the candidates with their scores."""
     rows = documents.withColumn(text_name, spans.plain(text))
     rows = rows.withColumn(found_name, candidates(F.col(text_name)))
@@ -175,7 +176,7 @@ def scan(documents: DataFrame, forest: Forest | None = None, threshold: float =
     """
     forest = forest or train(documents.sparkSession)
     rows = documents.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    rows = _judged(rows, F.col("text"), forest, threshold, "text", "found").select("doc_id", "found")
+    rows = _judged(rows, F.col("text"), forest, "text", "found").select("doc_id", "found")
     secrets = F.filter("found", lambda x: x["score"] >= threshold)
     listed = F.array_join(F.transform(secrets, lambda x: F.concat_ws(":", x["start"].cast("string"), x["end"].cast("string"))), ",")
     return rows.select("doc_id", F.size("found").cast("long").alias("n_candidates"), F.size(secrets).cast("long").alias("n_secrets"), listed.alias("spans"))
@@ -185,17 +186,18 @@ def redacted(documents: DataFrame, forest: Forest | None = None, threshold: floa
     """``documents`` with each secret in ``text`` replaced by ``mask`` and n_chars set anew; other texts stay as they are."""
     forest = forest or train(documents.sparkSession)
     names = documents.columns
-    rows = _judged(documents, F.col("text"), forest, threshold, "_plain", "_found")
-    rows = rows.withColumn("_found", F.filter("_found", lambda x: x["score"] >= threshold))
+    plain, found = fresh(documents, "_plain"), fresh(documents, "_found")
+    rows = _judged(documents, F.col("text"), forest, plain, found)
+    rows = rows.withColumn(found, F.filter(found, lambda x: x["score"] >= threshold))
 
     def step(state: Column, x: Column) -> Column:
         before = F.substring(F.col("text"), state["at"] + 1, x["start"] - state["at"])
         return F.struct(x["end"].alias("at"), F.concat(state["out"], before, F.lit(mask)).alias("out"))
 
     first = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    new = F.aggregate("_found", first, step, lambda s: F.concat(s["out"], F.substring(F.col("text"), s["at"] + 1, F.length("text") - s["at"])))
-    rows = rows.withColumn("text", F.when(F.size("_found") > 0, new).otherwise(F.col("text")))
+    new = F.aggregate(found, first, step, lambda s: F.concat(s["out"], F.substring(F.col("text"), s["at"] + 1, F.length("text") - s["at"])))
+    rows = rows.withColumn("text", F.when(F.size(found) > 0, new).otherwise(F.col("text")))
     if "n_chars" in names:
         kind = documents.schema["n_chars"].dataType
-        rows = rows.withColumn("n_chars", F.when(F.size("_found") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
+        rows = rows.withColumn("n_chars", F.when(F.size(found) > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
     return rows.select(*names)

@@ -46,9 +46,9 @@ class Writer:
         self.out = pa.ipc.new_file(sink, self.schema)
         self.held: list[np.ndarray] = []
         self.size = self.total = 0
-        self.starts: list[tuple[int, int]] = []
+        self.starts: list[tuple[int | None, int]] = []
 
-    def add(self, doc_id: int, ids: np.ndarray) -> None:
+    def add(self, doc_id: int | None, ids: np.ndarray) -> None:
         self.starts.append((doc_id, self.size))
         self.held.append(ids.astype(self.kind))
         self.size += len(ids)
@@ -85,10 +85,10 @@ def open_file(path: str):
     return pa.fs.FileSystem.from_uri(path)
 
 
-def read_documents(path: str) -> Iterator[tuple[int, int, np.ndarray]]:
+def read_documents(path: str) -> Iterator[tuple[int | None, int, np.ndarray]]:
     """(doc_id, ids before it in this file, its ids), a batch at a time."""
     system, name = open_file(path)
-    doc_id, start, parts, position = None, 0, [], 0
+    doc_id, start, parts, position, begun = None, 0, [], 0, False
     with system.open_input_file(name) as source, pa.ipc.open_file(source) as file:
         for i in range(file.num_record_batches):
             batch = file.get_batch(i)
@@ -100,12 +100,12 @@ def read_documents(path: str) -> Iterator[tuple[int, int, np.ndarray]]:
                 for x in starts:
                     here = row * length + x["at"]
                     parts.append(ids[at:here])
-                    if doc_id is not None:
+                    if begun:
                         yield doc_id, start, np.concatenate(parts)
-                    doc_id, start, parts, at = x["doc_id"], position + here, [], here
+                    doc_id, start, parts, at, begun = x["doc_id"], position + here, [], here, True
             parts.append(ids[at:valid].copy())
             position += valid
-        if doc_id is not None:
+        if begun:
             yield doc_id, start, np.concatenate(parts)
 
 
