@@ -45,8 +45,10 @@ def build(spark, fixtures: str, out: str, registry: str) -> dict:
 
     from corpusloom.operators import extraction, gates, identity, manifest
     from corpusloom.sinks import publish
+    from corpusloom.session import ship
     from corpusloom.sources import captures
 
+    ship(spark)
     captures.ensure_checkpoints(spark)
     kinds = "slug string, fixture string, id long, version_id long, number string, name string, tipo long, date string, source_url string, imported_at string, treaty boolean, articles long, warnings array<string>"
     listed = spark.read.schema(kinds).json(registry, multiLine=True)

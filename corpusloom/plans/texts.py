@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions import canonical, hashing, numbers
 from corpusloom.functions import text as X
 from corpusloom.operators import aggregates, full_text, grammar, loading, markup
-from corpusloom.session import table
+from corpusloom.session import ship, table
 
 
 def line_stream(spark: SparkSession, d: str) -> DataFrame:
@@ -96,6 +96,7 @@ TAILS = ("", " de la ley", "bis", " BISx", ".5", ", y", ". Otro", "º", " tercer
 
 
 def number_normalize(spark: SparkSession, d: str) -> DataFrame:
+    ship(spark)
     rows = spark.createDataFrame([(i, t) for i, t in enumerate(NUMBERS)], "id int, raw string")
     h = numbers.header_number(F.col("raw"))
     c = numbers.cited_number(F.col("raw"))
@@ -103,6 +104,7 @@ def number_normalize(spark: SparkSession, d: str) -> DataFrame:
 
 
 def glue_detect(spark: SparkSession, d: str) -> DataFrame:
+    ship(spark)
     return spark.createDataFrame([(i, t) for i, t in enumerate(TAILS)], "id int, tail string").select("id", numbers.is_glued(F.col("tail")).alias("glued"))
 
 

@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 
 #: What every query of this library relies on; sizes are left to the cluster.
@@ -29,6 +35,25 @@ def local_session(name: str = "corpusloom", cpus: int | str = 8, partitions: int
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once for each Spark context."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    _SHIPPED.add(context.applicationId)
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="corpusloom-")) / "corpusloom.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    atexit.register(shutil.rmtree, archive.parent, ignore_errors=True)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One Parquet table of a data directory, by any path that Spark reads."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
