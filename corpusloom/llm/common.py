@@ -3,17 +3,15 @@
 from __future__ import annotations
 
 import atexit
-import shutil
 import tempfile
 import uuid
-import zipfile
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom.session import ship
+
 _STAGED: list[tuple[object, object]] = []
-_SHIPPED: set[str] = set()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -78,16 +76,7 @@ def prepare(spark: SparkSession, rows: int = 1000) -> None:
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key)) > rows:
         spark.conf.set(key, str(rows))
-    context = spark.sparkContext
-    if context.applicationId not in _SHIPPED:
-        _SHIPPED.add(context.applicationId)
-        package = Path(__file__).resolve().parents[1]
-        archive = Path(tempfile.mkdtemp(prefix="corpusloom-")) / "corpusloom.zip"
-        with zipfile.ZipFile(archive, "w") as out:
-            for file in sorted(package.rglob("*.py")):
-                out.write(file, file.relative_to(package.parent))
-        context.addPyFile(str(archive))
-        atexit.register(shutil.rmtree, archive.parent, ignore_errors=True)
+    ship(spark)
 
 
 def tokenizer_path(name: str) -> str:
