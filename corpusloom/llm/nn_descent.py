@@ -1,13 +1,16 @@
 """Near-duplicate vectors by NN-descent.
 
-Each vector gets a list of its nearest neighbours. Lists start from small
-buckets of random hyperplane codes; then each vector's neighbours, its reverse
-neighbours and itself are joined and compared with each other, and lists take
-what is nearer. A list full of links is saturated and may be twice as long in the next
-round. Recall is audited with a set of queries against all vectors, in blocks;
-while it is too low, further buckets and rounds follow. Links of the lists
-give components; within each the last step compares members in blocks, which
-enlarges every saturated list to all of its component.
+Equal vectors are one from the start. Each vector gets a list of its nearest
+neighbours. Lists start from small buckets of random hyperplane codes; then each
+vector's neighbours, its reverse neighbours and itself are joined and compared
+with each other, and lists take what is nearer. Links of the lists give
+components. A list full of links may have lost others: its vector gets a second
+list, of neighbours in other components only, and the components that those
+link are joined, again and again until none of them holds a link. So no link
+that was seen is lost to the length of a list. Recall is audited with a set of
+queries against all vectors; while it is too low, further buckets and rounds
+follow, and after the last attempt all pairs are compared in blocks. Within each
+component the last step counts links in blocks.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import prepare, staged
-from corpusloom.llm.components import block_pairs, components, run_groups
+from corpusloom.llm.components import LINKS, block_pairs, components, run_groups
 
 THRESHOLD = 0.95
 #: Length of a list, tables of codes to start with, vectors in a bucket, rounds of the descent.
@@ -29,6 +32,8 @@ FLOOR = 0.6
 #: Queries of the audit, the recall it asks for, and how often it may add tables.
 QUERIES, RECALL, ATTEMPTS = 256, 0.98, 4
 BLOCK = 512
+#: Vectors in a block where all pairs are compared.
+EXACT_BLOCK = 2048
 
 _LISTS = pa.schema([("id", pa.int64()), ("found", pa.list_(pa.struct([("s", pa.float64()), ("n", pa.int64())])))])
 _COUNTS = pa.schema([("id", pa.int64()), ("links", pa.int64())])
@@ -40,13 +45,13 @@ def _unpack(rows: list[bytes], wide: bool) -> np.ndarray:
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
-def nearest(ids: list[int], x: np.ndarray, most: int) -> list[tuple]:
-    """The list of each vector among those given."""
+def nearest(ids: list[int], x: np.ndarray, most: int, parts: list[int]) -> list[tuple]:
+    """The list of each vector among those given, without those of its own part."""
     out, ids = [], np.array(ids)
     first = np.unique(ids, return_index=True)[1]
-    ids, x = ids[first], x[first]
+    ids, x, c = ids[first], x[first], np.array(parts)[first]
     s = x @ x.T
-    np.fill_diagonal(s, -1)
+    s[c[:, None] == c[None, :]] = -1
     for i in np.flatnonzero((s >= FLOOR).any(1)):
         near = np.flatnonzero(s[i] >= FLOOR)
         if len(near) > most:
@@ -55,12 +60,10 @@ def nearest(ids: list[int], x: np.ndarray, most: int) -> list[tuple]:
     return out
 
 
-def _merge(lists: DataFrame, most: int) -> DataFrame:
-    """One list for each id from several, the nearest first; a saturated one keeps up to ``most``, others NEIGHBOURS."""
+def _merge(lists: DataFrame) -> DataFrame:
+    """One list for each id from several, the nearest first."""
     every = F.sort_array(F.array_distinct(F.flatten(F.collect_list("found"))), asc=False)
-    rows = lists.groupBy("id").agg(every.alias("found"))
-    full = F.get(F.col("found"), F.lit(NEIGHBOURS - 1))["s"] >= THRESHOLD
-    return rows.select("id", F.slice("found", 1, F.when(full, most).otherwise(NEIGHBOURS)).alias("found"))
+    return lists.groupBy("id").agg(F.slice(every, 1, NEIGHBOURS).alias("found"))
 
 
 def _from_buckets(nodes: DataFrame, dims: int, total: int, tables: range, wide: bool) -> DataFrame:
@@ -80,21 +83,56 @@ def _from_buckets(nodes: DataFrame, dims: int, total: int, tables: range, wide:
     salt = F.pmod(F.xxhash64("id", "t"), F.ceil(F.col("n") / BUCKET).cast("long"))
     dealt = coded.join(sizes, ["t", "code"]).select("t", "code", salt.alias("salt"), "id")
     rows = dealt.join(nodes, "id")
-    return run_groups(rows, ["t", "code", "salt"], lambda g: nearest(g["id"], _unpack(g["x"], wide), NEIGHBOURS), _LISTS)
+    return run_groups(rows, ["t", "code", "salt"], lambda g: nearest(g["id"], _unpack(g["x"], wide), NEIGHBOURS, g["c"]), _LISTS)
 
 
-def _descend(lists: DataFrame, nodes: DataFrame, most: int, wide: bool) -> DataFrame:
-    """Neighbours of neighbours: each list's members, some that have it in their lists, and itself are compared."""
-    forward = lists.select("id", F.explode(F.slice("found", 1, NEIGHBOURS)["n"]).alias("m"))
+def _descend(lists: DataFrame, ways: DataFrame, nodes: DataFrame, wide: bool) -> DataFrame:
+    """Neighbours of neighbours: for each id its members in ``ways``, some that have it in theirs, and itself are compared."""
+    forward = ways.select("id", F.explode("found.n").alias("m"))
     back = forward.groupBy(F.col("m").alias("id"), F.pmod(F.xxhash64("id", "m"), F.lit(NEIGHBOURS)).alias("salt")).agg(F.min(F.struct(F.xxhash64("id"), F.col("id").alias("m"))).alias("one"))
-    joined = forward.unionByName(back.select("id", "one.m")).unionByName(lists.select("id", F.col("id").alias("m"))).distinct()
+    joined = forward.unionByName(back.select("id", "one.m")).unionByName(ways.select("id", F.col("id").alias("m"))).distinct()
     rows = joined.withColumnRenamed("id", "at").withColumnRenamed("m", "id").join(nodes, "id")
-    return _merge(lists.unionByName(run_groups(rows, ["at"], lambda g: nearest(g["id"], _unpack(g["x"], wide), most), _LISTS)), most)
+    return _merge(lists.unionByName(run_groups(rows, ["at"], lambda g: nearest(g["id"], _unpack(g["x"], wide), NEIGHBOURS, g["c"]), _LISTS)))
+
+
+def _links(lists: DataFrame) -> DataFrame:
+    return lists.select(F.col("id").alias("a"), F.explode(F.filter("found", lambda e: e["s"] >= THRESHOLD)).alias("e")).select("a", F.col("e.n").alias("b"))
+
+
+def _joined(parts: DataFrame, links: DataFrame) -> DataFrame:
+    return staged(components(parts.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(links)), "parts")
+
+
+def _beyond_full_lists(lists: DataFrame, parts: DataFrame, nodes: DataFrame, dims: int, wide: bool, first: int) -> DataFrame:
+    """Join components by links that full lists may have lost.
+
+    A link is in neither list only if both are full of nearer ones, so just
+    their vectors are looked at. At the end no list of neighbours in other
+    components holds a link.
+    """
+    full = staged(lists.filter(F.get(F.col("found"), F.lit(NEIGHBOURS - 1))["s"] >= THRESHOLD).select("id"), "full")
+    while True:
+        c = parts.select(F.col("node").alias("id"), F.col("component").alias("c"))
+        some = staged(nodes.select("id", "x").join(full, "id").join(c, "id"), "some")
+        total, groups = some.agg(F.count(F.lit(1)), F.count_distinct("c")).first()
+        if groups < 2:
+            return parts
+        others = staged(_merge(_from_buckets(some, dims, total, range(first, first + TABLES), wide)), "others")
+        for _ in range(ROUNDS):
+            others = staged(_descend(others, lists.unionByName(others), some, wide), "others")
+        found = _links(others)
+        if found.isEmpty():
+            return parts
+        parts, first = _joined(parts, found), first + TABLES
 
 
 def _audit(nodes: DataFrame, parts: DataFrame, wide: bool) -> float:
-    """The share of links of a bounded set of queries whose two ends are in one component."""
-    linked = parts.orderBy(F.xxhash64("node")).limit(QUERIES // 2).select(F.col("node").alias("id"))
+    """The share of a query's links whose two ends are in one component, averaged over a bounded set of queries.
+
+    Half of the queries are one member each of some components, whatever their size.
+    """
+    members = parts.groupBy("component").agg(F.min_by("node", F.xxhash64("node")).alias("id"))
+    linked = members.orderBy(F.xxhash64("component")).limit(QUERIES // 2).select("id")
     other = nodes.select("id").orderBy(F.xxhash64("id", F.lit(3))).limit(QUERIES // 2)
     asked = nodes.join(F.broadcast(linked.union(other).distinct()), "id").select("id", "x").toPandas()  # at most QUERIES rows
     if not len(asked):
@@ -109,20 +147,37 @@ def _audit(nodes: DataFrame, parts: DataFrame, wide: bool) -> float:
     true = nodes.select("id", F.explode(links("id", "x")).alias("q"))
     a = parts.select(F.col("node").alias("id"), F.col("component").alias("ca"))
     b = parts.select(F.col("node").alias("q"), F.col("component").alias("cb"))
-    got = true.join(a, "id", "left").join(b, "q", "left").agg(F.count(F.lit(1)), F.count_if(F.col("ca") == F.col("cb"))).first()
-    return got[1] / got[0] if got[0] else 1.0
+    each = true.join(a, "id", "left").join(b, "q", "left").groupBy("q").agg(F.avg(F.coalesce(F.col("ca") == F.col("cb"), F.lit(False)).cast("int")).alias("r"))
+    got = each.agg(F.avg("r")).first()[0]
+    return 1.0 if got is None else got
+
+
+def _crossing(group: dict[str, list], wide: bool) -> list[tuple]:
+    """The pairs of components that a link between two blocks joins."""
+    x, block, c = _unpack(group["x"], wide), np.array(group["_b"]), np.array(group["c"])
+    a, b = np.flatnonzero(block == group["_i"][0]), np.flatnonzero(block == group["_j"][0])
+    at, to = np.nonzero((x[a] @ x[b].T >= THRESHOLD) & (c[a][:, None] != c[b][None, :]))
+    return sorted({(int(i), int(j)) for i, j in zip(c[a][at], c[b][to], strict=True)})
+
+
+def _every_pair(nodes: DataFrame, parts: DataFrame, wide: bool) -> DataFrame:
+    """The components with all links between them: all pairs of vectors are compared, in blocks."""
+    known = parts.select(F.col("node").alias("id"), "component")
+    rows = nodes.select("id", "x").join(known, "id", "left").select("id", "x", F.coalesce("component", "id").alias("c"))
+    dealt = block_pairs(rows, F.lit(nodes.count()), F.col("id"), EXACT_BLOCK, alone=True)
+    return _joined(parts, run_groups(dealt, ["_i", "_j"], lambda g: _crossing(g, wide), LINKS))
 
 
 def _count_links(group: dict[str, list], wide: bool) -> list[tuple]:
     x, block = _unpack(group["x"], wide), np.array(group["_b"])
     first, second = (block == group["_i"][0]), (block == group["_j"][0])
     ids = np.array(group["id"])
-    a, b = np.flatnonzero(first), np.flatnonzero(second)
+    a, b, w = np.flatnonzero(first), np.flatnonzero(second), np.array(group["copies"])
     s = x[a] @ x[b].T >= THRESHOLD
     if group["_i"][0] == group["_j"][0]:
         np.fill_diagonal(s, False)
-        return [(int(i), int(n)) for i, n in zip(ids[a], s.sum(1), strict=True) if n]
-    return [(int(i), int(n)) for i, n in [*zip(ids[a], s.sum(1), strict=True), *zip(ids[b], s.sum(0), strict=True)] if n]
+        return [(int(i), int(n)) for i, n in zip(ids[a], s @ w[b], strict=True) if n]
+    return [(int(i), int(n)) for i, n in [*zip(ids[a], s @ w[b], strict=True), *zip(ids[b], w[a] @ s, strict=True)] if n]
 
 
 def links(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -142,30 +197,39 @@ def links(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
     common = usable.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "d").first()
     if common is None:
         return source.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    dims, total = common["d"], common["n"]
+    dims = common["d"]
 
     @F.pandas_udf("binary")
     def packed(v: pd.Series) -> pd.Series:
         return pd.Series([np.asarray(e, np.float64 if wide else np.float32).tobytes() for e in v], dtype=object)
 
-    nodes = usable.filter(F.size("v") == dims).dropDuplicates(["vec_id"]).select(F.col("vec_id").alias("id"), packed("v").alias("x"))
-    nodes = staged(nodes, "nodes")
+    keyed = usable.filter(F.size("v") == dims).dropDuplicates(["vec_id"]).select(F.col("vec_id").alias("id"), packed("v").alias("x"))
+    keyed = staged(keyed, "vectors")
+    nodes = keyed.groupBy("x").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"))
+    nodes = staged(nodes.select("id", "x", "copies", F.col("id").alias("c")), "nodes")
+    total = nodes.count()
     lists, parts = None, None
     for attempt in range(ATTEMPTS):
         tables = range(attempt * TABLES, (attempt + 1) * TABLES)
-        started = _from_buckets(nodes, dims, total, tables, wide)
-        lists = staged(_merge(started if lists is None else lists.unionByName(started), NEIGHBOURS), "lists")
-        for r in range(1, ROUNDS + 1):
-            lists = staged(_descend(lists, nodes, NEIGHBOURS << r, wide), "lists")
-        near = lists.select(F.col("id").alias("a"), F.explode(F.filter("found", lambda e: e["s"] >= THRESHOLD)).alias("e")).select("a", F.col("e.n").alias("b"))
-        parts = staged(components(near), "parts")
+        started = _from_buckets(nodes.select("id", "x", "c"), dims, total, tables, wide)
+        lists = staged(_merge(started if lists is None else lists.unionByName(started)), "lists")
+        for _ in range(ROUNDS):
+            lists = staged(_descend(lists, lists, nodes.select("id", "x", "c"), wide), "lists")
+        parts = staged(components(_links(lists)), "parts") if parts is None else _joined(parts, _links(lists))
+        parts = _beyond_full_lists(lists, parts, nodes, dims, wide, (attempt + 1) * 100_000)
         if _audit(nodes, parts, wide) >= RECALL:
             break
+    else:
+        parts = _every_pair(nodes, parts, wide)
     sizes = parts.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
     members = parts.join(sizes, "component").withColumnRenamed("node", "id")
-    dealt = block_pairs(members, F.col("n"), F.col("id"), BLOCK, alone=True).drop("n").join(nodes, "id")
-    counted = run_groups(dealt, ["component", "_i", "_j"], lambda g: _count_links(g, wide), _COUNTS).groupBy("id").agg(F.sum("links").alias("n_links"))
-    known = parts.withColumnRenamed("node", "id").join(counted, "id", "left")
+    dealt = block_pairs(members, F.col("n"), F.col("id"), BLOCK, alone=True).drop("n").join(nodes.select("id", "x", "copies"), "id")
+    counted = run_groups(dealt, ["component", "_i", "_j"], lambda g: _count_links(g, wide), _COUNTS).groupBy("id").agg(F.sum("links").alias("links"))
+    found = nodes.select("id", "copies").join(parts.withColumnRenamed("node", "id"), "id", "left").join(counted, "id", "left")
+    found = found.select(F.col("id").alias("first"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "id").alias("component"))
+    alike = keyed.join(nodes.filter("copies > 1").select("x", F.col("id").alias("first")), "x").select("id", "first")
+    alike = alike.unionByName(nodes.filter("copies = 1").select("id", F.col("id").alias("first")))
+    known = alike.join(found, "first").drop("first")
     out = source.select("vec_id").join(known, F.col("vec_id") == F.col("id"), "left")
     out = out.select("vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("component", "vec_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))

@@ -305,6 +305,38 @@ def test_vectors(spark):
     assert nn_descent.links(table.limit(0)).count() == 0
 
 
+def two_groups(copies):
+    """Two groups of near copies; only the last of either links with the other."""
+    a, b, e = np.eye(24)[:3]
+    turn = lambda t: np.cos(t) * a + np.sin(t) * b
+    rows = [turn(0.0) + 0.004 * i * e for i in range(copies)] + [turn(0.15)]
+    return rows + [turn(0.6) + 0.004 * i * e for i in range(copies)] + [turn(0.45)]
+
+
+def brute_force(rows):
+    x = np.array(rows)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    s = x @ x.T >= 0.95
+    np.fill_diagonal(s, False)
+    part = np.arange(len(x))
+    while (new := np.minimum(part, np.where(s, part[None, :], len(x)).min(1))).tolist() != part.tolist():
+        part = new
+    return s.sum(1), part
+
+
+@pytest.mark.parametrize("exact", [False, True])
+def test_links_between_groups_of_many_copies(spark, monkeypatch, exact):
+    rows = two_groups(90)
+    rows = [v.tolist() for v in [*rows, *[rows[0]] * 80, *[rows[-1]] * 80]]
+    if exact:  # as if no attempt found enough
+        monkeypatch.setattr(nn_descent, "_audit", lambda *a: 0.0)
+        monkeypatch.setattr(nn_descent, "ATTEMPTS", 1)
+        monkeypatch.setattr(nn_descent, "_beyond_full_lists", lambda lists, parts, *a: parts)
+    got = nn_descent.links(spark.createDataFrame(list(enumerate(rows)), "vec_id long, embedding array<double>")).toPandas().sort_values("vec_id")
+    n, part = brute_force(rows)
+    assert part.max() == 0 and got.n_links.tolist() == n.tolist() and got.component_id.tolist() == part.tolist()
+
+
 PAGE = "<html><body><div class='top'>Site</div><nav>menu</nav><div id='c'><h2>T%d &amp; co</h2><p>story %d is\n long <b>enough</b></p><div>Follow us</div><div class='comments'><p>hi</p></div></div><div class='ft'>Corp</div><script>var x='</p>';</script></body></html>"
 
 
