@@ -192,6 +192,11 @@ def test_classifier_on_the_held_out_fold(spark, words):
     assert quality_classifier.classify(docs(spark, []), marked).count() == 0
 
 
+def test_letters_are_counted_in_the_whole_text():
+    for text in ("a1" * 4000, "1a" * 4000, "word 12 é語²\n" * 700, "x" * 3999 + "1" * 9000):
+        assert quality_classifier.features(text)[20] == sum(map(str.isalpha, text)) / len(text)
+
+
 def base_spans(t):
     out = []
     patterns = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
