@@ -355,6 +355,17 @@ def test_pages(spark):
     assert html_pages.extract(table.limit(0)).count() == 0
 
 
+def test_all_pages_of_small_hosts_are_aligned(spark):
+    rows = [(3 * h + i, f"http://h{h}.example/{i}", f"<div><p>Same words of host {h}</p><p>story {h} {i}</p></div>") for h in range(40) for i in range(3)]
+    got = html_pages.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in got} == {3 * h + i: f"story {h} {i}" for h in range(40) for i in range(3)}
+
+
+def test_wrappers_keep_every_entry():
+    same = "".join(f"<p>line {i}</p>" for i in range(700))
+    assert len(html_pages.induce([f"<div>{same}<p>story {k}</p></div>" for k in range(4)])[0]) == 700
+
+
 def test_pipeline(spark, tmp_path, words):
     import corpus_pipeline
 
