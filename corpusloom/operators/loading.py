@@ -100,6 +100,6 @@ def closure(edges: DataFrame, start: DataFrame, most_rounds: int = 1000) -> Data
         step = edges.join(frontier, F.col("src") == F.col("node")).select(F.col("dst").alias("node")).distinct()
         frontier = step.join(seen.select(F.col("node").alias("_s")), F.col("node") == F.col("_s"), "left_anti").select("node", F.lit(depth).alias("depth")).checkpoint()
         if frontier.isEmpty():
-            break
+            return seen
         seen = seen.unionByName(frontier)
-    return seen
+    raise RuntimeError("the closure did not settle")
