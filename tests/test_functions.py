@@ -26,9 +26,13 @@ def test_cited_numbers(raw, want):
     assert numbers.cited(raw) == want
 
 
-@pytest.mark.parametrize(("tail", "want"), [("", False), (" de la ley", False), ("bis", True), (" BISx", True), (".5", True), (", y", False), (". Otro", False), ("º", True), (" tercero", False), (" terx", True), ("．５", True), (" bisagras", False)])
-def test_glued(tail, want):
-    assert numbers.glued(tail) is want
+def test_glued_tails_and_citations(spark):
+    goes_on = ["bis", " BISx", " Bis2", ".5", ",5", "-2", "..2", "/b", ":00", ".º", "º", "α", "漢", "①", "ⓧ", "\u200bbis", " terx", " tercerox", " qua\u0301terx", "．５", "‥5", " TER°", " Quáter\u0301", "+1"]
+    ends = ["", " ", ". Otro", ", y", " de la ley", " tercero", " terminación", " bisagras", " terapia", " ter", " bISx", ".", "; 5", "- 2", " octiesx", "．", " quater"]
+    df = spark.createDataFrame([(t,) for t in [*goes_on, *ends, None]], "t string")
+    assert {r.t for r in df.filter(numbers.is_glued(F.col("t"))).collect()} == set(goes_on)
+    text = spark.createDataFrame([("artículos 12, 5° bis, 28 termina y ７ QUÁTER o 9 bisagras",)], "t string")
+    assert text.select(numbers.citations(F.col("t"))).first()[0] == ["12", "5° bis", "28", "７ QUÁTER", "9"]
 
 
 def kinds(spark, lines, **options):
