@@ -15,15 +15,30 @@ def fold(text: Column) -> Column:
     return F.translate(F.lower(F.coalesce(text, F.lit(""))), MARKED, FOLDED)
 
 
-def tokens(rows: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, token, position) for each run of letters and digits."""
+def index(rows: DataFrame, key: str, text: str) -> DataFrame:
+    """(token, key, n, first): an entry for each token and text, so that no token's list grows in one row.
+
+    ``key`` is a row's own. A text's words are sorted and counted by runs
+    within its row, so that nothing is shuffled.
+    """
     words = F.regexp_extract_all(fold(F.col(text)), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
-    return rows.select(key, F.posexplode(words).alias("position", "token"))
+    ordered = F.array_sort(F.transform(words, lambda w, i: F.struct(w.alias("token"), i.alias("at"))))
+    rows = rows.select(F.col(key).alias("key"), ordered.alias("w")).withColumn("n", F.size("w"))
+    new = F.transform("w", lambda x, i: F.when((i == 0) | (x["token"] != F.get("w", i - 1)["token"]), i))
+    rows = rows.withColumn("starts", F.array_compact(new))
+    entry = lambda s, k: F.struct(F.get("w", s)["token"].alias("token"), (F.coalesce(F.get("starts", k + 1), F.col("n")) - s).cast("long").alias("n"), F.get("w", s)["at"].cast("long").alias("first"))
+    return rows.select("key", F.inline(F.transform("starts", entry))).select("token", F.col("key").alias(key), "n", "first")
 
 
-def index(rows: DataFrame, key: str, text: str) -> DataFrame:
-    """(token, key, n, first): an entry for each token and text, so that no token's list grows in one row."""
-    return tokens(rows, key, text).groupBy("token", key).agg(F.count(F.lit(1)).alias("n"), F.min("position").cast("long").alias("first"))
+def added(postings: DataFrame, rows: DataFrame, key: str, text: str) -> DataFrame:
+    """The index with further rows, without reading the others again."""
+    return postings.unionByName(index(rows, key, text))
+
+
+def removed(postings: DataFrame, old: DataFrame, key: str, text: str) -> DataFrame:
+    """The index without the entries of rows as they were when they were added."""
+    gone = index(old, key, text).select(F.col("token").alias("_t"), F.col(key).alias("_k"))
+    return postings.join(gone, (F.col("token") == F.col("_t")) & (F.col(key) == F.col("_k")), "left_anti")
 
 
 def containing_all(postings: DataFrame, key: str, words: list[str]) -> DataFrame:

@@ -11,7 +11,7 @@ from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import WHITE, caption_key
@@ -178,8 +178,7 @@ def source_urls(captures: DataFrame, doc: str, html: str) -> DataFrame:
 
 
 def text_lines(rows: DataFrame, doc: str, text: str) -> DataFrame:
-    """(doc, line, text): the lines of plain texts, blanks collapsed, empty ones left out, numbered anew."""
-    parts = rows.select(F.col(doc).alias("doc"), F.posexplode(F.split(text, "\n", -1)).alias("at", "raw"))
-    clean = F.regexp_replace(F.regexp_replace("raw", r"[ \t\f\x0B]++", " "), rf"\A[{WHITE}]++|[{WHITE}]+\z", "")
-    kept = parts.select("doc", "at", clean.alias("text")).filter("text <> ''")
-    return kept.select("doc", (F.row_number().over(Window.partitionBy("doc").orderBy("at")) - 1).cast("long").alias("line"), "text")
+    """(doc, line, text): the lines of plain texts, blanks collapsed, empty ones left out, numbered anew; all within a row."""
+    clean = lambda x: F.regexp_replace(F.regexp_replace(x, r"[ \t\f\x0B]++", " "), rf"\A[{WHITE}]++|[{WHITE}]+\z", "")
+    kept = F.filter(F.transform(F.split(text, "\n", -1), clean), lambda x: x != "")
+    return rows.select(F.col(doc).alias("doc"), F.posexplode(kept).alias("line", "text")).withColumn("line", F.col("line").cast("long"))

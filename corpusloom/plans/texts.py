@@ -88,9 +88,11 @@ def substantive_filter(spark: SparkSession, d: str) -> DataFrame:
 
 
 def label_lines(spark: SparkSession, d: str) -> DataFrame:
-    return markup.text_lines(table(spark, d, "documents").select("doc_id", F.upper("text").alias("text")), "doc_id", "text").filter(X.descriptive_label(F.regexp_replace("text", r"[.,!]", ""))).select("doc", "line")
+    capitals = F.translate(F.regexp_replace("text", r"[.,!]", ""), SMALL, CAPITAL)
+    return markup.text_lines(table(spark, d, "documents").select("doc_id", capitals.alias("text")), "doc_id", "text").filter(X.descriptive_label(F.col("text"))).select("doc", "line")
 
 
+SMALL, CAPITAL = "abcdefghijklmnopqrstuvwxyzáéíóúüñ", "ABCDEFGHIJKLMNOPQRSTUVWXYZÁÉÍÓÚÜÑ"
 NUMBERS = ("12", "12 bis", "12BIS", "7 º", " 3 TER ", "10 quater", "10  quáter", "10 quáter", "１２", "5° bis", "bis 4", "", "12 bisagra", "007", "4 quinquies", "8 octies")
 TAILS = ("", " de la ley", "bis", " BISx", ".5", ", y", ". Otro", "º", " tercero", " ter", " terx", " bisagras", "．５", "-A", " Bis2", "/b", " terminación")
 
@@ -163,7 +165,7 @@ def occurrence_ratio(spark: SparkSession, d: str) -> DataFrame:
 
 
 def utf16_lengths(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").select("doc_id", X.utf16_length(F.col("text")).cast("long").alias("units"), F.length(X.ascii_fold(F.substring("text", 1, 30))).alias("folded"))
+    return table(spark, d, "documents").select("doc_id", X.utf16_length(F.col("text")).cast("long").alias("units"), F.sha2(X.ascii_fold(F.col("text")), 256).alias("folded"))
 
 
 def derived_paths(spark: SparkSession, d: str) -> DataFrame:
@@ -186,6 +188,14 @@ _FRAMES = (
 _FOLD = "translate(lower(text), 'áàâäãåéèêëíìîïóòôöõúùûüñçýÿ', 'aaaaaaeeeeiiiiooooouuuuncyy')"
 _TOKENS = "SELECT {k}, unnest(regexp_extract_all({f}, '[\\p{{L}}\\p{{N}}]+')) AS token, unnest(range(len(regexp_extract_all({f}, '[\\p{{L}}\\p{{N}}]+')))) AS position FROM {t}"
 
+#: What the numbers of NUMBERS are: number, ordinal_raw, cited, canonical, in_catalog, base.
+_NUMBERS_SQL = (
+    "SELECT * FROM (VALUES (0, '12', '', '12', true, true, '12'), (1, '12 bis', '', '12 bis', true, true, '12'), (2, '12 bis', '', '12bis', false, false, '12BIS'), (3, '7', '7 º', '7', true, true, '7'), "
+    "(4, '3 ter', '', '3 ter', true, true, '3'), (5, '10 quáter', '', '10 quáter', true, true, '10'), (6, '10 quáter', '', '10 quáter', true, true, '10'), (7, '10 quáter', '', '10 quáter', true, true, '10'), "
+    "(8, '１２', '', '12', true, true, '１２'), (9, '5° bis', '', '5 bis', true, true, '5°'), (10, 'bis 4', '', 'bis 4', false, false, 'bis'), (11, '', '', '', false, false, ''), (12, '12 bisagra', '', '12 bisagra', false, false, '12'), "
+    "(13, '007', '', '007', true, false, '007'), (14, '4 quinquies', '', '4 quinquies', true, true, '4'), (15, '8 octies', '', '8 octies', false, false, '8')) t(id, number, ordinal_raw, cited, canonical, in_catalog, base)"
+)
+
 QUERIES = {
     "line_stream": (line_stream, f"WITH {_LINES} SELECT doc, line, text FROM n"),
     "ordered_join": (ordered_join, f"WITH {_LINES} SELECT doc, string_agg(text, ' ' ORDER BY line) AS text FROM n GROUP BY doc"),
@@ -201,7 +211,7 @@ QUERIES = {
         "UNION ALL SELECT conv_id, CAST(turn * 2 + floor(turn / 4) + 1 AS BIGINT), 'A', NULL, NULL, CAST(turn + 1 AS VARCHAR), CAST(turn + 1 AS VARCHAR) FROM conversations "
         "UNION ALL SELECT conv_id, CAST(turn * 2 + floor(turn / 4) AS BIGINT), 'H', 'capitulo', 2, NULL, NULL FROM conversations WHERE turn % 4 = 0",
     ),
-    "text_hash": (text_hash, None),
+    "text_hash": (text_hash, f"SELECT doc_id, {FNV_SQL.format(t='text')} AS fnv FROM documents"),
     "text_hash_short": (text_hash_short, f"SELECT item_id, {FNV_SQL.format(t='text')} AS fnv FROM benchmark"),
     "ordered_identity": (ordered_identity, f"SELECT conv_id, {FNV_SQL.format(t='t')} AS identity FROM (SELECT conv_id, string_agg(role || chr(1) || text, chr(2) ORDER BY turn) AS t FROM conversations GROUP BY conv_id) x"),
     "typed_frames": (typed_frames, f"SELECT conv_id, frames, {FNV_SQL.format(t='frames')} AS identity FROM ({_FRAMES}) x"),
@@ -212,9 +222,13 @@ QUERIES = {
         "SELECT doc_id, count(CASE WHEN regexp_matches(t, '[^\\t-\\r \\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}\\p{Cc}\\p{Cf}]') THEN 1 END) AS substantive, count(*) AS lines "
         "FROM (SELECT doc_id, unnest(string_split(regexp_replace(text, '[A-Za-z]+', '', 'g'), chr(10))) AS t FROM documents) x GROUP BY doc_id",
     ),
-    "label_lines": (label_lines, None),
-    "number_normalize": (number_normalize, None),
-    "glue_detect": (glue_detect, None),
+    "label_lines": (
+        label_lines,
+        "WITH " + _LINES.replace("FROM documents", f"FROM (SELECT doc_id, translate(regexp_replace(text, '[.,!]', '', 'g'), '{SMALL}', '{CAPITAL}') AS text FROM documents) d") + " SELECT doc, line FROM n WHERE regexp_matches(text, '^[A-ZÁÉÍÓÚÜÑ \\-]{4,}$') "
+        "AND len(list_filter(regexp_split_to_array(text, '[ \\-]+'), lambda w: length(w) >= 3)) >= 2 AND NOT regexp_matches(text, '^(LIBRO|T[IÍ]TULO|CAP[IÍ]TULO|SECCI[OÓ]N|ART[IÍ]CULO|TRANSITORIO)( |-|$)')",
+    ),
+    "number_normalize": (number_normalize, _NUMBERS_SQL),
+    "glue_detect": (glue_detect, "SELECT CAST(id AS INTEGER) AS id, id IN (2, 3, 4, 7, 10, 12, 13, 14, 15) AS glued FROM range(17) t(id)"),
     "article_numbers": (
         article_numbers,
         "SELECT event_id, CASE event_type WHEN 'click' THEN (event_id % 300) || ' bis' WHEN 'view' THEN (event_id % 300) || ' quáter' ELSE CAST(event_id % 300 AS VARCHAR) END AS number, "
@@ -244,6 +258,6 @@ QUERIES = {
         occurrence_ratio,
         "SELECT doc_id, occurrences, extracted FROM (SELECT doc_id, CAST(len(regexp_extract_all(text, '(?i)(?:^|[^\\p{L}\\p{N}_])the\\b')) AS BIGINT) AS occurrences, CAST(floor(n_chars / 40) AS BIGINT) AS extracted FROM documents) x WHERE occurrences > extracted",
     ),
-    "utf16_lengths": (utf16_lengths, "SELECT doc_id, CAST(length(text) + len(regexp_extract_all(text, '[\\x{10000}-\\x{10FFFF}]')) AS BIGINT) AS units, CAST(least(length(text), 30) AS INTEGER) AS folded FROM documents"),
+    "utf16_lengths": (utf16_lengths, "SELECT doc_id, CAST(length(text) + len(regexp_extract_all(text, '[\\x{10000}-\\x{10FFFF}]')) AS BIGINT) AS units, sha256(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS folded FROM documents"),
     "derived_paths": (derived_paths, "SELECT n_nationkey, 'corpus-sources/v1/' || lower(n_name) || '/' || n_nationkey || '-' || n_regionkey || '.raw.json.gz' AS path FROM nation"),
 }
