@@ -377,3 +377,65 @@ def test_pipeline(spark, tmp_path, words):
     rows = corpus_pipeline.run(spark, str(tmp_path)).toPandas()
     assert set(rows.doc_id) >= set(range(4, 80)) and not set(rows.doc_id) & {80, 81, 82, 83}
     assert rows.groupby("sequence_id").length.sum().max() <= 2048
+
+
+def plain_pages(count, extra=""):
+    """Pages of one host in plain div elements: links, a notice, the article, the foot."""
+    r = np.random.default_rng(8)
+    story = lambda: " ".join("".join(r.choice(list("abcdefg"), 6)) for _ in range(60))
+    stories = [[story() for _ in range(int(r.integers(1, 5)))] for _ in range(count)]
+    page = "<body><div><a href=/x>go {k}</a> <a href=/y>on {k}</a></div><div>All pages say this.</div><div><h1>Title {k}</h1>{body}" + extra + "</div><div>the foot</div></body>"
+    return [page.format(k=k, body="".join(f"<p>{p}</p>" for p in s)) for k, s in enumerate(stories)], ["\n".join([f"Title {k}", *s]) for k, s in enumerate(stories)]
+
+
+def test_the_wrapper_decides_where_names_say_nothing(spark):
+    pages, want = plain_pages(6)
+    for size in (2, 3, 6):
+        marks, slot, above = html_pages.induce(pages[:size])
+        assert [html_pages.main_text(p, frozenset(marks), slot, above) for p in pages] == want
+    assert all(html_pages.main_text(p, frozenset(), None) != w for p, w in zip(pages, want, strict=True))
+    rows = [(i, f"http://h.example/{i}", p) for i, p in enumerate(pages)]
+    got = html_pages.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).orderBy("page_id").collect()
+    assert [r.text for r in got] == want
+    said, want = plain_pages(6, "<p>Said in every article.</p>")
+    for size, more in ((2, "\nSaid in every article."), (6, "")):  # one pair of pages is no proof within the content
+        marks, slot, above = html_pages.induce(said[:size])
+        assert [html_pages.main_text(p, frozenset(marks), slot, above) for p in said] == [w + more for w in want]
+
+
+def test_large_pages_are_aligned_too():
+    body = "".join(f"<p>line {i} of a long list</p>" for i in range(html_pages.MATCH_NODES + 50))
+    pages = [f"<div><a href=/>up {k}</a></div><div>same in all</div><div><p>story {k} " + f"word{k} " * 80 + f"</p>{body.replace('line', f'line{k}')}</div>" for k in range(3)]
+    marks, slot, above = html_pages.induce(pages)
+    got = html_pages.main_text(pages[1], frozenset(marks), slot, above)
+    assert slot is not None and got.startswith("story 1") and "same in all" not in got and got.count("\n") == html_pages.MATCH_NODES + 50
+
+
+def test_copies_on_a_host_are_no_template():
+    story = "<p>" + "the same story told twice over " * 20 + "</p>"
+    pages = [f"<div><a href=/>up</a></div><div>{story}<p>edition {k}</p></div>" for k in range(2)]
+    marks, slot, above = html_pages.induce(pages)
+    assert all("told twice" in html_pages.main_text(p, frozenset(marks), slot, above) for p in pages)
+
+
+def test_trees_match_as_well_as_by_brute_force():
+    def best(x, y):
+        if x.name != y.name:
+            return 0
+        m = [[0] * (len(y.children) + 1) for _ in range(len(x.children) + 1)]
+        return 1 + sequence(x.children, y.children) + (not x.children and not y.children and x.text == y.text)
+
+    def sequence(a, b):
+        if not a or not b:
+            return 0
+        return max(sequence(a[1:], b), sequence(a, b[1:]), best(a[0], b[0]) + sequence(a[1:], b[1:]))
+
+    def worth(pairs):
+        return sum(1 + (not x.children and not y.children and x.text == y.text) for x, y in pairs)
+
+    r = np.random.default_rng(2)
+    grow = lambda d: "".join(f"<{t}>{r.choice(['a', 'b']) if d == 0 else grow(d - 1)}</{t}>" for t in r.choice(["div", "ul", "section"], int(r.integers(1, 4))))
+    for _ in range(60):
+        a, b = (html_pages.parse(grow(2))[0] for _ in range(2))
+        pairs = html_pages.match_trees(a, b)
+        assert worth(pairs) == best(a, b) and len({id(x) for x, _ in pairs}) == len({id(y) for _, y in pairs}) == len(pairs)
