@@ -14,6 +14,9 @@ from corpusloom.llm.common import discard, staged
 #: Rows up to which a side of a join is broadcast; beyond it Spark's shuffled join does the work.
 SMALL = 200_000
 
+#: What a task does with the columns of its rows.
+Work = Callable[[dict[str, list]], list[tuple]]
+
 #: Links as run_groups returns them.
 LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -72,7 +75,57 @@ def block_pairs(members: DataFrame, size: Column, member: Column, block: int, al
     return rows.withColumn("_i", F.least("_b", "_o")).withColumn("_j", F.greatest("_b", "_o")).drop("_g", "_o")
 
 
-def run_groups(rows: DataFrame, keys: list[str], work: Callable[[dict[str, list]], list[tuple]], schema: pa.Schema) -> DataFrame:
+def linked(members: DataFrame, keys: list[str], payload: DataFrame, within: Work, across: Work, block: int, sizes: DataFrame) -> DataFrame:
+    """Links (a, b) that connect whatever the pairs of similar members connect in each group, without all pairs of large groups.
+
+    ``members`` has the groups' keys, ``rep`` and its weight ``w``; ``payload``
+    a row for each rep; ``sizes`` the weight ``n`` of each group. ``within`` gets the rows of a task and returns links
+    that connect what is connected among them. A group of more weight than
+    ``block`` is dealt to tasks of about that weight, so that each row moves
+    once; then only one row goes on for each part that is connected so far,
+    until no more links are found. What is still apart is compared with the
+    rest of its group, leaving out the largest part's own pairs: ``across``
+    gets two blocks of rows with ``side`` (0 and 1) and part ``c``.
+    """
+    members = members.select(*keys, "rep", "w")
+    sizes = staged(sizes.select(*keys, "n").filter(F.col("n") > block), "sizes")
+    large = small_or_shuffled(sizes)
+
+    def dealt(rows: DataFrame, seed: int) -> DataFrame:
+        blocks = F.coalesce(F.ceil(F.col("n") / block), F.lit(1))
+        rows = rows.withColumn("_b", F.pmod(F.xxhash64("rep", F.lit(seed)), blocks).cast("int")).drop("n", "w")
+        return run_groups(rows.join(payload, "rep"), [*keys, "_b"], within, LINKS)
+
+    links = dealt(members.join(large, keys, "left"), 11)
+    if sizes.isEmpty():
+        return links
+    links = staged(links, "links")
+    rows = staged(members.join(large, keys).drop("n"), "large")
+    payload = staged(payload.join(small_or_shuffled(rows.select("rep").distinct()), "rep", "left_semi"), "payload")
+    for attempt in range(1, 100):
+        parts = staged(components(links), "parts")
+        known = rows.join(parts.select(F.col("node").alias("rep"), F.col("component").alias("_part")), "rep", "left").select(*keys, "rep", "w", F.coalesce("_part", "rep").alias("c"))
+        leaders = known.groupBy(*keys, "c").agg(F.min("rep").alias("rep"), F.max("w").alias("w"), F.sum("w").alias("size"))
+        apart = leaders.groupBy(*keys).agg(F.sum("w").alias("n"), F.count(F.lit(1)).alias("parts"), F.max_by("c", F.struct("size", "c")).alias("_most")).filter("parts > 1")
+        apart = staged(apart, "apart")
+        if apart.isEmpty():
+            return links
+        new = staged(dealt(leaders.drop("size", "c").join(small_or_shuffled(apart.select(*keys, "n")), keys), 11 + attempt), "links")
+        if new.isEmpty():
+            break
+        links = staged(links.unionByName(new), "links")
+    mixed = known.join(small_or_shuffled(apart.drop("n")), keys)
+    weights = mixed.groupBy(*keys).agg(F.sum("w").alias("_all"), F.sum(F.when(F.col("c") != F.col("_most"), F.col("w"))).alias("_few"))
+    count = lambda n: F.ceil(F.col(n) / block).cast("int")
+    mixed = mixed.join(small_or_shuffled(staged(weights.select(*keys, count("_all").alias("_all"), count("_few").alias("_few")), "weights")), keys)
+    at = lambda seed, n: F.pmod(F.xxhash64("rep", F.lit(seed)), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    few = mixed.filter("c <> _most").select(*keys, "rep", "c", F.lit(0).alias("side"), at(3, "_few").alias("_i"), every("_all").alias("_j"))
+    most = mixed.select(*keys, "rep", "c", F.lit(1).alias("side"), at(5, "_all").alias("_j"), every("_few").alias("_i"))
+    return links.unionByName(run_groups(few.unionByName(most).join(payload, "rep"), [*keys, "_i", "_j"], across, LINKS))
+
+
+def run_groups(rows: DataFrame, keys: list[str], work: Work, schema: pa.Schema) -> DataFrame:
     """Apply ``work`` to the columns of each group, many groups in a task without a call for each.
 
     The rows of a group must fit into memory; see block_pairs.

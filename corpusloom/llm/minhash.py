@@ -11,8 +11,9 @@ from the start; buckets with the same members are looked at once. Within a
 bucket a forest of pairs with similar signatures is found, in tasks of bounded
 size; its components bring the texts together on which the similarity is
 computed exactly. Pairs below the threshold are never linked, and pairs that
-are connected already need no check, so that groups of copies cost no square of
-their size.
+are connected already need no check: a large group is dealt to blocks, then one
+member for each connected part goes on, so that groups of copies cost no square
+of their size.
 """
 
 from __future__ import annotations
@@ -21,12 +22,12 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.llm.caches import TwoGenerations
 from corpusloom.llm.common import fresh, only, prepare, staged
-from corpusloom.llm.components import LINKS, block_pairs, components, run_groups, small_or_shuffled
+from corpusloom.llm.components import components, linked, small_or_shuffled
 
 WORDS, THRESHOLD = 5, 0.8
 #: A pair at the threshold agrees in no band with a probability of (1 - 0.8^ROWS)^BANDS = 3e-5.
@@ -34,8 +35,8 @@ BANDS, ROWS = 26, 5
 COORDINATES = BANDS * ROWS
 #: Signatures that agree in fewer coordinates are not compared exactly: 3.5 standard deviations below the threshold.
 SIMILAR = math.floor(COORDINATES * THRESHOLD - 3.5 * math.sqrt(COORDINATES * THRESHOLD * (1 - THRESHOLD)))
-#: Rows of a block, for signatures and for texts.
-BLOCK, TEXT_BLOCK = 1024, 256
+#: Rows of a block, for signatures and for texts; characters that count as one more row.
+BLOCK, TEXT_BLOCK, TEXT_CHARS = 1024, 256, 1 << 15
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -134,10 +135,18 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
     return common / (cx.sum() + cy.sum() - common)
 
 
+def _whole(words: np.ndarray) -> tuple[int, int]:
+    """A hash of 128 bits of a text's words."""
+    import xxhash
+
+    a, b = np.frombuffer(xxhash.xxh3_128_digest(words.tobytes()), np.int64)
+    return int(a), int(b)
+
+
 def signed(documents: DataFrame) -> DataFrame:
-    """doc_id, h1 and h2 (a hash of the words), sketch (16 bits of each coordinate) and bands; nulls for wordless texts."""
+    """doc_id, h1 and h2 (a hash of the words), w (the text's weight in a block), sketch (16 bits of each coordinate) and bands; nulls for wordless texts."""
 
-    @F.pandas_udf("h1 long, h2 long, sketch binary, bands array<long>")
+    @F.pandas_udf("h1 long, h2 long, w long, sketch binary, bands array<long>")
     def sign(texts: pd.Series) -> pd.DataFrame:
         import xxhash
 
@@ -145,14 +154,14 @@ def signed(documents: DataFrame) -> DataFrame:
         for text in texts:
             words, elements, counts = shingles(text or "")
             if not len(words):
-                rows.append((None, None, None, None))
+                rows.append((None, None, None, None, None))
                 continue
-            whole = np.frombuffer(xxhash.xxh3_128_digest(words.tobytes()), np.int64)
+            whole = _whole(words)
             names = signature(elements, counts.astype(float))
             bands = [xxhash.xxh3_64_intdigest(names[ROWS * i : ROWS * (i + 1)].tobytes(), seed=i) - (1 << 63) for i in range(BANDS)]
-            rows.append((int(whole[0]), int(whole[1]), (names & np.uint64(0xFFFF)).astype(np.uint16).tobytes(), bands))
-        frame = pd.DataFrame(rows, columns=["h1", "h2", "sketch", "bands"])
-        return frame.astype({"h1": "Int64", "h2": "Int64"})
+            rows.append((*whole, 1 + len(text) // TEXT_CHARS, (names & np.uint64(0xFFFF)).astype(np.uint16).tobytes(), bands))
+        frame = pd.DataFrame(rows, columns=["h1", "h2", "w", "sketch", "bands"])
+        return frame.astype({"h1": "Int64", "h2": "Int64", "w": "Int64"})
 
     return documents.select("doc_id", sign("text").alias("s")).select("doc_id", "s.*")
 
@@ -187,6 +196,29 @@ def _forest(ids: list[int], s: np.ndarray, sets: list | None) -> list[tuple]:
     return edges
 
 
+def _across(held: dict[str, list], sets: list | None) -> list[tuple]:
+    """Links between parts of a group, from rows of side 0 to those of side 1; none between parts that a link joins already."""
+    ids, c, side = held["rep"], np.array(held["c"], dtype=np.int64), np.array(held["side"])
+    s = np.frombuffer(b"".join(held["sketch"]), np.uint16).reshape(len(ids), COORDINATES)
+    to = np.flatnonzero(side == 1)
+    part, edges = c.copy(), []
+    for f in np.flatnonzero(side == 0):
+        like = to[((s[to] == s[f]).sum(1) >= SIMILAR) & (part[to] != part[f])]
+        for m in like:
+            if part[m] != part[f] and (sets is None or similarity(sets[f], sets[m]) >= THRESHOLD):
+                edges.append((ids[f], ids[m]))
+                part[part == part[m]] = part[f]
+    return edges
+
+
+def sketches_across(held: dict[str, list]) -> list[tuple]:
+    return _across(held, None)
+
+
+def texts_across(held: dict[str, list]) -> list[tuple]:
+    return _across(held, [shingles(t)[1:] for t in held["text"]])
+
+
 def classes(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A row for each document with its class of near copies: doc_id, class_id, kept.
 
@@ -194,42 +226,71 @@ def classes(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     lead to; kept is true for that document. Texts with equal words are in one
     class; those of fewer than five words are one shingle. Null texts and texts
     without words link with nothing; a null doc_id gives a row with a null
-    class, kept; rows with equal doc_id share a class. Other columns are
-    ignored.
+    class, kept; rows with equal doc_id share a class, whatever their texts,
+    which all count. Texts are taken as a whole, however long. Other columns
+    are ignored.
     """
     prepare(documents.sparkSession)
     base = staged(signed(only(documents, doc_id=id_col, text=text_col)), "signed")
     with_words = base.filter("doc_id is not null and h1 is not null")
-    reps = with_words.groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands"))
-    reps = staged(reps, "reps")
+    reps = with_words.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.max("w").alias("w"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands"))
+    reps = staged(reps.withColumn("rep", F.monotonically_increasing_id()), "reps")  # ids are as written
 
     in_bands = reps.select("rep", F.explode("bands").alias("band"))
     buckets = in_bands.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("lo"), F.max("rep").alias("hi"), F.bit_xor(F.xxhash64("rep")).alias("x"))
     buckets = buckets.filter("n > 1").groupBy("n", "lo", "hi", "x").agg(F.min("band").alias("band")).select("band", "n")
-    members = in_bands.join(buckets, "band")
-    pairs = block_pairs(members, F.col("n"), F.col("rep"), BLOCK).drop("n")
-    sketched = pairs.join(reps.select("rep", "sketch"), "rep")
-    near = run_groups(sketched, ["band", "_i", "_j"], sketch_forest, LINKS)
+    members = in_bands.join(buckets.select("band"), "band").withColumn("w", F.lit(1))
+    near = linked(members, ["band"], reps.select("rep", "sketch"), sketch_forest, sketches_across, BLOCK, buckets)
 
     clusters = staged(components(near), "clusters").withColumnRenamed("node", "rep")
-    sizes = clusters.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
-    dealt = block_pairs(clusters.join(sizes, "component"), F.col("n"), F.col("rep"), TEXT_BLOCK).drop("n")
-    wanted = small_or_shuffled(clusters.select(F.col("rep").alias("_id")))
-    texts = only(documents, doc_id=id_col, text=text_col).join(wanted, F.col("doc_id") == F.col("_id"), "left_semi")
-    texts = texts.dropDuplicates(["doc_id"]).withColumnRenamed("doc_id", "rep")
-    full = dealt.join(texts.join(reps.select("rep", "sketch"), "rep"), "rep")
-    linked = run_groups(full, ["component", "_i", "_j"], text_forest, LINKS)
-
-    found = components(linked).withColumnRenamed("node", "rep").withColumnRenamed("component", "class_id")
-    named = reps.select("h1", "h2", "rep").join(found, "rep", "left").select("h1", "h2", F.coalesce("class_id", "rep").alias("class_id"))
-    some = with_words.select("doc_id", "h1", "h2").join(named, ["h1", "h2"]).select("doc_id", "class_id")
-    none = base.filter("doc_id is null or h1 is null").select("doc_id", F.col("doc_id").alias("class_id"))
+    wanted = clusters.join(reps.select("rep", "w", "h1", "h2", "first", "sketch"), "rep")
+    wanted = staged(wanted.withColumnRenamed("first", "_id"), "wanted")
+
+    @F.pandas_udf("h1 long, h2 long")
+    def hashed(texts: pd.Series) -> pd.DataFrame:
+        rows = [_whole(w) if len(w := shingles(t)[0]) else (None, None) for t in texts]
+        return pd.DataFrame(rows, columns=["h1", "h2"]).astype("Int64")
+
+    texts = only(documents, doc_id=id_col, text=text_col).filter("text is not null")
+    texts = texts.join(small_or_shuffled(wanted.select("_id", "rep", "h1", "h2")), F.col("doc_id") == F.col("_id"))
+    texts = texts.withColumn("_h", hashed("text")).filter("_h.h1 = h1 and _h.h2 = h2").groupBy("rep").agg(F.min("text").alias("text"))
+    payload = texts.join(wanted.select("rep", "sketch"), "rep")
+    sizes = wanted.groupBy("component").agg(F.sum("w").alias("n"))
+    found = linked(wanted, ["component"], payload, text_forest, texts_across, TEXT_BLOCK, sizes)
+
+    named = with_words.select("doc_id", "h1", "h2").join(reps.select("h1", "h2", "rep", "first"), ["h1", "h2"]).select("doc_id", "rep", "first")
+    many = named.groupBy("doc_id").agg(F.min("rep").alias("_a"), F.max("rep").alias("_z")).filter("_a <> _z").select("doc_id", "_a")
+    many = staged(many, "many")  # ids with several texts
+    if not many.isEmpty():
+        found = found.unionByName(named.join(many, "doc_id").select(F.col("_a").alias("a"), F.col("rep").alias("b")).filter("a <> b"))
+    found = staged(components(found), "found").withColumnRenamed("node", "rep")
+    least = found.join(reps.select("rep", "first"), "rep").groupBy("component").agg(F.min("first").alias("class_id"))
+    member = found.join(least, "component").select("rep", "class_id")
+    some = named.join(member, "rep", "left").select("doc_id", F.coalesce("class_id", "first").alias("class_id"))
+    none = staged(base.filter("doc_id is null or h1 is null").select("doc_id"), "none")
+    ids = small_or_shuffled(none.filter("doc_id is not null").distinct())
+    told = some.join(ids, "doc_id", "left_semi").groupBy(F.col("doc_id").alias("_d")).agg(F.min("class_id").alias("class_id"))  # by a row with words
+    none = none.join(told, F.col("doc_id") == F.col("_d"), "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
     every = some.unionByName(none)
     return every.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)))
 
 
 def deduplicated(documents: DataFrame) -> DataFrame:
-    """The rows of ``documents`` that stay, one of each class, with their columns."""
+    """The rows of ``documents`` that stay, one of each class, with their columns.
+
+    Of rows with the kept doc_id only one stays, the first by text; rows without id
+    belong to no class and stay.
+    """
     key = fresh(documents, "_id")
-    gone = staged(classes(documents).filter("not kept").select(F.col("doc_id").alias(key)), "gone")
-    return documents.join(small_or_shuffled(gone), F.col("doc_id") == F.col(key), "left_anti")
+    found = staged(classes(documents), "classes")
+    gone = found.filter("not kept").select(F.col("doc_id").alias(key)).distinct()
+    left = documents.join(small_or_shuffled(gone), F.col("doc_id") == F.col(key), "left_anti")
+    again = found.filter("kept and doc_id is not null").groupBy(F.col("doc_id").alias(key)).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(key)
+    again = staged(again, "again")
+    if again.isEmpty():
+        return left
+    once = left.join(small_or_shuffled(again), F.col("doc_id") == F.col(key), "left_anti")
+    place = fresh(documents, "_place")
+    rows = left.join(small_or_shuffled(again), F.col("doc_id") == F.col(key), "left_semi")
+    rows = rows.withColumn(place, F.row_number().over(Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last())))
+    return once.unionByName(rows.filter(F.col(place) == 1).drop(place))

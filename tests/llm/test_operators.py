@@ -254,7 +254,10 @@ def true_classes(texts):
     return [find(i) for i in range(len(texts))]
 
 
-def test_near_duplicates(spark, words):
+@pytest.mark.parametrize("blocks", [None, (8, 4, 200)])
+def test_near_duplicates(spark, words, monkeypatch, blocks):
+    for name, size in zip(("BLOCK", "TEXT_BLOCK", "TEXT_CHARS"), blocks or (), strict=False):
+        monkeypatch.setattr(minhash, name, size)  # so that groups are dealt to many tasks
     r = np.random.default_rng(8)
     texts = [None, "", "a b", "a b", "a c"]
     for _ in range(6):
@@ -277,6 +280,24 @@ def test_near_duplicates(spark, words):
     assert sorted((x.doc_id is None, x.class_id) for x in odd if x.doc_id is not None) == [(False, 5), (False, 5)]
 
 
+def test_repeated_ids_lose_no_link(spark, words):
+    a, b = " ".join(words[:60]), " ".join(words[100:160])
+    texts, ids = [a, b, b + " end", None, a + " end", "lone text"], [5, 5, 7, 5, 9, 11]
+    rows = minhash.classes(docs(spark, texts, ids)).collect()
+    assert sorted((r.doc_id, r.class_id) for r in rows) == [(5, 5), (5, 5), (5, 5), (7, 5), (9, 5), (11, 11)]
+    left = minhash.deduplicated(docs(spark, texts, ids)).collect()
+    assert sorted(r.doc_id for r in left) == [5, 11]
+
+
+def test_parts_of_a_large_group_are_joined_by_their_only_link(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "TEXT_BLOCK", 16)
+    base = [f"w{i}" for i in range(400)]
+    step = lambda k: " ".join([f"x{i}" for i in range(k)] + base[k:])
+    texts = [step(k) + f" end{i}" for k in (0, 30, 60, 90) for i in range(25)] + [step(k) for k in (120, 150)]
+    rows = minhash.classes(docs(spark, texts)).toPandas().set_index("doc_id")
+    assert [rows.class_id[i] for i in range(len(texts))] == true_classes(texts)
+
+
 def test_signatures_agree_as_often_as_the_sets():
     a, b = minhash.shingles("a b c d e " * 40), minhash.shingles("a b c d e " * 30 + "f g h i j k l")
     s, t = (minhash.signature(x[1], x[2].astype(float), 3000) for x in (a, b))
