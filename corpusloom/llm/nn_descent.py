@@ -22,11 +22,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import prepare, staged
-from corpusloom.llm.components import LINKS, block_pairs, components, run_groups
+from corpusloom.llm.components import LINKS, block_pairs, components, run_groups, small_or_shuffled
 
 THRESHOLD = 0.95
 #: Length of a list, tables of codes to start with, vectors in a bucket, rounds of the descent.
 NEIGHBOURS, TABLES, BUCKET, ROUNDS = 16, 10, 256, 2
+#: Groups that the lists of one vector are merged in at first.
+SALTS = 8
 #: Less similar vectors aren't taken into lists: two links in a row still give 0.8.
 FLOOR = 0.6
 #: Queries of the audit, the recall it asks for, and how often it may add tables.
@@ -40,11 +42,19 @@ _COUNTS = pa.schema([("id", pa.int64()), ("links", pa.int64())])
 
 
 def _unpack(rows: list[bytes], wide: bool) -> np.ndarray:
-    """Unit vectors in double precision."""
+    """Unit vectors in double precision, of rows of one length. Powers of two keep squares of very large and very small components finite."""
     x = np.frombuffer(b"".join(rows), np.float64 if wide else np.float32).reshape(len(rows), -1).astype(np.float64)
+    x = np.ldexp(x, -np.frexp(np.abs(x).max(1, keepdims=True))[1])
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
+def _by_length(rows: list[bytes]) -> dict[int, list[int]]:
+    out: dict[int, list[int]] = {}
+    for i, r in enumerate(rows):
+        out.setdefault(len(r), []).append(i)
+    return out
+
+
 def nearest(ids: list[int], x: np.ndarray, most: int, parts: list[int]) -> list[tuple]:
     """The list of each vector among those given, without those of its own part."""
     out, ids = [], np.array(ids)
@@ -61,29 +71,37 @@ def nearest(ids: list[int], x: np.ndarray, most: int, parts: list[int]) -> list[
 
 
 def _merge(lists: DataFrame) -> DataFrame:
-    """One list for each id from several, the nearest first."""
+    """One list for each id from several, the nearest first; in two steps, as some ids are in very many lists."""
     every = F.sort_array(F.array_distinct(F.flatten(F.collect_list("found"))), asc=False)
-    return lists.groupBy("id").agg(F.slice(every, 1, NEIGHBOURS).alias("found"))
+    some = lists.groupBy("id", F.pmod(F.xxhash64("found"), F.lit(SALTS)).alias("salt")).agg(F.slice(every, 1, NEIGHBOURS).alias("found"))
+    return some.groupBy("id").agg(F.slice(every, 1, NEIGHBOURS).alias("found"))
 
 
-def _from_buckets(nodes: DataFrame, dims: int, total: int, tables: range, wide: bool) -> DataFrame:
-    bits = max(0, min(40, int(np.ceil(np.log2(max(1, total / (BUCKET / 2)))))))
-    planes = [np.random.default_rng(1000 + t).normal(size=(dims, bits)) for t in tables]
+def _sizes(nodes: DataFrame) -> dict[int, int]:
+    """The number of vectors of each length in bytes, of which there are few."""
+    return dict(map(tuple, nodes.groupBy(F.octet_length("x")).agg(F.count(F.lit(1))).collect()))
+
+
+def _from_buckets(nodes: DataFrame, sizes: dict[int, int], tables: range, wide: bool) -> DataFrame:
+    bits = {d: max(0, min(40, int(np.ceil(np.log2(max(1, n / (BUCKET / 2))))))) for d, n in sizes.items()}
 
     @F.pandas_udf("array<long>")
     def codes(x: pd.Series) -> pd.Series:
-        if not len(x):
-            return pd.Series([], dtype=object)
-        v = _unpack(list(x), wide)
-        weights = 1 << np.arange(bits, dtype=np.int64)
-        return pd.Series(list(np.stack([(v @ p > 0) @ weights if bits else np.zeros(len(v), np.int64) for p in planes], 1)))
-
-    coded = staged(nodes.select("id", F.posexplode(codes("x")).alias("t", "code")), "codes")
-    sizes = coded.groupBy("t", "code").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+        rows, out = list(x), [None] * len(x)
+        for d, at in _by_length(rows).items():
+            v, n = _unpack([rows[i] for i in at], wide), bits[d]
+            planes = [np.random.default_rng(1000 + t).normal(size=(v.shape[1], n)) for t in tables]
+            weights = 1 << np.arange(n, dtype=np.int64)
+            for i, code in zip(at, np.stack([(v @ p > 0) @ weights if n else np.zeros(len(v), np.int64) for p in planes], 1), strict=True):
+                out[i] = code
+        return pd.Series(out, dtype=object)
+
+    coded = staged(nodes.select("id", F.octet_length("x").alias("d"), F.posexplode(codes("x")).alias("t", "code")), "codes")
+    counted = coded.groupBy("t", "d", "code").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     salt = F.pmod(F.xxhash64("id", "t"), F.ceil(F.col("n") / BUCKET).cast("long"))
-    dealt = coded.join(sizes, ["t", "code"]).select("t", "code", salt.alias("salt"), "id")
+    dealt = coded.join(counted, ["t", "d", "code"]).select("t", "d", "code", salt.alias("salt"), "id")
     rows = dealt.join(nodes, "id")
-    return run_groups(rows, ["t", "code", "salt"], lambda g: nearest(g["id"], _unpack(g["x"], wide), NEIGHBOURS, g["c"]), _LISTS)
+    return run_groups(rows, ["t", "d", "code", "salt"], lambda g: nearest(g["id"], _unpack(g["x"], wide), NEIGHBOURS, g["c"]), _LISTS)
 
 
 def _descend(lists: DataFrame, ways: DataFrame, nodes: DataFrame, wide: bool) -> DataFrame:
@@ -103,7 +121,7 @@ def _joined(parts: DataFrame, links: DataFrame) -> DataFrame:
     return staged(components(parts.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(links)), "parts")
 
 
-def _beyond_full_lists(lists: DataFrame, parts: DataFrame, nodes: DataFrame, dims: int, wide: bool, first: int) -> DataFrame:
+def _beyond_full_lists(lists: DataFrame, parts: DataFrame, nodes: DataFrame, wide: bool, first: int) -> DataFrame:
     """Join components by links that full lists may have lost.
 
     A link is in neither list only if both are full of nearer ones, so just
@@ -114,10 +132,9 @@ def _beyond_full_lists(lists: DataFrame, parts: DataFrame, nodes: DataFrame, dim
     while True:
         c = parts.select(F.col("node").alias("id"), F.col("component").alias("c"))
         some = staged(nodes.select("id", "x").join(full, "id").join(c, "id"), "some")
-        total, groups = some.agg(F.count(F.lit(1)), F.count_distinct("c")).first()
-        if groups < 2:
+        if some.select("c").distinct().limit(2).count() < 2:
             return parts
-        others = staged(_merge(_from_buckets(some, dims, total, range(first, first + TABLES), wide)), "others")
+        others = staged(_merge(_from_buckets(some, _sizes(some), range(first, first + TABLES), wide)), "others")
         for _ in range(ROUNDS):
             others = staged(_descend(others, lists.unionByName(others), some, wide), "others")
         found = _links(others)
@@ -137,12 +154,17 @@ def _audit(nodes: DataFrame, parts: DataFrame, wide: bool) -> float:
     asked = nodes.join(F.broadcast(linked.union(other).distinct()), "id").select("id", "x").toPandas()  # at most QUERIES rows
     if not len(asked):
         return 1.0
-    q, names = _unpack(list(asked.x), wide), asked.id.to_numpy()
+    queries = {d: (_unpack([asked.x[i] for i in at], wide), asked.id.to_numpy()[at]) for d, at in _by_length(list(asked.x)).items()}
 
     @F.pandas_udf("array<long>")
     def links(ids: pd.Series, x: pd.Series) -> pd.Series:
-        s = _unpack(list(x), wide) @ q.T >= THRESHOLD if len(x) else np.zeros((0, len(q)), bool)
-        return pd.Series([names[r & (names != i)] for r, i in zip(s, ids, strict=True)], dtype=object)
+        rows, out = list(x), [np.zeros(0, np.int64)] * len(x)
+        for d, at in _by_length(rows).items():
+            if d in queries:
+                q, names = queries[d]
+                for i, like in zip(at, _unpack([rows[i] for i in at], wide) @ q.T >= THRESHOLD, strict=True):
+                    out[i] = names[like & (names != ids[i])]
+        return pd.Series(out, dtype=object)
 
     true = nodes.select("id", F.explode(links("id", "x")).alias("q"))
     a = parts.select(F.col("node").alias("id"), F.col("component").alias("ca"))
@@ -163,9 +185,10 @@ def _crossing(group: dict[str, list], wide: bool) -> list[tuple]:
 def _every_pair(nodes: DataFrame, parts: DataFrame, wide: bool) -> DataFrame:
     """The components with all links between them: all pairs of vectors are compared, in blocks."""
     known = parts.select(F.col("node").alias("id"), "component")
-    rows = nodes.select("id", "x").join(known, "id", "left").select("id", "x", F.coalesce("component", "id").alias("c"))
-    dealt = block_pairs(rows, F.lit(nodes.count()), F.col("id"), EXACT_BLOCK, alone=True)
-    return _joined(parts, run_groups(dealt, ["_i", "_j"], lambda g: _crossing(g, wide), LINKS))
+    rows = nodes.select("id", "x").join(known, "id", "left").select("id", "x", F.octet_length("x").alias("d"), F.coalesce("component", "id").alias("c"))
+    sizes = F.create_map(*[F.lit(v) for pair in _sizes(nodes).items() for v in pair])
+    dealt = block_pairs(rows, F.element_at(sizes, F.col("d")), F.col("id"), EXACT_BLOCK, alone=True)
+    return _joined(parts, run_groups(dealt, ["d", "_i", "_j"], lambda g: _crossing(g, wide), LINKS))
 
 
 def _count_links(group: dict[str, list], wide: bool) -> list[tuple]:
@@ -185,51 +208,62 @@ def links(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
 
     Returns vec_id, n_links, component_id, kept: a row for each row of the
     table. Vectors that are null, empty, zero, or hold null or non-finite
-    components, those of a rare number of components and those without id link
-    with nothing and stay. Rows with equal ids are taken as one vector. Other
-    columns are ignored.
+    components and those without id link with nothing and stay; vectors link
+    with those of as many components only. Repeated rows are one vector; rows
+    with equal ids and different vectors are vectors of their own that share a
+    component. Other columns are ignored.
     """
     prepare(vectors.sparkSession, 4000)
     wide = "double" in vectors.schema[vector_col].dataType.simpleString()
     source = vectors.select(F.col(f"`{id_col}`").alias("vec_id"), F.col(f"`{vector_col}`").alias("v"))
     fine = F.coalesce(F.forall("v", lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) != float("inf"))) & F.exists("v", lambda e: e != 0), F.lit(False))
-    usable = source.filter(fine & F.col("vec_id").isNotNull())
-    common = usable.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "d").first()
-    if common is None:
-        return source.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    dims = common["d"]
 
     @F.pandas_udf("binary")
     def packed(v: pd.Series) -> pd.Series:
-        return pd.Series([np.asarray(e, np.float64 if wide else np.float32).tobytes() for e in v], dtype=object)
-
-    keyed = usable.filter(F.size("v") == dims).dropDuplicates(["vec_id"]).select(F.col("vec_id").alias("id"), packed("v").alias("x"))
-    keyed = staged(keyed, "vectors")
-    nodes = keyed.groupBy("x").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"))
-    nodes = staged(nodes.select("id", "x", "copies", F.col("id").alias("c")), "nodes")
-    total = nodes.count()
+        return pd.Series([None if e is None else np.asarray(e, np.float64 if wide else np.float32).tobytes() for e in v], dtype=object)
+
+    rows = source.select("vec_id", packed(F.when(fine & F.col("vec_id").isNotNull(), F.col("v"))).alias("x"))
+    rows = staged(rows.withColumn("m", F.unhex(F.md5("x"))), "vectors")  # m stands for x in thin rows
+    ids = rows.filter("m is not null").select("vec_id", "m").distinct()
+    counts = ids.groupBy("m").agg(F.count(F.lit(1)).alias("copies"))
+    nodes = rows.filter("m is not null").groupBy("m").agg(F.first("x").alias("x")).join(counts, "m")
+    nodes = staged(nodes.withColumn("id", F.monotonically_increasing_id()).withColumn("c", F.col("id")), "nodes")  # ids are as written
+    sizes = _sizes(nodes)
     lists, parts = None, None
     for attempt in range(ATTEMPTS):
         tables = range(attempt * TABLES, (attempt + 1) * TABLES)
-        started = _from_buckets(nodes.select("id", "x", "c"), dims, total, tables, wide)
+        started = _from_buckets(nodes.select("id", "x", "c"), sizes, tables, wide)
         lists = staged(_merge(started if lists is None else lists.unionByName(started)), "lists")
         for _ in range(ROUNDS):
             lists = staged(_descend(lists, lists, nodes.select("id", "x", "c"), wide), "lists")
         parts = staged(components(_links(lists)), "parts") if parts is None else _joined(parts, _links(lists))
-        parts = _beyond_full_lists(lists, parts, nodes, dims, wide, (attempt + 1) * 100_000)
+        parts = _beyond_full_lists(lists, parts, nodes, wide, (attempt + 1) * 100_000)
         if _audit(nodes, parts, wide) >= RECALL:
             break
     else:
         parts = _every_pair(nodes, parts, wide)
-    sizes = parts.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
-    members = parts.join(sizes, "component").withColumnRenamed("node", "id")
+    found = parts.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
+    members = parts.join(found, "component").withColumnRenamed("node", "id")
     dealt = block_pairs(members, F.col("n"), F.col("id"), BLOCK, alone=True).drop("n").join(nodes.select("id", "x", "copies"), "id")
     counted = run_groups(dealt, ["component", "_i", "_j"], lambda g: _count_links(g, wide), _COUNTS).groupBy("id").agg(F.sum("links").alias("links"))
-    found = nodes.select("id", "copies").join(parts.withColumnRenamed("node", "id"), "id", "left").join(counted, "id", "left")
-    found = found.select(F.col("id").alias("first"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "id").alias("component"))
-    alike = keyed.join(nodes.filter("copies > 1").select("x", F.col("id").alias("first")), "x").select("id", "first")
-    alike = alike.unionByName(nodes.filter("copies = 1").select("id", F.col("id").alias("first")))
-    known = alike.join(found, "first").drop("first")
-    out = source.select("vec_id").join(known, F.col("vec_id") == F.col("id"), "left")
-    out = out.select("vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("component", "vec_id").alias("component_id"))
+    return _named(rows.select("vec_id", "m"), ids, nodes.select("id", "m", "copies"), parts, counted)
+
+
+def _named(rows: DataFrame, ids: DataFrame, nodes: DataFrame, parts: DataFrame, counted: DataFrame) -> DataFrame:
+    """The result for each row, from what is known of the nodes; components are named by their smallest vec_id."""
+    ids = staged(ids.join(nodes, "m").select("vec_id", "id"), "ids")
+    several = ids.groupBy("vec_id").agg(F.min("id").alias("a"), F.max("id").alias("z")).filter("a <> z")
+    several = staged(ids.join(small_or_shuffled(staged(several.select("vec_id", "a"), "several")), "vec_id").select("a", F.col("id").alias("b")), "shared")
+    whole = parts if several.isEmpty() else _joined(parts, several)
+    grouped = ids.join(whole.withColumnRenamed("node", "id"), "id").select("vec_id", "component")
+    grouped = grouped.groupBy("component").agg(F.min("vec_id").alias("component_id"))
+    alone = ids.groupBy("id").agg(F.min("vec_id").alias("least"))
+    known = nodes.join(whole.withColumnRenamed("node", "id"), "id", "left").join(grouped, "component", "left").join(alone, "id").join(counted, "id", "left")
+    known = known.select("m", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component_id", "least").alias("component_id"))
+    fine = rows.filter("m is not null").join(known, "m").select("vec_id", "n_links", "component_id")
+    rest = staged(rows.filter("m is null").select("vec_id"), "rest")
+    asked = small_or_shuffled(rest.filter("vec_id is not null").distinct())
+    told = fine.join(asked, "vec_id", "left_semi").groupBy(F.col("vec_id").alias("_v")).agg(F.min("component_id").alias("component_id"))  # by a row with a vector
+    rest = rest.join(told, F.col("vec_id") == F.col("_v"), "left").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
+    out = fine.unionByName(rest)
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))

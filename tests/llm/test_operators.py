@@ -363,6 +363,16 @@ def test_links_between_groups_of_many_copies(spark, monkeypatch, exact):
     assert part.max() == 0 and got.n_links.tolist() == n.tolist() and got.component_id.tolist() == part.tolist()
 
 
+def test_vectors_of_any_length_norm_and_repeated_ids(spark):
+    schema = "vec_id long, embedding array<double>"
+    rows = [(10, [1.0, 2.0]), (11, [1.0, 2.0]), (12, [1e200, 2e200]), (13, [1e-200, 2e-200]), (14, [2.0, -1.0])]
+    rows += [(20 + i, [1.0, float(i) / 50, 0.5]) for i in range(4)] + [(20, [0.0, 0.0, 1.0]), (30, [0.0, 0.01, 1.0]), (31, None), (20, None)]
+    got = sorted(tuple(r) for r in nn_descent.links(spark.createDataFrame(rows, schema)).collect())
+    want = [(i, 3, 10, i == 10) for i in (10, 11, 12, 13)] + [(14, 0, 14, True)]
+    want += [(20 + i, 3, 20, i == 0) for i in range(4)] + [(20, 1, 20, True), (30, 1, 20, False), (31, 0, 31, True), (20, 0, 20, True)]
+    assert got == sorted(want)
+
+
 PAGE = "<html><body><div class='top'>Site</div><nav>menu</nav><div id='c'><h2>T%d &amp; co</h2><p>story %d is\n long <b>enough</b></p><div>Follow us</div><div class='comments'><p>hi</p></div></div><div class='ft'>Corp</div><script>var x='</p>';</script></body></html>"
 
 
