@@ -12,6 +12,7 @@ into a DataFrame expression. Base spans are kept whatever the vote.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -34,7 +35,7 @@ BASE = {
 }
 #: What wider spans look like: addresses written out, IPv6, card numbers that fail the check, numbers without country code.
 WIDE = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+\x20?[\[(](?:at|AT|arroba)[\])]\x20?[A-Za-z0-9-]{1,63}(?:\x20?(?:[\[(](?:dot|DOT|punto|point|punkt)[\])]|\.)\x20?[A-Za-z0-9-]{1,63}){1,8}",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++\x20?[\[(](?i:at|arroba)[\])]\x20?[A-Za-z0-9-]++(?:(?:\x20?[\[(](?i:dot|punto|point|punkt)[\])]\x20?|\.)[A-Za-z0-9-]++)++",
     "ip": r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])",
     "card": r"(?<![0-9])[0-9]{4}([\x20-])[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?![0-9])",
     "phone": r"(?<![0-9+.-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9.-])",
@@ -111,33 +112,28 @@ def candidates(documents: DataFrame) -> DataFrame:
     # a look at a few characters spares most texts the patterns
     digit = F.col("text").rlike("[0-9]")
     possible = {"email": F.contains("text", F.lit("@")), "ip": digit, "card": digit, "phone": digit & F.contains("text", F.lit("+"))}
-    wide = {"email": F.col("text").rlike(r"[\[(](?:at|AT|arroba)[\])]"), "ip": digit & F.contains("text", F.lit(":")), "card": digit, "phone": digit}
+    wide = {"email": F.col("text").rlike(r"[\[(](?i:at|arroba)[\])]"), "ip": digit & F.contains("text", F.lit(":")), "card": digit, "phone": digit}
     rows = rows.select(
         "doc_id", "text",
         *[F.when(possible[k], spans.marked(F.col("text"), BASE[k])).otherwise("").alias(f"b_{k}") for k in KINDS],
         *[F.when(wide[k], spans.marked(F.col("text"), WIDE[k])).otherwise("").alias(f"w_{k}") for k in KINDS],
     )
-    rows = rows.select("doc_id", "text", *[spans.places(F.col(c)).alias(c) for c in rows.columns[2:]])
+    rows = spans.places(rows, rows.columns[2:])
     rows = rows.select("doc_id", "text", *[F.filter(f"b_{k}", _validity(k)).alias(f"b_{k}") for k in KINDS], *[f"w_{k}" for k in KINDS])
+    apart = lambda x: ~reduce(Column.__or__, [spans.overlaps(F.col(f"b_{k}"), x) for k in KINDS])
+    any_found = sum((F.size(f"{s}_{k}") for s in "bw" for k in KINDS), F.lit(0)) > 0
+    rows = rows.select("doc_id", F.when(any_found, spans.segments(F.col("text"))).alias("text"), *[f"b_{k}" for k in KINDS], *[F.filter(f"w_{k}", apart).alias(f"w_{k}") for k in KINDS])
 
     def about(kind: str, base: bool) -> Column:
         def one(x: Column) -> Column:
-            text = F.col("text")
-            left = F.substring(text, F.greatest(x["start"] - 39, F.lit(1)), F.least(x["start"], F.lit(40)))
-            right = F.substring(text, x["end"] + 1, F.lit(4))
-            return F.struct(x["start"].alias("start"), x["end"].alias("end"), F.lit(KINDS.index(kind)).alias("kind"), F.lit(base).alias("base"), _votes(kind, F.lit(base), x["match"], left, right).alias("votes"))
+            start = F.greatest(x["start"] - 40, F.lit(0))
+            left = spans.piece(F.col("text"), start, x["start"] - start)
+            right = spans.piece(F.col("text"), x["end"], F.lit(4))
+            return F.struct(x["start"].alias("start"), F.lit(KINDS.index(kind)).alias("kind"), x["end"].alias("end"), F.lit(base).alias("base"), _votes(kind, F.lit(base), x["match"], left, right).alias("votes"))
 
         return F.transform(f"{'b' if base else 'w'}_{kind}", one)
 
-    found = rows.select("doc_id", F.concat(*[about(k, True) for k in KINDS]).alias("sure"), F.concat(*[about(k, False) for k in KINDS]).alias("more"))
-    apart = F.filter("more", lambda x: ~F.exists("sure", lambda y: (y["start"] < x["end"]) & (x["start"] < y["end"])))
-    return found.select("doc_id", F.array_sort(F.concat("sure", apart), _by_place).alias("found"))
-
-
-def _by_place(x: Column, y: Column) -> Column:
-    less = (x["start"] < y["start"]) | ((x["start"] == y["start"]) & (x["kind"] < y["kind"]))
-    more = (x["start"] > y["start"]) | ((x["start"] == y["start"]) & (x["kind"] > y["kind"]))
-    return F.when(less, -1).when(more, 1).otherwise(0)
+    return rows.select("doc_id", F.array_sort(F.concat(*[about(k, True) for k in KINDS], *[about(k, False) for k in KINDS])).alias("found"))
 
 
 def estimate(patterns: list[tuple[int, str, int]], rounds: int = 50) -> dict[tuple[int, str], float]:

@@ -18,7 +18,7 @@ from corpusloom.llm.common import fresh
 #: Kinds of candidates: by the name in front, as a key block, by their form, or any long token of mixed characters.
 NAMED = r"(?i:(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|auth[_-]?key|client[_-]?secret|bearer)[\"']?\x20?[:=]\x20?[\"']?)"
 BLOCK = r"-----BEGIN\x20[A-Z\x20]{0,24}PRIVATE\x20KEY-----[A-Za-z0-9+/=\s]++-----END\x20[A-Z\x20]{0,24}PRIVATE\x20KEY-----"
-LONG = r"(?:\G|(?<![A-Za-z0-9+/_=-]))(?=[A-Za-z+/_=-]{0,60}[0-9])(?=[0-9+/_=-]{0,60}[A-Za-z])[A-Za-z0-9+/_=-]{16,}+"
+LONG = r"(?:\G|(?<![A-Za-z0-9+/_=-]))(?=[A-Za-z+/_=-]*+[0-9])(?=[0-9+/_=-]*+[A-Za-z])[A-Za-z0-9+/_=-]{16,}+"
 PATTERN = rf"({NAMED})([A-Za-z0-9+/_=.@!$%^&*~-]{{8,}}+)|({BLOCK})|({LONG})"
 REPLACEMENT = f"$1{spans.OPEN}$2$3$4{spans.CLOSE}"
 
@@ -41,17 +41,17 @@ FEATURES = ("length", "transitions", "digits", "upper", "distinct", "covered", "
 def feature_columns(match: Column, left: Column, right: Column, named: Column) -> list[Column]:
     """Numbers about a candidate, its place in a path and the words before it, in the order of FEATURES."""
     n = F.length(match).cast("double")
-    kinds = F.translate(F.substring(match, 1, 200), "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "a" * 26 + "B" * 26 + "0" * 10)
+    kinds = F.translate(match, "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "a" * 26 + "B" * 26 + "0" * 10)
     runs = F.regexp_replace(kinds, r"(.)\1*+", "$1")
     m = F.length(kinds).cast("double")
     flag = lambda c: c.cast("double")
-    covered = m - F.length(F.regexp_replace(F.lower(F.substring(match, 1, 200)), "|".join(sorted(WORDS, key=len, reverse=True)), ""))
+    covered = m - F.length(F.regexp_replace(F.lower(match), "|".join(sorted(WORDS, key=len, reverse=True)), ""))
     return [
         F.least(n, F.lit(100.0)),
         F.length(runs) / m,
         F.length(F.regexp_replace(kinds, "[^0]", "")) / m,
         F.length(F.regexp_replace(kinds, "[^B]", "")) / m,
-        F.size(F.array_distinct(F.split(F.substring(match, 1, 64), ""))).cast("double"),
+        F.size(F.array_distinct(F.split(match, ""))).cast("double"),
         covered / m,
         flag(left.rlike(r"(?:https?://|www\.|/|\\)[^\s]*$") | right.rlike(r"^[/\\?]|^\.[A-Za-z]{2,4}\b") | match.rlike(r"[A-Za-z]/[A-Za-z][^/]*/")),
         flag(left.rlike(KEYWORD)), flag(left.rlike(BENIGN)), flag(match.rlike(KNOWN)),
@@ -59,17 +59,22 @@ def feature_columns(match: Column, left: Column, right: Column, named: Column) -
     ]
 
 
-def candidates(text: Column) -> Column:
-    """array<struct<start, end, features>> of a text, whose marks are removed already."""
-    found = spans.places(spans.marked(text, PATTERN, REPLACEMENT))
+def candidates(rows: DataFrame, text: Column, name: str) -> DataFrame:
+    """``rows`` with ``name``, array<struct<start, end, f>>: the candidates of a text and their features."""
+    pieces = fresh(rows, "_pieces")
+    plain = fresh(rows, "_text")
+    rows = rows.withColumn(plain, spans.plain(text))
+    rows = spans.places(rows.withColumn(name, spans.marked(F.col(plain), PATTERN, REPLACEMENT)), [name])
+    rows = rows.withColumn(pieces, F.when(F.size(name) > 0, spans.segments(F.col(plain)))).drop(plain)
 
     def one(x: Column) -> Column:
-        left = F.substring(text, F.greatest(x["start"] - 59, F.lit(1)), F.least(x["start"], F.lit(60)))
-        right = F.substring(text, x["end"] + 1, F.lit(8))
+        start = F.greatest(x["start"] - 60, F.lit(0))
+        left = spans.piece(F.col(pieces), start, x["start"] - start)
+        right = spans.piece(F.col(pieces), x["end"], F.lit(8))
         named = left.rlike(NAMED + "$")
         return F.struct(x["start"].alias("start"), x["end"].alias("end"), F.array(*feature_columns(x["match"], left, right, named)).alias("f"))
 
-    return F.transform(found, one)
+    return rows.withColumn(name, F.transform(name, one)).drop(pieces)
 
 
 def labelled_findings(seed: int = 5, count: int = 150) -> list[tuple[str, str, int]]:
@@ -151,20 +156,20 @@ class Forest:
 
 
 def train(spark: SparkSession, findings: list[tuple[str, str, int]] | None = None, most: int = 20_000) -> Forest:
-    """The forest from labelled findings (text before, token, label), of which at most ``most`` are taken."""
-    findings = (labelled_findings() if findings is None else findings)[:most]
+    """The forest from labelled findings (text before, token, label), of which at most ``most``, a sample, are taken."""
+    findings = labelled_findings() if findings is None else findings
+    if len(findings) > most:
+        findings = random.Random(9).sample(findings, most)
     table = spark.createDataFrame(findings, "left string, token string, label int")
     named = F.col("left").rlike(NAMED + "$")
     got = table.select(F.array(*feature_columns(F.col("token"), F.substring("left", -60, 60), F.lit(" "), named)).alias("f"), "label").collect()
     return Forest(np.array([r.f for r in got], dtype=float), np.array([r.label for r in got], dtype=float))
 
 
-def _judged(documents: DataFrame, text: Column, forest: Forest, text_name: str, found_name: str) -> DataFrame:
-    """``documents`` with the text without marks and the candidates with their scores."""
-    rows = documents.withColumn(text_name, spans.plain(text))
-    rows = rows.withColumn(found_name, candidates(F.col(text_name)))
-    scored = F.transform(found_name, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), forest.column(x["f"]).alias("score")))
-    return rows.withColumn(found_name, scored)
+def _judged(documents: DataFrame, text: Column, forest: Forest, name: str) -> DataFrame:
+    """``documents`` with ``name``, the candidates of a text with their scores."""
+    rows = candidates(documents, text, name)
+    return rows.withColumn(name, F.transform(name, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), forest.column(x["f"]).alias("score"))))
 
 
 def scan(documents: DataFrame, forest: Forest | None = None, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -176,7 +181,7 @@ def scan(documents: DataFrame, forest: Forest | None = None, threshold: float =
     """
     forest = forest or train(documents.sparkSession)
     rows = documents.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    rows = _judged(rows, F.col("text"), forest, "text", "found").select("doc_id", "found")
+    rows = _judged(rows, F.col("text"), forest, "found").select("doc_id", "found")
     secrets = F.filter("found", lambda x: x["score"] >= threshold)
     listed = F.array_join(F.transform(secrets, lambda x: F.concat_ws(":", x["start"].cast("string"), x["end"].cast("string"))), ",")
     return rows.select("doc_id", F.size("found").cast("long").alias("n_candidates"), F.size(secrets).cast("long").alias("n_secrets"), listed.alias("spans"))
@@ -186,16 +191,13 @@ def redacted(documents: DataFrame, forest: Forest | None = None, threshold: floa
     """``documents`` with each secret in ``text`` replaced by ``mask`` and n_chars set anew; other texts stay as they are."""
     forest = forest or train(documents.sparkSession)
     names = documents.columns
-    plain, found = fresh(documents, "_plain"), fresh(documents, "_found")
-    rows = _judged(documents, F.col("text"), forest, plain, found)
-    rows = rows.withColumn(found, F.filter(found, lambda x: x["score"] >= threshold))
-
-    def step(state: Column, x: Column) -> Column:
-        before = F.substring(F.col("text"), state["at"] + 1, x["start"] - state["at"])
-        return F.struct(x["end"].alias("at"), F.concat(state["out"], before, F.lit(mask)).alias("out"))
-
-    first = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    new = F.aggregate(found, first, step, lambda s: F.concat(s["out"], F.substring(F.col("text"), s["at"] + 1, F.length("text") - s["at"])))
+    found, pieces = fresh(documents, "_found"), fresh(documents, "_pieces")
+    rows = _judged(documents, F.col("text"), forest, found)
+    rows = rows.withColumn(found, F.filter(found, lambda x: x["score"] >= threshold)).withColumn(pieces, F.when(F.size(found) > 0, spans.segments(F.col("text"))))
+    before = lambda i: F.when(i == 0, 0).otherwise(F.get(found, i - 1)["end"])
+    kept = F.transform(found, lambda x, i: F.concat(spans.piece(F.col(pieces), before(i), x["start"] - before(i)), F.lit(mask)))
+    last = before(F.size(found))
+    new = F.concat(F.array_join(kept, ""), spans.piece(F.col(pieces), last, F.length("text") - last))
     rows = rows.withColumn("text", F.when(F.size(found) > 0, new).otherwise(F.col("text")))
     if "n_chars" in names:
         kind = documents.schema["n_chars"].dataType
