@@ -1,15 +1,18 @@
 """Quality rules whose cutoffs keep the risk of false rejection under control.
 
 Each text gets counts (words, symbols, repeated lines and words ...) and from
-them a few statistics that are high for junk. For each statistic and stratum a
-cutoff is chosen on labelled holdout rows: from lenient to strict, cutoffs are
-tested in a fixed order, and the strictest is taken before the first whose
-exact (Clopper-Pearson) upper bound on the share of good texts rejected exceeds
-the allowed share. A fixed order needs no correction over cutoffs; over rules
-and strata the confidence is divided (Bonferroni), and the allowed risk is
-divided over the rules, so that with probability 1 - delta no stratum loses more
-than ``risk`` of its good texts to the rules together. Where there are too few
-labelled rows to show that, a rule rejects nothing.
+them a few statistics that are high for junk. Each statistic has a scale; a
+text's badness is the largest of its statistics in units of their scales, and a
+cutoff c stands for all rules at once: a text goes if any statistic is above c
+times its scale. For each stratum cutoffs are tested on labelled holdout rows in a fixed order, from
+lenient to strict, up to the first whose exact (Clopper-Pearson) upper bound on
+the share of good texts rejected exceeds the allowed risk. A fixed order needs
+no correction over cutoffs, and all before the first failure hold at once, so
+that among them the one may be taken that rejects the most bad rows and the
+fewest good ones; over strata the confidence is divided (Bonferroni). So with
+probability 1 - delta no stratum loses more than ``risk`` of its good texts to
+the rules. Where there are too few labelled rows to show that, nothing is
+rejected beyond the base rule.
 """
 
 from __future__ import annotations
@@ -22,14 +25,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import fresh, only, prepare, staged
+from corpusloom.llm.components import small_or_shuffled
 
 SPACE = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
-#: Statistics that the rules compare with cutoffs; each lies in 0..1.
-STATISTICS = ("symbol_share", "upper_share", "line_repeat_share", "word_repeat_share", "top_word_share", "mark_share")
+#: Statistics that the rules compare with cutoffs, each in 0..1, and their scales: what is plainly too much.
+SCALES = {"symbol_share": 0.10, "upper_share": 0.30, "line_repeat_share": 0.50, "word_repeat_share": 0.50, "top_word_share": 0.25, "mark_share": 0.40}
+STATISTICS = tuple(SCALES)
 COUNTS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
-#: Cutoffs tried are multiples of 1/GRID.
-GRID = 100
+#: Cutoffs tried are LENIENT to STRICT multiples of STEP, in units of the scales.
+STEP, LENIENT, STRICT = 0.05, 40, 5
 
 
 def count_text(text: str) -> tuple:
@@ -105,78 +110,95 @@ def _binomial_cdf(k: int, n: int, p: float) -> float:
     return math.exp(most) * math.fsum(math.exp(x - most) for x in logs)
 
 
-def choose_cutoffs(counts: dict[tuple[str, str], list[int]], risk: float, delta: float) -> dict[tuple[str, str], float]:
-    """Cutoffs by (stratum, statistic) from the good texts in each of the GRID + 1 bins.
+def choose(good: list[int], bad: list[int], risk: float, level: float) -> tuple[int, float] | None:
+    """(cutoff, upper bound on the share of good texts it rejects), from the labelled rows in each of the LENIENT + 2 bins; None if nothing can be shown.
 
-    A text is rejected if its statistic is above the cutoff. Pairs for which
-    nothing can be shown are left out.
+    Rows in bins above the cutoff are rejected. Of the cutoffs that hold, the
+    one with the most bad rows rejected less good ones is taken, the most
+    lenient of equals; without bad rows the strictest.
     """
-    strata, rules = {s for s, _ in counts}, {r for _, r in counts}
-    level, share, out = delta / max(1, len(strata) * len(rules)), risk / max(1, len(rules)), {}
-    for key, bins in counts.items():
-        total, above = sum(bins), 0
-        for cut in range(GRID - 1, 4, -1):  # cutoffs near 0 would reject texts for a single word
-            above += bins[cut + 1]
-            if above > share * total or binomial_upper(above, total, level) > share:
-                break
-            out[key] = (cut + 1) / GRID
-    return out
-
-
-def calibrate(measured: DataFrame, labels: DataFrame, risk: float = 0.01, delta: float = 0.05, most_strata: int = 50) -> dict[tuple[str, str], float]:
-    """Cutoffs from rows (doc_id, stratum, m) and labels (doc_id, quality).
-
-    All labelled rows count. Only the histogram goes to the driver: at most
-    (most_strata + 1) x rules x (GRID + 1) rows; smaller strata share one.
+    total, found = sum(good), []
+    for cut in range(LENIENT, STRICT - 1, -1):
+        above = sum(good[cut + 1 :])
+        bound = binomial_upper(above, total, level) if total and above <= risk * total else 1.0
+        if bound > risk:
+            break
+        found.append((sum(bad[cut + 1 :]) - above if sum(bad) else -cut, cut, bound))
+    return max(found)[1:] if found else None
+
+
+def _bin(m: Column) -> Column:
+    """The badness of a text in steps, rounded up."""
+    worst = F.greatest(*[m[s] / F.lit(scale * STEP) for s, scale in SCALES.items()])
+    return F.least(F.greatest(F.ceil(worst - F.lit(1e-9)).cast("int"), F.lit(0)), F.lit(LENIENT + 1))
+
+
+_NO_STRATUM = "\x00"
+
+
+def cutoffs(measured: DataFrame, labels: DataFrame, risk: float = 0.02, delta: float = 0.05) -> DataFrame:
+    """(stratum, cut, n_good, bound): a row for each stratum of ``measured`` (doc_id, stratum, m) that has a cutoff.
+
+    Rows with a label by ``labels`` (doc_id, quality) count, but those that
+    fail the base rule; a doc_id with both labels is good. The strata's
+    histograms are made and judged where they lie.
     """
-    good = labels.filter(F.col("quality") == 1).select(F.col("doc_id").alias("_id")).distinct()
-    rows = measured.filter(~base_failed(F.col("m"))).join(good, F.col("doc_id") == F.col("_id"), "left_semi")
-    bins = F.explode(F.array(*[F.struct(F.lit(s).alias("rule"), F.ceil(F.col(f"m.{s}") * GRID).cast("int").alias("bin")) for s in STATISTICS]))
-    hist = rows.select("stratum", bins.alias("b")).groupBy("stratum", "b.rule", "b.bin").agg(F.count(F.lit(1)).alias("n"))
-    top = hist.groupBy("stratum").agg(F.sum("n").alias("size")).orderBy(F.desc("size"), "stratum").limit(most_strata)
-    hist = hist.join(F.broadcast(top.select(F.col("stratum").alias("_top"))), F.col("stratum").eqNullSafe(F.col("_top")), "left")
-    hist = hist.groupBy(F.coalesce("_top", F.lit("")).alias("stratum"), "rule", "bin").agg(F.sum("n").alias("n"))
-    counts: dict[tuple[str, str], list[int]] = {}
-    for stratum, rule, at, n in hist.collect():
-        counts.setdefault((stratum, rule), [0] * (GRID + 1))[min(GRID, max(0, at))] += n
-    return choose_cutoffs(counts, risk, delta)
-
-
-def verdict(m: Column, stratum: Column, cutoffs: dict[tuple[str, str], float]) -> Column:
-    """True unless a statistic is above its cutoff."""
-    known = sorted({s for s, _ in cutoffs if s})
-    stratum = F.when(F.coalesce(stratum, F.lit("")).isin(known), stratum).otherwise(F.lit("")) if known else F.lit("")
-    broken = F.lit(False)
-    for (where, rule), cut in sorted(cutoffs.items()):
-        broken = broken | ((stratum == where) & (F.ceil(m[rule] * GRID) > round(cut * GRID)))
-    return ~broken
-
-
-def judge(documents: DataFrame, labels: DataFrame, risk: float = 0.01, delta: float = 0.05, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang") -> DataFrame:
+    known = labels.filter(F.col("quality").isin(0, 1)).groupBy(F.col("doc_id").alias("_id")).agg(F.max("quality").alias("_good"))
+    rows = measured.filter(~base_failed(F.col("m"))).join(known, F.col("doc_id") == F.col("_id"))
+    counted = rows.groupBy(F.coalesce("stratum", F.lit(_NO_STRATUM)).alias("stratum"), _bin(F.col("m")).alias("bin")).agg(F.count_if(F.col("_good") == 1).alias("good"), F.count_if(F.col("_good") == 0).alias("bad"))
+    strata = staged(counted.groupBy("stratum").agg(F.collect_list(F.struct("bin", "good", "bad")).alias("bins"), F.sum("good").alias("n_good")), "strata")  # few bins each
+    level = delta / max(1, strata.count())
+
+    @F.pandas_udf("cut int, bound double")
+    def chosen(bins: pd.Series) -> pd.DataFrame:
+        out = []
+        for listed in bins:
+            good, bad = [0] * (LENIENT + 2), [0] * (LENIENT + 2)
+            for x in listed:
+                good[x["bin"]], bad[x["bin"]] = x["good"], x["bad"]
+            out.append(choose(good, bad, risk, level) or (None, None))
+        return pd.DataFrame(out, columns=["cut", "bound"]).astype({"cut": "Int32", "bound": "float64"})
+
+    return staged(strata.select("stratum", "n_good", chosen("bins").alias("c")).filter("c.cut is not null").select("stratum", "c.cut", "n_good", "c.bound"), "cutoffs")
+
+
+def _kept(rows: DataFrame, m: str, stratum: str, found: DataFrame, name: str) -> DataFrame:
+    """``rows`` with ``name``: false if the base rule or the cutoff of the stratum rejects."""
+    cut, where = fresh(rows, "_cut"), fresh(rows, "_where")
+    cuts = small_or_shuffled(found.select(F.col("stratum").alias(where), F.col("cut").alias(cut)))
+    joined = rows.join(cuts, F.coalesce(F.col(stratum).cast("string"), F.lit(_NO_STRATUM)) == F.col(where), "left")
+    fine = ~base_failed(F.col(m)) & (F.col(cut).isNull() | (_bin(F.col(m)) <= F.col(cut)))
+    return joined.withColumn(name, fine).drop(cut, where)
+
+
+def judge(documents: DataFrame, labels: DataFrame, risk: float = 0.02, delta: float = 0.05, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang") -> DataFrame:
     """Counts and verdict for each row of ``documents``.
 
     Returns doc_id, n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words, base_failed, kept. Null texts count as empty, and so fail
     the base rule; null strata share one; labels for unknown or null ids
-    are ignored, repeated labels count once; without labels no rule rejects
-    anything beyond the base. Other columns are ignored.
+    are ignored, a doc_id's repeated labels count once, as good if they
+    differ; each row of a repeated doc_id counts; without labels no rule
+    rejects anything beyond the base. Texts are read as a whole, however long. Other columns
+    are ignored.
     """
     prepare(documents.sparkSession)
     rows = only(documents, doc_id=id_col, text=text_col, stratum=stratum_col)
     rows = staged(rows.select("doc_id", F.col("stratum").cast("string").alias("stratum"), measure("text").alias("m")), "measured")
-    cutoffs = calibrate(rows, labels.select("doc_id", "quality"), risk, delta)
+    judged = _kept(rows, "m", "stratum", cutoffs(rows, labels.select("doc_id", "quality"), risk, delta), "kept")
     m = F.col("m")
-    kept = ~base_failed(m) & verdict(m, F.col("stratum"), cutoffs)
     names = [x.split()[0] for x in COUNTS.split(", ")]
-    return rows.select("doc_id", *[m[x].alias(x) for x in names], base_failed(m).alias("base_failed"), kept.alias("kept"))
+    return judged.select("doc_id", *[m[x].alias(x) for x in names], base_failed(m).alias("base_failed"), "kept")
 
 
-def accepted(documents: DataFrame, labels: DataFrame, risk: float = 0.01, delta: float = 0.05) -> DataFrame:
-    """The rows of ``documents`` that the rules keep, with their columns."""
+def accepted(documents: DataFrame, labels: DataFrame, risk: float = 0.02, delta: float = 0.05) -> DataFrame:
+    """The rows of ``documents`` that the rules keep, with their columns; what is said of judge() holds here too.
+
+    Each text is measured once: rows are staged with their measures.
+    """
     prepare(documents.sparkSession)
-    rows = staged(documents.select(F.col("doc_id"), F.col("lang").cast("string").alias("stratum"), measure(F.col("text")).alias("m")), "measured")
-    cutoffs = calibrate(rows, labels.select("doc_id", "quality"), risk, delta)
-    name = fresh(documents, "_m")
-    m = F.col(name)
-    judged = documents.withColumn(name, measure(F.col("text")))
-    return judged.filter(~base_failed(m) & verdict(m, F.col("lang").cast("string"), cutoffs)).drop(name)
+    name, keep = fresh(documents, "_m"), fresh(documents, "_keep")
+    rows = staged(documents.withColumn(name, measure(F.col("text"))), "measured")
+    thin = rows.select("doc_id", F.col("lang").cast("string").alias("stratum"), F.col(name).alias("m"))
+    judged = _kept(rows, name, "lang", cutoffs(thin, labels.select("doc_id", "quality"), risk, delta), keep)
+    return judged.filter(F.col(keep)).select(*[F.col(f"`{c}`") for c in documents.columns])

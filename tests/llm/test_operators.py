@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import math
 import os
 import re
 import zlib
@@ -163,14 +164,41 @@ def test_quality_rules(spark, words):
 
 
 def test_cutoffs_keep_the_risk():
-    good = {("en", "r"): [0] * 101}
-    good["en", "r"][3], good["en", "r"][40] = 9990, 10
-    cut = quality_rules.choose_cutoffs(good, risk=0.01, delta=0.05)["en", "r"]
-    assert cut <= 0.4
-    good["en", "r"][40] = 500
-    assert quality_rules.choose_cutoffs(good, 0.01, 0.05)["en", "r"] >= 0.4
-    assert quality_rules.choose_cutoffs({("en", "r"): [50, *[0] * 100]}, 0.01, 0.05) == {}
+    size = quality_rules.LENIENT + 2
+    bins = lambda **at: [at.get(f"b{i}", 0) for i in range(size)]
+    good, bad = bins(b3=9900, b20=90, b30=10), bins(b2=5, b25=40, b41=60)
+    assert quality_rules.choose(good, bad, 0.02, 0.01)[0] == 24  # most bad rows, 10 good ones
+    cut, bound = quality_rules.choose(good, bins(), 0.02, 0.01)
+    assert cut == quality_rules.STRICT and abs(bound - quality_rules.binomial_upper(100, 10_000, 0.01)) < 1e-12 and bound <= 0.02
+    assert quality_rules.choose(bins(b3=9000, b20=1000), bad, 0.02, 0.01)[0] == 24
+    assert quality_rules.choose(bins(b3=200), bad, 0.02, 0.0125) is None and quality_rules.choose(bins(b3=217), bad, 0.02, 0.0125)[0] == 24
+    assert quality_rules.choose(bins(b41=500), bad, 0.02, 0.05) is None and quality_rules.choose(bins(), bad, 0.02, 0.05) is None
     assert abs(quality_rules.binomial_upper(0, 100, 0.05) - (1 - 0.05**0.01)) < 1e-6
+    exact = sum(math.comb(50, k) * 0.1**k * 0.9 ** (50 - k) for k in range(4))
+    assert abs(quality_rules.binomial_upper(3, 50, exact) - 0.1) < 1e-6
+
+
+def test_quality_rules_reject_what_labels_allow(spark, words):
+    """Held against the rule said plainly: badness, cutoffs of each stratum, base rule."""
+    r = np.random.default_rng(12)
+    texts = [" ".join(r.choice(words, 70)) for _ in range(500)]
+    texts = [junk(t, i // 10) if i % 10 == 0 else t for i, t in enumerate(texts)]
+    rows = docs(spark, texts)
+    marked = [(i, int(i % 10 > 0), 0) for i in range(400)] + [(1, 0, 0), (None, 1, 0), (9999, 1, 0)]
+    got = {x.doc_id: x for x in quality_rules.judge(rows, labels(spark, marked)).collect()}
+    bad = lambda t: max(s / c for s, c in zip(quality_rules.count_text(t)[5:], quality_rules.SCALES.values()))
+    passes = lambda t: not (rule_counts(t)[0] < 50 or 100 * rule_counts(t)[4] > 50 * rule_counts(t)[0])
+    for none in (True, False):  # strata: null and "en"
+        mine = [i for i in range(500) if (i % 3 == 0) == none]
+        clean = [bad(texts[i]) for i in mine if i < 400 and i % 10 and passes(texts[i])]
+        foul = [bad(texts[i]) for i in mine if i < 400 and i % 10 == 0 and passes(texts[i])]
+        held = [c for c in range(quality_rules.LENIENT, quality_rules.STRICT - 1, -1) if all(quality_rules.binomial_upper(sum(x > d / 20 for x in clean), len(clean), 0.025) <= 0.02 for d in range(c, quality_rules.LENIENT + 1))]
+        cut = max(held, key=lambda c: (sum(x > c / 20 for x in foul) - sum(x > c / 20 for x in clean), c)) / 20 if held else 99
+        assert (len(held) > 0) == (len(clean) >= 183)
+        assert [got[i].kept for i in mine] == [passes(texts[i]) and bad(texts[i]) <= cut + 1e-9 for i in mine]
+    assert sum(x.kept != (not x.base_failed) for x in got.values()) >= 20
+    left = quality_rules.accepted(rows, labels(spark, marked)).collect()
+    assert sorted(x.doc_id for x in left) == [i for i in range(500) if got[i].kept] and left[0]._m == "x"
 
 
 def junk(text, kind):
