@@ -220,6 +220,36 @@ def test_classifier_on_the_held_out_fold(spark, words):
     assert quality_classifier.classify(docs(spark, []), marked).count() == 0
 
 
+def test_the_prior_and_the_curve_need_no_negatives():
+    r = np.random.default_rng(3)
+    ratio = quality_classifier.estimate_prior([np.where(quality_classifier.GRID < 0.9, 0.7, 0.7 + quality_classifier.GRID)], 5000, 20000)
+    assert abs(ratio - 0.7) < 1e-9 and quality_classifier.estimate_prior([], 0, 0) == 0.5
+    p, u = r.normal(2, 1, 4000), np.concatenate([r.normal(2, 1, 7000), r.normal(-2, 1, 3000)])
+    a, b = quality_classifier.curve(p, u, np.ones(len(u)), 0.7, ridge=1e-4)
+    truth = lambda m: 0.7 * np.exp(-((m - 2) ** 2) / 2) / (0.7 * np.exp(-((m - 2) ** 2) / 2) + 0.3 * np.exp(-((m + 2) ** 2) / 2))
+    grid = np.linspace(-4, 4, 41)
+    assert np.abs(1 / (1 + np.exp(-(a * grid + b))) - truth(grid)).max() < 0.15
+
+
+def test_the_fit_minimises_the_risk_as_a_loop_computes_it():
+    r = np.random.default_rng(9)
+    p, u = r.normal(1, 1, (300, 5)), np.concatenate([r.normal(1, 1, (500, 5)), r.normal(-1, 1, (300, 5))])
+
+    def risk(margin, prior):
+        loss = lambda z: 1 / (1 + math.exp(z))
+        plus = sum(loss(z) for z in margin(p)) / len(p)
+        minus = sum(loss(-z) for z in margin(u)) / len(u) - prior * sum(loss(-z) for z in margin(p)) / len(p)
+        return prior * plus + max(0.0, minus)
+
+    network = quality_classifier.fit(p, u, 0.625, steps=400)
+    nothing = quality_classifier.fit(p, u, 0.625, steps=0)
+    assert risk(network.margin, 0.625) < 0.12 < risk(nothing.margin, 0.625)
+    truth = np.arange(len(u)) < 500
+    assert ((network.margin(u) > 0) == truth).mean() > 0.95
+    doubled = quality_classifier.fit(p, u[::2], 0.625, steps=400, weights=np.full(400, 2.0))
+    assert ((doubled.margin(u) > 0) == truth).mean() > 0.95
+
+
 def test_letters_are_counted_in_the_whole_text():
     for text in ("a1" * 4000, "1a" * 4000, "word 12 é語²\n" * 700, "x" * 3999 + "1" * 9000):
         assert quality_classifier.features(text)[20] == sum(map(str.isalpha, text)) / len(text)
