@@ -1,10 +1,14 @@
 """Byte-pair encoding and decoding as bounded-lookahead streaming transducers.
 
-The encoder reads a text in segments, splits them into pretokens and runs the
-merge list over each. A merge list has a sufficient lookahead: a number of
-symbols L so that no text that follows can change a token which ends L symbols
-or more before the end of what was read. Tokens are emitted as soon as they are
-stable in that sense, so that the memory does not grow with the pretoken.
+The encoder reads a text in segments, splits them into pretokens and feeds the
+symbols of each to a transducer. No merge reaches over a token's end, so the
+tokens of a text up to such an end are the tokens of that part alone: for each
+place read so far the transducer keeps the last token of what lies before it.
+What follows can only go on from places from which a token could reach beyond
+the symbols read, and those are no farther back than a token is long. Tokens on
+which all these places agree are stable and are emitted. A merge list has a
+sufficient lookahead, a number of symbols that always suffices to make tokens
+stable, so that the memory does not grow with the pretoken; in words a few do.
 
 The decoder is a state machine that takes ids one at a time and emits text as
 soon as it is complete.
@@ -33,6 +37,8 @@ BYTE_SPLIT = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{WHITE}\p{{L}}
 
 #: Code points of a text that are split and encoded at a time, and words in the cache.
 SEGMENT, CACHED_WORDS = 1 << 16, 150_000
+#: Symbols of a pretoken that are read before stable tokens are looked for, and pairs of tokens that are remembered.
+WINDOW, CACHED_PAIRS = 12, 400_000
 
 
 def byte_symbols() -> list[str]:
@@ -49,6 +55,11 @@ class MergeList:
         self.vocab, self.suffix = vocab, suffix
         self.ranks = {pair: rank for rank, pair in reversed(list(enumerate(merges)))}
         self.lookahead = self._lookahead(merges)
+        self.tokens = {left + right for left, right in merges}
+        units = [self._units(t) for t in self.tokens]
+        self.longest = max(map(len, units), default=1)
+        self.starts = {u[:i] for u in units for i in range(1, len(u))}
+        self.pairs: dict[tuple[str | None, str], bool] = {}
 
     def _units(self, token: str) -> str:
         """The token with one character for each base symbol, the suffixed last one included."""
@@ -78,6 +89,23 @@ class MergeList:
             longest = max(longest, far)
         return longest
 
+    def symbols(self, token: str) -> list[str]:
+        """The base symbols of a token."""
+        if self.suffix and token.endswith(self.suffix):
+            token = token[: -len(self.suffix)]
+            return [*token[:-1], token[-1] + self.suffix]
+        return list(token)
+
+    def follows(self, before: str | None, token: str) -> bool:
+        """Whether ``token`` stays a token after ``before``, or at the beginning."""
+        known = self.pairs.get((before, token))
+        if known is None:
+            if len(self.pairs) >= CACHED_PAIRS:
+                self.pairs.clear()
+            both = [token] if before is None else [before, token]
+            known = self.pairs[before, token] = self.merge([s for t in both for s in self.symbols(t)]) == both
+        return known
+
     def merge(self, symbols: list[str]) -> list[str]:
         """The symbols after all merges, lowest rank first and leftmost first within a rank."""
         if len(symbols) < 2:
@@ -126,41 +154,74 @@ class MergeList:
 class Transducer:
     """Takes the symbols of one pretoken in any pieces and emits its tokens once they are stable.
 
-    At most ``window`` symbols are held; ``window`` must exceed the lookahead.
+    From ``window`` symbols on it looks for stable tokens; it holds no more
+    than those, a token's length and what the sufficient lookahead asks for.
     """
 
-    def __init__(self, merges: MergeList, window: int | None = None):
-        self.merges = merges
-        self.window = window or 2 * merges.lookahead
-        if self.window <= merges.lookahead:
-            raise ValueError("the window must be larger than the sufficient lookahead")
-        self.held: list[str] = []
-
-    def push(self, symbols: Iterable[str]) -> Iterator[str]:
-        """Tokens that are stable after ``symbols``, which aren't the last of the pretoken."""
-        for symbol in symbols:
-            self.held.append(symbol)
-            if len(self.held) >= self.window:
-                yield from self._stable()
+    def __init__(self, merges: MergeList, window: int = WINDOW):
+        self.merges, self.window = merges, max(2, window)
+        self._begin()
+
+    def _begin(self) -> None:
+        self.held, self.start, self.before, self.waiting, self.look = "", [0], None, None, self.window
+
+    def _last(self, place: int) -> str | None:
+        """The last token of what lies before a place."""
+        return self.held[self.start[place] : place] if place else self.before
+
+    def _take(self, symbol: str) -> None:
+        self.held += symbol
+        end = len(self.start)
+        for place in range(max(0, end - self.merges.longest), end):
+            token = self.held[place:]
+            if (place == end - 1 or token in self.merges.tokens) and self.merges.follows(self._last(place), token):
+                self.start.append(place)
+                return
+        raise ValueError("not a symbol of this merge list")
+
+    def _tokens(self, end: int) -> list[str]:
+        out = []
+        while end:
+            out.append(self.held[self.start[end] : end])
+            end = self.start[end]
+        return out[::-1]
 
     def _stable(self) -> list[str]:
-        end, out, limit = 0, [], len(self.held) - self.merges.lookahead
-        for token in self.merges.merge(list(self.held)):
-            if end + len(token) > limit:
-                break
-            out.append(token)
-            end += len(token)
-        if not out:
-            raise AssertionError("no token is stable beyond the sufficient lookahead")
-        del self.held[:end]
+        end = len(self.held)
+        open_places = {end} | {i for i in range(max(0, end - self.merges.longest + 1), end) if self.held[i:] in self.merges.starts}
+        while len(open_places) > 1:  # back to where all agree
+            last = max(open_places)
+            open_places.remove(last)
+            open_places.add(self.start[last])
+        (agreed,) = open_places
+        out = self._tokens(agreed)
+        if out:
+            self.before, self.held = out[-1], self.held[agreed:]
+            self.start = [0, *[max(0, s - agreed) for s in self.start[agreed + 1 :]]]
         return out
 
+    def push(self, symbols: Iterable[str]) -> Iterator[str]:
+        """Tokens that are stable after ``symbols``."""
+        for symbol in symbols:
+            if self.waiting is not None:  # the last symbol may get the suffix
+                self._take(self.waiting)
+                if len(self.held) >= self.look:
+                    yield from self._stable()
+                    self.look = len(self.held) + self.window // 2
+            self.waiting = symbol
+
     def finish(self) -> list[str]:
         """The remaining tokens at the end of the pretoken."""
-        held, self.held = self.held, []
-        if held and self.merges.suffix:
-            held[-1] += self.merges.suffix
-        return self.merges.merge(held)
+        if self.waiting is None:
+            return []
+        self._take(self.waiting + self.merges.suffix)
+        end, out = len(self.start) - 1, []
+        while end:
+            begin = self.start[end]
+            out.append(self.held[begin:] if end == len(self.start) - 1 else self.held[begin:end])
+            end = begin
+        self._begin()
+        return out[::-1]
 
 
 class Decoder:
@@ -235,14 +296,13 @@ class Tokenizer:
     def encode_word(self, word: str) -> bytes:
         """One pretoken's ids as little-endian 32-bit integers."""
         symbols = word.encode().decode("latin-1").translate(self.table)
-        tokens = [*self.transducer.push(symbols), *self.transducer.finish()] if len(symbols) >= self.transducer.window else self._whole(symbols)
+        tokens = [*self.transducer.push(symbols), *self.transducer.finish()] if len(symbols) > self.transducer.window else self._whole(symbols)
         vocab = self.vocab
         return array("I", [vocab[t] for t in tokens]).tobytes()
 
     def _whole(self, symbols: str) -> list[str]:
-        """A pretoken shorter than the window: the transducer would only finish."""
-        self.transducer.held = list(symbols)
-        return self.transducer.finish()
+        """A pretoken that the window holds: the transducer would only finish."""
+        return self.merges.merge([*symbols[:-1], symbols[-1] + self.suffix])
 
     def segments(self, text: str) -> Iterator[str]:
         """Pieces of a text that may be encoded one by one: each but the first starts with white space after none."""

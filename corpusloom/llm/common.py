@@ -67,15 +67,19 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
-def prepare(spark: SparkSession, rows: int = 1000) -> None:
+#: Rows that go to a Python worker at once, the same for every operator; Spark bounds their bytes as well.
+BATCH = 1000
+
+
+def prepare(spark: SparkSession) -> None:
     """Get a session ready for operators with Python workers.
 
-    Bounds the rows that go to a worker at once, for long texts, and sends
-    this package to the executors, once for each Spark context.
+    Bounds the rows of a batch, for long texts, and sends this package to the
+    executors, once for each Spark context.
     """
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(key)) > rows:
-        spark.conf.set(key, str(rows))
+    if int(spark.conf.get(key)) != BATCH:
+        spark.conf.set(key, str(BATCH))
     ship(spark)
 
 

@@ -213,7 +213,7 @@ def links(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
     with equal ids and different vectors are vectors of their own that share a
     component. Other columns are ignored.
     """
-    prepare(vectors.sparkSession, 4000)
+    prepare(vectors.sparkSession)
     wide = "double" in vectors.schema[vector_col].dataType.simpleString()
     source = vectors.select(F.col(f"`{id_col}`").alias("vec_id"), F.col(f"`{vector_col}`").alias("v"))
     fine = F.coalesce(F.forall("v", lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) != float("inf"))) & F.exists("v", lambda e: e != 0), F.lit(False))

@@ -27,8 +27,8 @@ from corpusloom.llm import token_ids
 from corpusloom.llm.common import only, prepare, staging_path, tokenizer_path
 
 LENGTH, END_ID = 2048, 0
-#: Rows of fixed-size lists in a record batch.
-BATCH_ROWS = 256
+#: Rows of fixed-size lists in a record batch, and bytes of the table that a file is made from.
+BATCH_ROWS, PART_BYTES = 256, 1 << 26
 
 
 def schema(length: int, bits: int) -> pa.Schema:
@@ -86,10 +86,11 @@ def open_file(path: str):
 
 
 def read_documents(path: str) -> Iterator[tuple[int | None, int, np.ndarray]]:
-    """(doc_id, ids before it in this file, its ids), a batch at a time."""
+    """(doc_id, ids before it in this file, its ids), a batch at a time; local files are mapped."""
     system, name = open_file(path)
+    local = isinstance(system, pa.fs.LocalFileSystem)
     doc_id, start, parts, position, begun = None, 0, [], 0, False
-    with system.open_input_file(name) as source, pa.ipc.open_file(source) as file:
+    with (pa.memory_map(name) if local else system.open_input_file(name)) as source, pa.ipc.open_file(source) as file:
         for i in range(file.num_record_batches):
             batch = file.get_batch(i)
             length = batch.schema.field("ids").type.list_size
@@ -115,8 +116,9 @@ def write(documents: DataFrame, folder: str, path: str | None = None, length: in
     spark = documents.sparkSession
     prepare(spark)
     rows = only(documents, doc_id=id_col, text=text_col)
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = rows.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id")
+    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))  # of its files, or an estimate
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_BYTES) if size < 1 << 60 else 1)  # beyond: not known
+    ordered = rows.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer, task = token_ids.load(path), TaskContext.get()
@@ -145,7 +147,7 @@ def digest(documents: DataFrame, path: str | None = None, folder: str | None = N
     """Write all documents and read the files back: doc_id, start, n_tokens, ids_crc32.
 
     Null texts count as empty and give their end id alone; rows with a null id
-    come first and rows with equal ids next to each other, each with its own place; an empty table
+    come first and rows with equal ids next to each other, in the order of their texts, each with its own place; an empty table
     gives no files and no rows; other columns are ignored.
     """
     spark = documents.sparkSession

@@ -58,11 +58,41 @@ def test_transducer_equals_the_library(name):
 
 
 def test_stable_tokens_come_out_before_the_end():
+    """Random merge lists and texts: what is emitted equals the merges over the whole, in bounded memory."""
+    r = np.random.default_rng(5)
+    for trial in range(300):
+        suffix = "#" if trial % 2 else ""
+        tokens, merges = ["a", "b", "c"], []
+        for _ in range(int(r.integers(1, 14))):
+            left, right = (str(x) for x in r.choice(tokens, 2))
+            if (left, right) not in merges and not (suffix and left.endswith(suffix)):
+                merges.append((left, right))
+                tokens.append(left + right)
+                if suffix and r.random() < 0.3 and not right.endswith(suffix):
+                    merges.append((left, right + suffix))
+        listed = bpe.MergeList(merges, {}, suffix)
+        for size in (1, 2, 3, 7, 60):
+            text = "".join(r.choice(["a", "b", "c"], size))
+            machine = bpe.Transducer(listed, window=int(r.integers(2, 9)))
+            out = list(machine.push(text))
+            assert out + machine.finish() == listed.merge([*text[:-1], text[-1] + suffix])
     merges = bpe.MergeList([("a", "b"), ("b", "c"), ("ab", "c")], {})
-    machine = bpe.Transducer(merges, window=merges.lookahead + 3)
-    out = list(machine.push("abcbcab" * 20))
-    assert out and len(machine.held) < machine.window
-    assert out + machine.finish() == merges.merge(list("abcbcab" * 20))
+    machine, most, out = bpe.Transducer(merges, window=6), 0, []
+    for symbol in "abcbcab" * 500:
+        out += machine.push(symbol)
+        most = max(most, len(machine.held))
+    assert most <= 12 and out + machine.finish() == merges.merge(list("abcbcab" * 500))
+
+
+def test_tokens_are_emitted_within_words():
+    """In the query's path tokens come out before their word ends, and equal the library's."""
+    t = bpe.load(tokenizer_path("word_bpe_49k.json"))
+    machine, early = bpe.Transducer(t.merges), 0
+    for word in ("ouireaireaierchentionneaux", "unbelievablyhandsome", "wissenschaftlicherweise", "xqzjkvwpxqzjkvwp" * 20):
+        out = list(machine.push(word))
+        early += len(out)
+        assert out and out + machine.finish() == t._whole(word)
+    assert early > 20
 
 
 def test_round_trip(spark):
@@ -572,3 +602,16 @@ def test_labelers_add_what_the_base_patterns_miss(spark):
     texts += ["e-mail: jo (at) example.com please", "phone: 212-555-0188 today", "order 101-202-3030x", "version 1111 1111 1111 1111"]
     rows = pii.find(docs(spark, texts)).orderBy("doc_id").collect()
     assert [r.spans for r in rows[-4:]] == ["email:8:27", "phone:7:19", "", ""] and [r.n_email + r.n_phone for r in rows[-4:]] == [0] * 4
+
+
+def test_rows_of_one_id_have_places_by_their_texts(spark):
+    texts = ["one two", "three", "", None, "one two", "four five six"]
+    rows = docs(spark, texts, [7, 7, 7, 7, 7, 3])
+    t = library("byte_bpe_50k.json")
+    ids = {x: [*t.encode(x or "", add_special_tokens=False).ids, 0] for x in texts}
+    order = ["four five six", None, "", "one two", "one two", "three"]
+    starts = np.cumsum([0] + [len(ids[x]) for x in order])
+    want = [(3 if i == 0 else 7, int(starts[i]), len(ids[x]), zlib.crc32(np.array(ids[x], "<u4").tobytes())) for i, x in enumerate(order)]
+    for parts in (1, 3):
+        got = token_files.digest(rows.repartition(parts)).collect()
+        assert sorted(tuple(r) for r in got) == sorted(want)
