@@ -23,7 +23,13 @@ LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 def small_or_shuffled(df: DataFrame, rows: int = SMALL) -> DataFrame:
     """``df``, thin and staged, marked for broadcast if a count shows that it is small."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    return counted(df, rows)[0]
+
+
+def counted(df: DataFrame, rows: int = SMALL) -> tuple[DataFrame, int]:
+    """The same with the number of rows, counted no further than just beyond ``rows``."""
+    n = df.limit(rows + 1).count()
+    return (F.broadcast(df) if n <= rows else df), n
 
 
 def components(edges: DataFrame, most_rounds: int = 40) -> DataFrame:
@@ -76,45 +82,43 @@ def block_pairs(members: DataFrame, size: Column, member: Column, block: int, al
 
 
 def linked(members: DataFrame, keys: list[str], payload: DataFrame, within: Work, across: Work, block: int, sizes: DataFrame) -> DataFrame:
-    """Links (a, b) that connect whatever the pairs of similar members connect in each group, without all pairs of large groups.
-
-    ``members`` has the groups' keys, ``rep`` and its weight ``w``; ``payload``
-    a row for each rep; ``sizes`` the weight ``n`` of each group. ``within`` gets the rows of a task and returns links
-    that connect what is connected among them. A group of more weight than
-    ``block`` is dealt to tasks of about that weight, so that each row moves
-    once; then only one row goes on for each part that is connected so far,
-    until no more links are found. What is still apart is compared with the
-    rest of its group, leaving out the largest part's own pairs: ``across``
-    gets two blocks of rows with ``side`` (0 and 1) and part ``c``.
+    """(node, component) of what the pairs of similar members connect in each group, without all pairs of large groups.
+
+    ``members`` has the groups' keys, ``rep`` and its weight ``w``; ``payload``,
+    staged, a row for each rep; ``sizes`` the weight ``n`` of each group. ``within`` gets
+    the rows of a task and returns links that connect what is connected among
+    them. A group of more weight than ``block`` is dealt to tasks of about that
+    weight, so that each row moves once; then only one row goes on for each
+    part that is connected so far, until no more links are found. What is still
+    apart is compared with the rest of its group, leaving out the largest
+    part's own pairs: ``across`` gets two blocks of rows with ``side`` (0 and
+    1) and part ``c``.
     """
     members = members.select(*keys, "rep", "w")
-    sizes = staged(sizes.select(*keys, "n").filter(F.col("n") > block), "sizes")
-    large = small_or_shuffled(sizes)
+    large, some = counted(staged(sizes.select(*keys, "n").filter(F.col("n") > block), "sizes"))
 
     def dealt(rows: DataFrame, seed: int) -> DataFrame:
         blocks = F.coalesce(F.ceil(F.col("n") / block), F.lit(1))
         rows = rows.withColumn("_b", F.pmod(F.xxhash64("rep", F.lit(seed)), blocks).cast("int")).drop("n", "w")
         return run_groups(rows.join(payload, "rep"), [*keys, "_b"], within, LINKS)
 
-    links = dealt(members.join(large, keys, "left"), 11)
-    if sizes.isEmpty():
-        return links
-    links = staged(links, "links")
+    if not some:
+        return components(dealt(members.withColumn("n", F.lit(1)), 11))
+    parts = staged(components(dealt(members.join(large, keys, "left"), 11)), "parts")
     rows = staged(members.join(large, keys).drop("n"), "large")
-    payload = staged(payload.join(small_or_shuffled(rows.select("rep").distinct()), "rep", "left_semi"), "payload")
     for attempt in range(1, 100):
-        parts = staged(components(links), "parts")
         known = rows.join(parts.select(F.col("node").alias("rep"), F.col("component").alias("_part")), "rep", "left").select(*keys, "rep", "w", F.coalesce("_part", "rep").alias("c"))
         leaders = known.groupBy(*keys, "c").agg(F.min("rep").alias("rep"), F.max("w").alias("w"), F.sum("w").alias("size"))
         apart = leaders.groupBy(*keys).agg(F.sum("w").alias("n"), F.count(F.lit(1)).alias("parts"), F.max_by("c", F.struct("size", "c")).alias("_most")).filter("parts > 1")
-        apart = staged(apart, "apart")
-        if apart.isEmpty():
-            return links
-        new = staged(dealt(leaders.drop("size", "c").join(small_or_shuffled(apart.select(*keys, "n")), keys), 11 + attempt), "links")
+        apart, some = counted(staged(apart, "apart"))
+        if not some:
+            return parts
+        leaders = staged(leaders.drop("size").join(apart.select(*keys, "n"), keys), "leaders")
+        new = staged(dealt(leaders.drop("c"), 11 + attempt), "links")
         if new.isEmpty():
             break
-        links = staged(links.unionByName(new), "links")
-    mixed = known.join(small_or_shuffled(apart.drop("n")), keys)
+        parts = _contracted(parts, leaders.select(F.col("rep").alias("a"), F.col("c").alias("b")).unionByName(new))
+    mixed = known.join(apart.drop("n"), keys)
     weights = mixed.groupBy(*keys).agg(F.sum("w").alias("_all"), F.sum(F.when(F.col("c") != F.col("_most"), F.col("w"))).alias("_few"))
     count = lambda n: F.ceil(F.col(n) / block).cast("int")
     mixed = mixed.join(small_or_shuffled(staged(weights.select(*keys, count("_all").alias("_all"), count("_few").alias("_few")), "weights")), keys)
@@ -122,7 +126,18 @@ def linked(members: DataFrame, keys: list[str], payload: DataFrame, within: Work
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     few = mixed.filter("c <> _most").select(*keys, "rep", "c", F.lit(0).alias("side"), at(3, "_few").alias("_i"), every("_all").alias("_j"))
     most = mixed.select(*keys, "rep", "c", F.lit(1).alias("side"), at(5, "_all").alias("_j"), every("_few").alias("_i"))
-    return links.unionByName(run_groups(few.unionByName(most).join(payload, "rep"), [*keys, "_i", "_j"], across, LINKS))
+    new = run_groups(few.unionByName(most).join(payload, "rep"), [*keys, "_i", "_j"], across, LINKS)
+    found = staged(new.join(parts.select(F.col("node").alias("a"), F.col("component").alias("_a")), "a", "left").join(parts.select(F.col("node").alias("b"), F.col("component").alias("_c")), "b", "left").select(F.coalesce("_a", "a").alias("a"), F.coalesce("_c", "b").alias("b")), "links")
+    return parts if found.isEmpty() else _contracted(parts, found)
+
+
+def _contracted(parts: DataFrame, links: DataFrame) -> DataFrame:
+    """``parts`` (node, component) with some components and nodes joined by links (a, b); only those are gone through."""
+    joined = staged(components(links), "joined").select(F.col("node").alias("_n"), F.col("component").alias("_c"))
+    moved = parts.join(small_or_shuffled(joined), F.col("component") == F.col("_n"), "left").select("node", F.coalesce("_c", "component").alias("component"))
+    known = parts.select(F.col("node").alias("_k"))
+    alone = joined.join(known, F.col("_n") == F.col("_k"), "left_anti").select(F.col("_n").alias("node"), F.col("_c").alias("component"))
+    return staged(moved.unionByName(alone), "parts")
 
 
 def run_groups(rows: DataFrame, keys: list[str], work: Work, schema: pa.Schema) -> DataFrame:

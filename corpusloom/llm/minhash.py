@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.caches import TwoGenerations
 from corpusloom.llm.common import fresh, only, prepare, staged
-from corpusloom.llm.components import components, linked, small_or_shuffled
+from corpusloom.llm.components import components, counted, linked, small_or_shuffled
 
 WORDS, THRESHOLD = 5, 0.8
 #: A pair at the threshold agrees in no band with a probability of (1 - 0.8^ROWS)^BANDS = 3e-5.
@@ -230,8 +230,15 @@ def classes(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     which all count. Texts are taken as a whole, however long. Other columns
     are ignored.
     """
+    return _classes(documents, id_col, text_col)[0]
+
+
+def _classes(documents: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, int]:
+    """classes(), the ids that several rows have, and how many those are."""
     prepare(documents.sparkSession)
     base = staged(signed(only(documents, doc_id=id_col, text=text_col)), "signed")
+    again = base.filter("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc_id")
+    again, repeated = counted(staged(again, "again"))
     with_words = base.filter("doc_id is not null and h1 is not null")
     reps = with_words.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.max("w").alias("w"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands"))
     reps = staged(reps.withColumn("rep", F.monotonically_increasing_id()), "reps")  # ids are as written
@@ -240,39 +247,48 @@ def classes(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     buckets = in_bands.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("lo"), F.max("rep").alias("hi"), F.bit_xor(F.xxhash64("rep")).alias("x"))
     buckets = buckets.filter("n > 1").groupBy("n", "lo", "hi", "x").agg(F.min("band").alias("band")).select("band", "n")
     members = in_bands.join(buckets.select("band"), "band").withColumn("w", F.lit(1))
-    near = linked(members, ["band"], reps.select("rep", "sketch"), sketch_forest, sketches_across, BLOCK, buckets)
-
-    clusters = staged(components(near), "clusters").withColumnRenamed("node", "rep")
-    wanted = clusters.join(reps.select("rep", "w", "h1", "h2", "first", "sketch"), "rep")
-    wanted = staged(wanted.withColumnRenamed("first", "_id"), "wanted")
-
-    @F.pandas_udf("h1 long, h2 long")
-    def hashed(texts: pd.Series) -> pd.DataFrame:
-        rows = [_whole(w) if len(w := shingles(t)[0]) else (None, None) for t in texts]
-        return pd.DataFrame(rows, columns=["h1", "h2"]).astype("Int64")
+    clusters = linked(members, ["band"], reps.select("rep", "sketch"), sketch_forest, sketches_across, BLOCK, buckets)
 
-    texts = only(documents, doc_id=id_col, text=text_col).filter("text is not null")
-    texts = texts.join(small_or_shuffled(wanted.select("_id", "rep", "h1", "h2")), F.col("doc_id") == F.col("_id"))
-    texts = texts.withColumn("_h", hashed("text")).filter("_h.h1 = h1 and _h.h2 = h2").groupBy("rep").agg(F.min("text").alias("text"))
-    payload = texts.join(wanted.select("rep", "sketch"), "rep")
+    clusters = clusters.withColumnRenamed("node", "rep")
+    wanted = staged(clusters.join(reps.select("rep", "w", "h1", "h2", F.col("first").alias("_id"), "sketch"), "rep"), "wanted")
+    payload = staged(_texts(only(documents, doc_id=id_col, text=text_col), wanted, again if repeated else None).join(wanted.select("rep", "sketch"), "rep"), "texts")
     sizes = wanted.groupBy("component").agg(F.sum("w").alias("n"))
     found = linked(wanted, ["component"], payload, text_forest, texts_across, TEXT_BLOCK, sizes)
 
     named = with_words.select("doc_id", "h1", "h2").join(reps.select("h1", "h2", "rep", "first"), ["h1", "h2"]).select("doc_id", "rep", "first")
-    many = named.groupBy("doc_id").agg(F.min("rep").alias("_a"), F.max("rep").alias("_z")).filter("_a <> _z").select("doc_id", "_a")
-    many = staged(many, "many")  # ids with several texts
-    if not many.isEmpty():
-        found = found.unionByName(named.join(many, "doc_id").select(F.col("_a").alias("a"), F.col("rep").alias("b")).filter("a <> b"))
-    found = staged(components(found), "found").withColumnRenamed("node", "rep")
+    if repeated:  # the texts of one id are in one class
+        shared = named.join(again, "doc_id", "left_semi")
+        least = shared.groupBy(F.col("doc_id").alias("_d")).agg(F.min("rep").alias("a"))
+        shared = shared.join(least, F.col("doc_id") == F.col("_d")).select("a", F.col("rep").alias("b"))
+        found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(shared))
+    found = staged(found, "found").withColumnRenamed("node", "rep")
     least = found.join(reps.select("rep", "first"), "rep").groupBy("component").agg(F.min("first").alias("class_id"))
     member = found.join(least, "component").select("rep", "class_id")
     some = named.join(member, "rep", "left").select("doc_id", F.coalesce("class_id", "first").alias("class_id"))
-    none = staged(base.filter("doc_id is null or h1 is null").select("doc_id"), "none")
-    ids = small_or_shuffled(none.filter("doc_id is not null").distinct())
-    told = some.join(ids, "doc_id", "left_semi").groupBy(F.col("doc_id").alias("_d")).agg(F.min("class_id").alias("class_id"))  # by a row with words
-    none = none.join(told, F.col("doc_id") == F.col("_d"), "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
+    none = base.filter("doc_id is null or h1 is null").select("doc_id", F.col("doc_id").alias("class_id"))
+    if repeated:  # an id without words here may have some in another row
+        told = some.join(again, "doc_id", "left_semi").groupBy(F.col("doc_id").alias("_d")).agg(F.min("class_id").alias("_c"))
+        none = none.join(told, F.col("doc_id") == F.col("_d"), "left").select("doc_id", F.coalesce("_c", "class_id").alias("class_id"))
     every = some.unionByName(none)
-    return every.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)))
+    return every.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True))), again, repeated
+
+
+def _texts(documents: DataFrame, wanted: DataFrame, again: DataFrame | None) -> DataFrame:
+    """(rep, text) for the wanted representatives (rep, _id, h1, h2); of an id with several rows, the text with the right words."""
+    known = small_or_shuffled(wanted.select("_id", "rep", "h1", "h2"))
+    texts = documents.filter("text is not null").join(known, F.col("doc_id") == F.col("_id"))
+    if again is None:
+        return texts.select("rep", "text")
+
+    @F.pandas_udf("h1 long, h2 long")
+    def hashed(texts: pd.Series) -> pd.DataFrame:
+        rows = [_whole(w) if len(w := shingles(t)[0]) else (None, None) for t in texts]
+        return pd.DataFrame(rows, columns=["h1", "h2"]).astype("Int64")
+
+    once = texts.join(again, "doc_id", "left_anti").select("rep", "text")
+    some = staged(texts.join(again, "doc_id", "left_semi"), "some")  # only these are hashed again
+    right = some.withColumn("_h", hashed("text")).filter("_h.h1 = h1 and _h.h2 = h2").groupBy("rep").agg(F.min("text").alias("text"))
+    return once.unionByName(right)
 
 
 def deduplicated(documents: DataFrame) -> DataFrame:
@@ -282,15 +298,14 @@ def deduplicated(documents: DataFrame) -> DataFrame:
     belong to no class and stay.
     """
     key = fresh(documents, "_id")
-    found = staged(classes(documents), "classes")
-    gone = found.filter("not kept").select(F.col("doc_id").alias(key)).distinct()
+    found, again, repeated = _classes(documents, "doc_id", "text")
+    gone = staged(found.filter("not kept").select(F.col("doc_id").alias(key)), "gone")
     left = documents.join(small_or_shuffled(gone), F.col("doc_id") == F.col(key), "left_anti")
-    again = found.filter("kept and doc_id is not null").groupBy(F.col("doc_id").alias(key)).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(key)
-    again = staged(again, "again")
-    if again.isEmpty():
+    if not repeated:
         return left
-    once = left.join(small_or_shuffled(again), F.col("doc_id") == F.col(key), "left_anti")
+    again = again.withColumnRenamed("doc_id", key)
+    once = left.join(again, F.col("doc_id") == F.col(key), "left_anti")
     place = fresh(documents, "_place")
-    rows = left.join(small_or_shuffled(again), F.col("doc_id") == F.col(key), "left_semi")
+    rows = left.join(again, F.col("doc_id") == F.col(key), "left_semi")
     rows = rows.withColumn(place, F.row_number().over(Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last())))
     return once.unionByName(rows.filter(F.col(place) == 1).drop(place))
