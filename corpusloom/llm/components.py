@@ -19,6 +19,7 @@ Work = Callable[[dict[str, list]], list[tuple]]
 
 #: Links as run_groups returns them.
 LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+PARTS = pa.schema([("node", pa.int64()), ("component", pa.int64())])
 
 
 def small_or_shuffled(df: DataFrame, rows: int = SMALL) -> DataFrame:
@@ -35,12 +36,15 @@ def counted(df: DataFrame, rows: int = SMALL) -> tuple[DataFrame, int]:
 def components(edges: DataFrame, most_rounds: int = 40) -> DataFrame:
     """(node, component) for each node of the edges (a, b); the component is its smallest node.
 
-    Large-star and small-star steps in turn, each a grouped minimum and a join
+    Up to SMALL edges, a few megabytes, are joined up in one task. Beyond that,
+    large-star and small-star steps in turn, each a grouped minimum and a join
     on the node, until the edges stay as they are. Edges are staged after each
     round; hot nodes are spread by Spark's handling of skewed joins.
     """
     ordered = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct()
     current = staged(ordered, "edges")
+    if counted(current, SMALL)[1] <= SMALL:
+        return current.coalesce(1).mapInArrow(_join_up, from_arrow_schema(PARTS))
     mark = _mark(current)
     for _ in range(most_rounds):
         both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -60,6 +64,26 @@ def components(edges: DataFrame, most_rounds: int = 40) -> DataFrame:
     return pairs.unionByName(current.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
+def _join_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Components of a bounded number of edges (u, v): each node points to a smaller one of its component, the smallest to itself."""
+    to: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        root = x
+        while to.setdefault(root, root) != root:
+            root = to[root]
+        while to[x] != root:
+            to[x], x = root, to[x]
+        return root
+
+    for batch in batches:
+        for u, v in zip(batch.column("u").to_pylist(), batch.column("v").to_pylist(), strict=True):
+            a, b = find(u), find(v)
+            to[max(a, b)] = min(a, b)
+    if to:
+        yield pa.record_batch([pa.array(list(to), pa.int64()), pa.array([find(x) for x in to], pa.int64())], schema=PARTS)
+
+
 def _mark(edges: DataFrame) -> tuple:
     row = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.bit_xor(F.xxhash64("v", "u"))).first()
     return tuple(row)
@@ -106,13 +130,19 @@ def linked(members: DataFrame, keys: list[str], payload: DataFrame, within: Work
         return components(dealt(members.withColumn("n", F.lit(1)), 11))
     parts = staged(components(dealt(members.join(large, keys, "left"), 11)), "parts")
     rows = staged(members.join(large, keys).drop("n"), "large")
+    before, together = 0, False
     for attempt in range(1, 100):
         known = rows.join(parts.select(F.col("node").alias("rep"), F.col("component").alias("_part")), "rep", "left").select(*keys, "rep", "w", F.coalesce("_part", "rep").alias("c"))
         leaders = known.groupBy(*keys, "c").agg(F.min("rep").alias("rep"), F.max("w").alias("w"), F.sum("w").alias("size"))
         apart = leaders.groupBy(*keys).agg(F.sum("w").alias("n"), F.count(F.lit(1)).alias("parts"), F.max_by("c", F.struct("size", "c")).alias("_most")).filter("parts > 1")
-        apart, some = counted(staged(apart, "apart"))
-        if not some:
+        apart = staged(apart, "apart")
+        groups, total, most = apart.agg(F.count(F.lit(1)), F.sum("parts"), F.max("n")).first()
+        if not groups:
             return parts
+        apart = F.broadcast(apart) if groups <= SMALL else apart
+        if together or before and total > before / 2:  # all leaders were compared, or few come together this way
+            break
+        before, together = total, most <= block
         leaders = staged(leaders.drop("size").join(apart.select(*keys, "n"), keys), "leaders")
         new = staged(dealt(leaders.drop("c"), 11 + attempt), "links")
         if new.isEmpty():

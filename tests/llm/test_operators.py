@@ -390,7 +390,9 @@ def test_signatures_agree_as_often_as_the_sets():
     assert abs((s == t).mean() - minhash.similarity(a[1:], b[1:])) < 0.04
 
 
-def test_components(spark):
+@pytest.mark.parametrize("small", [200_000, 5])
+def test_components(spark, monkeypatch, small):
+    monkeypatch.setattr(components, "SMALL", small)
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, 101), (101, 100), (7, 7), (200, 150)]
     got = {r.node: r.component for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(61)}, 100: 100, 101: 100, 150: 150, 200: 150}
