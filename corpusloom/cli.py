@@ -39,38 +39,90 @@ def parse(argv: list[str], cwd: str, repo: str) -> dict[str, str]:
     return out | {"registry": got.get("--registry", os.path.join(out["fixtures"], "registry.json"))}
 
 
+#: Names of the two grammars in the catalog's digest.
+WORD, TREATY = "word", "treaty"
+REGISTRY = "array<struct<slug:string,fixture:string,id:long,version_id:long,number:string,name:string,tipo:long,date:string,source_url:string,imported_at:string,treaty:boolean,rules:string,allows_zero_ficha:boolean,articles:long,warnings:array<string>>>"
+
+
+def authorities(spark, registry: str):
+    """The registry's rows with their place in it; ``rules`` is filled in."""
+    from pyspark.sql import functions as F
+
+    text = spark.read.text(registry, wholetext=True).select(F.from_json("value", REGISTRY, {"mode": "FAILFAST"}).alias("r"))
+    rows = text.select(F.posexplode("r").alias("ordinal", "a")).select("ordinal", "a.*")
+    return rows.withColumn("rules", F.coalesce("rules", F.when(F.col("treaty"), TREATY).otherwise(WORD)))
+
+
+def source_faults(rows, found) -> list:
+    """What is wrong with the source events of captures (doc, html, version_id, allows_zero_ficha): marks, handlers, contexts, and ledgers that leave one out."""
+    from pyspark.sql import functions as F
+
+    from corpusloom.operators import extraction, gates, markup, validators
+
+    source = found.lines.filter("event is not null").select("doc", "line", "event.*")
+    known = rows.select(F.col("doc").alias("_d"), "version_id", F.coalesce("allows_zero_ficha", F.lit(True)).alias("_zero"))
+    fault = validators.context_fault(F.col("version"), F.col("ficha"), F.col("doc"), F.col("version_id"), F.col("_zero"))
+    contexts = source.join(known, F.col("doc") == F.col("_d")).withColumn("_f", fault).filter("_f is not null")
+    return [
+        gates.violation(markup.faults(rows, "doc", "html"), "source-mark", "doc", detail=F.col("fault")),
+        gates.violation(contexts, "source-context", "doc", ordinal="line", detail=F.col("_f")),
+        gates.violation(extraction.incomplete(source, found.ledger), "source-ledger", "doc", ordinal="position"),
+    ]
+
+
+def counts_as_registered(found, listed) -> object:
+    """Authorities with another number of articles than the registry expects."""
+    from pyspark.sql import functions as F
+
+    from corpusloom.operators import gates
+
+    made = found.articles.groupBy(F.col("doc").alias("_d")).agg(F.count(F.lit(1)).alias("_n"))
+    rows = listed.join(made, F.col("id") == F.col("_d"), "left").filter("articles is not null and coalesce(_n, 0) <> articles")
+    return gates.violation(rows, "article-count", "id", detail=F.coalesce("_n", F.lit(0)))
+
+
+def digests(rows):
+    """(catalog, fixtures): SHA-256 over the registry's expectations and over the captures' digests, in its order."""
+    from pyspark.sql import functions as F
+
+    from corpusloom.functions import hashing
+
+    fold = lambda *parts: F.sha2(hashing.joined(F.concat(F.concat_ws("\x00", *[F.col(p).cast("string") for p in parts]), F.lit("\x01")), F.col("ordinal")), 256)
+    return tuple(rows.agg(fold("slug", "id", "version_id", "articles", "rules"), fold("slug", "sha256")).first())
+
+
 def build(spark, fixtures: str, out: str, registry: str) -> dict:
     """Read, extract, check and publish; the registry is a JSON array of authorities with the name of their capture."""
     from pyspark.sql import functions as F
 
     from corpusloom.operators import extraction, gates, identity, manifest
-    from corpusloom.sinks import publish
     from corpusloom.session import ship
+    from corpusloom.sinks import publish
     from corpusloom.sources import captures
 
     ship(spark)
     captures.ensure_checkpoints(spark)
-    kinds = "slug string, fixture string, id long, version_id long, number string, name string, tipo long, date string, source_url string, imported_at string, treaty boolean, articles long, warnings array<string>"
-    listed = spark.read.schema(kinds).json(registry, multiLine=True)
+    listed = authorities(spark, registry)
     files = captures.captures(spark, fixtures).withColumn("_name", F.element_at(F.split("path", "/"), -1))
     rows = listed.join(files, F.col("fixture") == F.col("_name"), "left")
     if not rows.filter(F.col("_name").isNull() | F.col("problem").isNotNull()).isEmpty():
         raise gates.Refused("input")
-    made = []
-    for treaty in (False, True):  # two grammars
-        found = extraction.extract(rows.filter(F.coalesce("treaty", F.lit(False)) == treaty).select(F.col("id").alias("doc"), "html"), treaty)
-        approved = listed.select(F.col("id").alias("doc"), F.explode("warnings").alias("warning")).join(rows.filter(F.coalesce("treaty", F.lit(False)) == treaty).select(F.col("id").alias("doc")), "doc", "left_semi")
-        gates.require_none(gates.union([*gates.publishable(found.warnings, approved, found.dropped), *gates.ledger_gaps(found.gaps, found.ledger)]))
-        made.append(manifest.relations(found, listed.filter(F.coalesce("treaty", F.lit(False)) == treaty).select("id", "version_id", "number", "name", "tipo", "date", "source_url", "imported_at")))
+    made, ledgers = [], []
+    for rules in (WORD, TREATY):
+        mine, captured = listed.filter(F.col("rules") == rules), rows.filter(F.col("rules") == rules).withColumn("doc", F.col("id"))
+        found = extraction.extract(captured.select("doc", "html"), rules == TREATY)
+        approved = mine.select(F.col("id").alias("doc"), F.explode("warnings").alias("warning"))
+        gates.require_none(gates.union(source_faults(captured, found)))
+        gates.require_none(gates.union([*gates.publishable(found.warnings, approved, found.dropped), *gates.ledger_gaps(found.gaps, found.ledger), counts_as_registered(found, mine)]))
+        made.append(manifest.relations(found, mine.select("id", "version_id", "number", "name", "tipo", "date", "source_url", "imported_at")))
+        ledgers.append(found.ledger.join(mine.select(F.col("id").alias("doc"), "slug"), "doc").select("slug", F.col("order").alias("ordinal"), "source_unit_id", "kind", "reason"))
     tables = {n: made[0][n].unionByName(made[1][n]) for n in made[0]}
 
     def describe(back):
-        measures = manifest.measure(back).join(listed.select(F.col("id").alias("norma_id"), "slug"), "norma_id").withColumn("ordinal", F.col("norma_id"))
-        ledgers = back["source_gap"].join(listed.select(F.col("id").alias("norma_id"), "slug"), "norma_id").select("slug", F.col("doc_order").alias("ordinal"), "source_unit_id", F.lit("known-gap").alias("kind"), "reason")
-        digests = rows.select("slug", F.col("sha256").alias("digest"))
-        catalog = listed.agg(F.sha2(F.array_join(F.array_sort(F.collect_list(F.concat_ws("\x00", "slug", F.col("id").cast("string"), F.col("version_id").cast("string"), F.col("articles").cast("string")))), "\x01"), 256)).first()[0]
-        fixtures_digest = digests.agg(F.sha2(F.array_join(F.array_sort(F.collect_list("digest")), ""), 256)).first()[0]
-        return manifest.build(measures, identity.evidence(catalog, fixtures_digest, digests, ledgers, measures).first()[0], "fixtures-v1")
+        measures = manifest.measure(back).join(listed.select(F.col("id").alias("norma_id"), "slug", "ordinal"), "norma_id")
+        sidecars = rows.select("slug", F.col("sha256").alias("digest"))
+        evidence = identity.evidence(*digests(rows), sidecars, ledgers[0].unionByName(ledgers[1]), measures)
+        return manifest.build(measures, evidence.first()[0], "fixtures-v1")
 
     return publish.publish(spark, tables, describe, out)
 
