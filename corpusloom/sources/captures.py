@@ -10,10 +10,12 @@ from pyspark.sql import types as T
 
 
 def ensure_checkpoints(spark: SparkSession) -> None:
-    """Checkpoints go to the folder that the cluster names; only where it names none, as in tests, to a local one."""
+    """Checkpoints go to the folder that the cluster names; only where it names none, and on one machine, to a local one."""
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        named = spark.conf.get("spark.checkpoint.dir", None)
+        named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+        if not named and not context.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(named or "file://" + tempfile.mkdtemp(prefix="corpusloom-"))
 
 

@@ -46,8 +46,9 @@ def replace_partitions(root: str, key: str, order: str, buckets: int = 64) -> Ca
             old = read_table(spark, root, number - 1)
             if old is not None:
                 old = old.filter(F.col("bucket").isin(touched)).drop("batch")
-                new_keys = new.select(F.col(key).alias("_k"))
-                merged = old.join(new_keys, F.col(key) == F.col("_k"), "left_anti").unionByName(new)
+                both = old.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)))
+                newest = Window.partitionBy(key).orderBy(F.desc(order), F.desc("_new"))  # an older row that arrives late replaces nothing
+                merged = both.withColumn("_rn", F.row_number().over(newest)).filter("_rn = 1").drop("_rn", "_new")
             else:
                 merged = new
             merged.withColumn("batch", F.lit(number)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch", "bucket").parquet(root)

@@ -11,14 +11,14 @@ def test_replace_by_key_in_batches(spark, tmp_path):
     schema = "k long, at long, v string"
     write = lambda rows: spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
     write([(1, 1, "a"), (2, 1, "b"), (1, 2, "c")])
-    for rows in (None, [(2, 3, "d"), (3, 1, "e")]):
+    for rows in (None, [(2, 3, "d"), (3, 1, "e")], [(1, 1, "late"), (3, 1, "again")]):
         if rows:
             write(rows)
         stream = ingest.new_files(spark, source, spark.createDataFrame([], schema).schema)
         query = stream.writeStream.foreachBatch(ingest.replace_partitions(root, "k", "at", 4)).option("checkpointLocation", str(tmp_path / "marks")).trigger(availableNow=True).start()
         query.awaitTermination()
     table = ingest.read_table(spark, root)
-    assert sorted((r.k, r.v) for r in table.collect()) == [(1, "c"), (2, "d"), (3, "e")]
+    assert sorted((r.k, r.v) for r in table.collect()) == [(1, "c"), (2, "d"), (3, "again")]
 
 
 def test_windowed_counts_of_a_stream(spark, tmp_path):
