@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from corpusloom.llm import bpe, html_pages, minhash, nn_descent, packing, pii, quality_classifier, quality_rules, secrets, token_files
+from corpusloom.llm import bpe, html_pages, minhash, nn_descent, packing, pii, quality_classifier, quality_rules, secrets, spelling, token_files, warc, whitening
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,7 +54,19 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(_read(spark, sf_dir, "documents"))
 
 
-QUERIES = (op1_bpe, op2_html, op3_packing, op4_minhash, op5_quality_classifier, op6_pii, op7_nn_descent, op8_token_files, op9_quality_rules, op10_secrets)
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive(_read(spark, sf_dir, "pages"))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_read(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_read(spark, sf_dir, "embeddings"))
+
+
+QUERIES = (op1_bpe, op2_html, op3_packing, op4_minhash, op5_quality_classifier, op6_pii, op7_nn_descent, op8_token_files, op9_quality_rules, op10_secrets, op11_warc, op12_spelling, op13_whitening)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
