@@ -6,7 +6,8 @@ template; one that is matched but varies, or is in some pages only, is a slot.
 From the root down, the wrapper goes into the element that holds most of the
 varying text, links not counted, until no child does: that is where the content
 lies, and every page of the host is read there, without template nodes and
-without elements that by name or class are no part of an article. Semantic
+without elements that by name or class are no part of an article. Names are
+votes: what lies around the content is never left out by them. Semantic
 elements (article, main) decide only on hosts without a wrapper, as those of
 one page, and on pages without the wrapper's element.
 """
@@ -52,14 +53,20 @@ ENDS = {
     "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
     "tbody": ({"tbody", "thead", "tfoot", "tr", "td", "th"}, {"table"}), "thead": ({"tbody"}, {"table"}), "tfoot": ({"tbody", "thead", "tr", "td", "th"}, {"table"}),
 }
-#: Elements, and words in a class, id or role, that are no part of an article.
-OUT_TAGS = frozenset("nav footer aside form button select dialog menu object canvas audio video head".split())
+#: Elements, and words in a class, id or role, that are no part of an article; the last ones only say so.
+OUT_TAGS = frozenset("nav footer aside button select dialog menu object canvas audio video head".split())
+VOTING_TAGS = frozenset(["form"])
 OUT_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion nav navigation navbar menu breadcrumb breadcrumbs "
     "footer sidebar widget cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login "
     "comment comments commentlist disqus respond reply replies share sharing social related recommended toolbar pagination pager copyright skip "
     "contentinfo complementary search dialog".split()
 )
+#: Words that name reader comments, and words after which a name says what an element has or lacks, not what it is.
+COMMENTS = frozenset("comment comments commentlist disqus respond reply replies".split())
+MODIFIERS = frozenset("has have no not non with without w is if hide hides hidden show shows toggle supports enable enabled disable disabled open closed allow".split())
+#: An element that its name would leave out stays if it holds more than HOLDS of a page's text and all that no name speaks against has less than SPARE.
+HOLDS, SPARE = 0.5, 0.25
 #: Those only outside an article.
 PAGE_TAGS, PAGE_WORDS = frozenset(["header"]), frozenset("header masthead topbar banner site-header".split())
 
@@ -69,15 +76,17 @@ _WORD = re.compile(r"[^a-z0-9]+")
 
 
 class Node:
-    """An element: its name with class or id, its own text and how much of it is in links, its children, and whether it is left out or lies in an article.
+    """An element: its name with class or id, its own text and how much of it is in links, its children, whether it is left out or lies in an article, and what its names say.
+
+    ``vote`` is 1 if the names are those of something other than an article, 2 if of comments.
 
     ``path`` has the names from the root; ``place`` also which of the children of that name each is.
     """
 
-    __slots__ = ("tag", "name", "parent", "children", "text", "linked", "out", "article", "path", "place", "kinds")
+    __slots__ = ("tag", "name", "parent", "children", "text", "linked", "out", "article", "vote", "path", "place", "kinds")
 
-    def __init__(self, tag: str, name: str, parent: "Node | None", out: bool, article: bool):
-        self.tag, self.name, self.parent, self.children, self.text, self.linked, self.out, self.article, self.kinds = tag, name, parent, [], [], 0, out, article, {}
+    def __init__(self, tag: str, name: str, parent: "Node | None", out: bool, article: bool, vote: int = 0):
+        self.tag, self.name, self.parent, self.children, self.text, self.linked, self.out, self.article, self.kinds, self.vote = tag, name, parent, [], [], 0, out, article, {}, vote
         self.path = self.place = hash64(f"{parent.path if parent else 0}/{name}")
         if parent:
             parent.kinds[name] = nth = parent.kinds.get(name, 0) + 1
@@ -90,24 +99,74 @@ def hash64(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text) - (1 << 63)
 
 
+def _names(value: str) -> set[str]:
+    """The words of a class, id or role; of each name only those before a modifier."""
+    out: set[str] = set()
+    for name in value.split():
+        for word in _WORD.split(name):
+            if word in MODIFIERS:
+                break
+            out.add(word)
+    return out
+
+
 def _element(tag: str, attributes: str, parent: Node) -> Node:
-    article, out, name = parent.article, parent.out, tag
+    article, out, name = parent.article, parent.out or tag in OUT_TAGS, tag
     words: set[str] = set()
+    role = False
     if attributes:
         for key, value in _ATTRIBUTE.findall(attributes):
             key = key.lower()
             value = value.strip("\"'").lower()
             if key in ("class", "id", "role"):
-                words.update(_WORD.split(value))
+                words |= _names(value)
+                role = role or key == "role" and value.strip() == "main"
                 if key != "role" and value:
                     name += "." + " ".join([w for w in _WORD.split(value) if not any(map(str.isdigit, w))][:3])
             elif key == "hidden" or key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value) or key == "aria-hidden" and value == "true":
                 out = True
-    out = out or tag in OUT_TAGS or tag not in ("body", "html") and bool(words & OUT_WORDS)
+    vote = 0
+    if tag not in ("body", "html"):
+        vote = 2 if words & COMMENTS else int(tag in VOTING_TAGS or bool(words & OUT_WORDS) or not article and bool(words & PAGE_WORDS))
     if not article:
-        out = out or tag in PAGE_TAGS or tag not in ("body", "html") and bool(words & PAGE_WORDS)
-        article = not out and (tag in ("article", "main") or "main" in words and "role" in attributes)
-    return Node(tag, name, parent, out, article)
+        out = out or tag in PAGE_TAGS
+        article = not out and (tag in ("article", "main") or role)
+    return Node(tag, name, parent, out, article, vote)
+
+
+def _settle(root: Node) -> None:
+    """Leave out what the names speak against, but not what the content lies in.
+
+    That is the main element or the largest article; where there is neither,
+    an element with most of the text, if hardly any is left without it.
+    """
+    every = nodes(root)
+    weight: dict[int, int] = {}
+    for node in reversed(every):
+        own = 0 if node.out else max(0, sum(map(len, node.text)) - node.linked)
+        weight[id(node)] = own + sum(weight[id(c)] for c in node.children)
+    content = [n for n in every if n.article and not n.out and (n.parent is None or not n.parent.article)]
+    total, spoken, said = weight[id(root)], 0, 0
+    under: dict[int, int] = {}
+    for node in every:
+        within = under[id(node.parent)] if node.parent is not None else 0
+        under[id(node)] = max(within, node.vote)
+        spoken += weight[id(node)] if node.vote and not within else 0
+        said += weight[id(node)] if node.vote == 2 and within < 2 else 0
+    spare = total - spoken < SPARE * total
+    named = [n for n in content if n.vote < 2] or (content if total - said < SPARE * total else [])  # an article called a comment only where there is hardly anything else
+    chosen = max(named, key=lambda n: (n.tag != "article", weight[id(n)]), default=None)
+    around: set[int] = set()
+    while chosen is not None:
+        around.add(id(chosen))
+        chosen = chosen.parent
+    for node in every:
+        if node.parent is not None and node.parent.out:
+            node.out = True
+        if node.vote and not node.out and id(node) not in around and not (node.vote == 1 and spare and weight[id(node)] > HOLDS * total):
+            node.out = True
+        if node.out:
+            node.article = False
 
 
 def parse(source: str) -> tuple[Node, list[tuple[Node, str]]]:
@@ -132,9 +191,9 @@ def parse(source: str) -> tuple[Node, list[tuple[Node, str]]]:
         while len(stack) > upto:
             gone = stack.pop()
             anchors -= gone.tag == "a"
-            if gone.tag in BLOCKS:
+            if gone.tag in BLOCKS or gone.vote:
                 flush()
-                owner = next(n for n in reversed(stack) if n.tag in BLOCKS or n is root)
+                owner = next(n for n in reversed(stack) if n.tag in BLOCKS or n.vote or n is root)
 
     position, size = 0, len(source)
     while position < size:
@@ -187,16 +246,17 @@ def parse(source: str) -> tuple[Node, list[tuple[Node, str]]]:
         if tag in ("html", "body") and any(n.tag == tag for n in stack):
             continue
         node = _element(tag, m[3], stack[-1])
-        if node.tag in BLOCKS or node.out:
+        if node.tag in BLOCKS or node.out or node.vote:
             stack[-1].children.append(node)
-            if node.out and tag not in BLOCKS:
+            if tag not in BLOCKS:
                 flush()
         stack.append(node)
         anchors += tag == "a"
-        if tag in BLOCKS:
+        if tag in BLOCKS or node.vote:
             owner = node
     close(1)
     flush()
+    _settle(root)
     return root, blocks
 
 

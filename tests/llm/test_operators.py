@@ -617,3 +617,24 @@ def test_rows_of_one_id_have_places_by_their_texts(spark):
     for parts in (1, 3):
         got = token_files.digest(rows.repartition(parts)).collect()
         assert sorted(tuple(r) for r in got) == sorted(want)
+
+
+WORDS = ["has-sidebar", "layout sidebar-right", "site no-comments", "promo widget", "newsletter"]
+
+
+@pytest.mark.parametrize("name", WORDS)
+def test_names_around_the_content_cut_nothing(spark, name):
+    """A class of what lies around the article says nothing about it, with a wrapper and without."""
+    body = lambda i: f"<nav><a href='/'>Home</a></nav><div class='{name}'><div class='text'><p>Article number {i} tells of something {i * 7}.</p><p>And it goes on about {i * 3}.</p></div><div class='sidebar'>Other posts</div></div><div class='comments'><p>reader {i}</p></div>"
+    rows = spark.createDataFrame([(i, "http://host/x", f"<html><body>{body(i)}</body></html>") for i in range(6)] + [(10, "http://one/", body(1)), (11, None, f"<div class='{name}'><main><p>Article</p></main></div>"), (12, "http://two/", f"<article class='{name}'><p>Article</p></article><p>x</p>")], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_pages.extract(rows).collect()}
+    want = lambda i: f"Article number {i} tells of something {i * 7}.\nAnd it goes on about {i * 3}."
+    assert got == {i: want(i) for i in range(6)} | {10: want(1), 11: "Article", 12: "Article"}
+
+
+def test_names_of_the_pages_that_came_out_empty():
+    text = lambda html: html_pages.main_text(html, frozenset(), None)
+    assert text("<div class='site no-comments'><main><p>A</p></main></div>") == "A" and text("<article class='post with-ad'><p>A</p></article>") == "A"
+    assert text("<form id='aspnetForm'><p>All of a page in a form.</p><div class='comments'><article class='comment-body'><p>c</p></article></div></form>") == "All of a page in a form."
+    assert text("<main><article><p>A</p></article><div class='comments'><article class='comment'><p>" + "c " * 300 + "</p></article></div><div class='related'><article><p>R</p></article></div></main>") == "A"
+    assert text("<p>Some text that is the content.</p><p>" + "More of it. " * 9 + "</p><div class='sidebar'>" + "<p>side</p>" * 40 + "</div>").count("side") == 0
