@@ -11,7 +11,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_SAFE, DEPTH = 9007199254740991, 64
+from corpusloom.functions import scanner
+
+MAX_SAFE = scanner.MAX_SAFE
 
 
 def canonical(value: object) -> str:
@@ -66,7 +68,8 @@ class Refused(ValueError):
     """A fixed code without any of the content."""
 
 
-_INTEGER = re.compile(r"0|[1-9][0-9]*")
+#: Faults of the scanner that this reader doesn't tell apart.
+_SYNTAX = ("control", "escape", "trailing", "unfinished")
 
 
 def strict(data: bytes) -> object:
@@ -74,50 +77,13 @@ def strict(data: bytes) -> object:
 
     No byte order mark, no malformed UTF-8, no repeated keys, no numbers but
     unsigned integers without leading zeros up to 2^53 - 1, no lone surrogates,
-    no control characters, no more than 64 levels, nothing after the value.
+    no control characters, no more than 64 levels, nothing after the value. The
+    first fault counts.
     """
-    if data.startswith(b"\xef\xbb\xbf"):
-        raise Refused("bom")
-    try:
-        text = data.decode("utf-8")
-    except UnicodeDecodeError:
-        raise Refused("utf8") from None
-    depth = deepest = 0
-    for token in re.finditer(r'"(?:[^"\\]|\\.)*"|[\[{]|[\]}]|[^\s\[\]{}:,"]+', text, re.S):
-        c = token[0][0]
-        if c in "[{":
-            depth += 1
-            deepest = max(deepest, depth)
-        elif c in "]}":
-            depth -= 1
-        elif c != '"' and token[0] not in ("true", "false", "null") and not (_INTEGER.fullmatch(token[0]) and int(token[0]) <= MAX_SAFE):
-            raise Refused("number")
-    if deepest > DEPTH:
-        raise Refused("depth")
     try:
-        value = json.loads(text, object_pairs_hook=_once)
-    except Refused:
-        raise
-    except (ValueError, RecursionError):
-        raise Refused("syntax") from None
-    _paired(value)
-    return value
-
-
-def _once(pairs: list[tuple[str, object]]) -> dict:
-    out = dict(pairs)
-    if len(out) != len(pairs):
-        raise Refused("repeated-key")
-    return out
-
-
-def _paired(value: object) -> None:
-    todo = [value]
-    while todo:
-        v = todo.pop()
-        if isinstance(v, str) and re.search("[\ud800-\udfff]", v):
-            raise Refused("surrogate")
-        todo += [*v, *v.values()] if isinstance(v, dict) else v if isinstance(v, list) else []
+        return scanner.scan(data)
+    except scanner.Fault as why:
+        raise Refused("syntax" if why.code in _SYNTAX else why.code) from None
 
 
 @F.pandas_udf(T.StringType())
