@@ -15,37 +15,36 @@ def fold(text: Column) -> Column:
     return F.translate(F.lower(F.coalesce(text, F.lit(""))), MARKED, FOLDED)
 
 
-def index(rows: DataFrame, key: str, text: str) -> DataFrame:
-    """(token, key, n, first): an entry for each token and text, so that no token's list grows in one row.
+def words(text: str) -> Column:
+    """The folded words of a text, in order."""
+    return F.regexp_extract_all(fold(F.col(text)), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
 
-    ``key`` is a row's own. A text's words are sorted and counted by runs
-    within its row, so that nothing is shuffled.
-    """
-    words = F.regexp_extract_all(fold(F.col(text)), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
-    ordered = F.array_sort(F.transform(words, lambda w, i: F.struct(w.alias("token"), i.alias("at"))))
-    rows = rows.select(F.col(key).alias("key"), ordered.alias("w")).withColumn("n", F.size("w"))
-    new = F.transform("w", lambda x, i: F.when((i == 0) | (x["token"] != F.get("w", i - 1)["token"]), i))
-    rows = rows.withColumn("starts", F.array_compact(new))
-    entry = lambda s, k: F.struct(F.get("w", s)["token"].alias("token"), (F.coalesce(F.get("starts", k + 1), F.col("n")) - s).cast("long").alias("n"), F.get("w", s)["at"].cast("long").alias("first"))
-    return rows.select("key", F.inline(F.transform("starts", entry))).select("token", F.col("key").alias(key), "n", "first")
 
+def folded(some: list[str]) -> list[str]:
+    """Distinct words as the index has them."""
+    return sorted({w.lower().translate(str.maketrans(MARKED, FOLDED)) for w in some})
 
-def added(postings: DataFrame, rows: DataFrame, key: str, text: str) -> DataFrame:
-    """The index with further rows, without reading the others again."""
-    return postings.unionByName(index(rows, key, text))
 
+def index(rows: DataFrame, key: str, text: str, only: list[str] | None = None) -> DataFrame:
+    """(token, key, n, first): an entry for each token and text, so that no token's list grows in one row.
 
-def removed(postings: DataFrame, old: DataFrame, key: str, text: str) -> DataFrame:
-    """The index without the entries of rows as they were when they were added."""
-    gone = index(old, key, text).select(F.col("token").alias("_t"), F.col(key).alias("_k"))
-    return postings.join(gone, (F.col("token") == F.col("_t")) & (F.col(key) == F.col("_k")), "left_anti")
+    ``key`` is a row's own, so that nearly all counting is done before the
+    exchange. With ``only`` other words don't leave their row.
+    """
+    at = F.posexplode(words(text)).alias("at", "token")
+    if only is not None:
+        placed = F.transform(words(text), lambda w, i: F.struct(i.alias("at"), w.alias("token")))
+        at = F.inline(F.filter(placed, lambda x: x["token"].isin(folded(only))))
+    found = rows.select(F.col(key).alias("key"), at)
+    counted = found.groupBy("token", "key").agg(F.count(F.lit(1)).alias("n"), F.min("at").cast("long").alias("first"))
+    return counted.select("token", F.col("key").alias(key), "n", "first")
 
 
-def containing_all(postings: DataFrame, key: str, words: list[str]) -> DataFrame:
+def containing_all(postings: DataFrame, key: str, some: list[str]) -> DataFrame:
     """Keys of texts that have every word, with the number of their occurrences."""
-    folded = sorted({w.lower().translate(str.maketrans(MARKED, FOLDED)) for w in words})
-    hits = postings.filter(F.col("token").isin(folded))
-    return hits.groupBy(key).agg(F.count(F.lit(1)).alias("_k"), F.sum("n").alias("hits")).filter(F.col("_k") == len(folded)).drop("_k")
+    wanted = folded(some)
+    hits = postings.filter(F.col("token").isin(wanted))
+    return hits.groupBy(key).agg(F.count(F.lit(1)).alias("_k"), F.sum("n").alias("hits")).filter(F.col("_k") == len(wanted)).drop("_k")
 
 
 def ghosts(postings: DataFrame, key: str, rows: DataFrame) -> DataFrame:
@@ -53,8 +52,11 @@ def ghosts(postings: DataFrame, key: str, rows: DataFrame) -> DataFrame:
     return postings.select(key).distinct().join(rows.select(F.col(key).alias("_k")), F.col(key) == F.col("_k"), "left_anti")
 
 
-def vocabulary(postings: DataFrame, most: int) -> DataFrame:
-    """The tokens of most texts, with the number of texts and of occurrences."""
+def vocabulary(rows: DataFrame, text: str, most: int) -> DataFrame:
+    """The tokens of most texts, with the number of texts and of occurrences: one pass, one exchange of counts by token."""
+    found = words(text)
+    each = F.transform(found, lambda w: F.struct(w.alias("token"), F.lit(0).alias("texts"), F.lit(1).alias("here")))
+    once = F.transform(F.array_distinct(found), lambda w: F.struct(w.alias("token"), F.lit(1).alias("texts"), F.lit(0).alias("here")))
+    counted = rows.select(F.inline(F.concat(each, once))).groupBy("token").agg(F.sum("texts").alias("texts"), F.sum("here").alias("occurrences"))
     w = Window.orderBy(F.desc("texts"), "token")
-    counted = postings.groupBy("token").agg(F.count(F.lit(1)).alias("texts"), F.sum("n").alias("occurrences"))
     return counted.orderBy(F.desc("texts"), "token").limit(most).withColumn("place", F.row_number().over(w).cast("long"))

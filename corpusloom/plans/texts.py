@@ -93,25 +93,40 @@ def label_lines(spark: SparkSession, d: str) -> DataFrame:
 
 
 SMALL, CAPITAL = "abcdefghijklmnopqrstuvwxyzáéíóúüñ", "ABCDEFGHIJKLMNOPQRSTUVWXYZÁÉÍÓÚÜÑ"
-NUMBERS = ("12", "12 bis", "12BIS", "7 º", " 3 TER ", "10 quater", "10  quáter", "10 quáter", "１２", "5° bis", "bis 4", "", "12 bisagra", "007", "4 quinquies", "8 octies")
-TAILS = ("", " de la ley", "bis", " BISx", ".5", ", y", ". Otro", "º", " tercero", " ter", " terx", " bisagras", "．５", "-A", " Bis2", "/b", " terminación")
+#: Ways to write a number #, and what it is then: number, ordinal_raw, cited, canonical, in_catalog, base.
+NUMBERS = (
+    ("#", "#", "", "#", True, True, "#"), ("# bis", "# bis", "", "# bis", True, True, "#"), ("#BIS", "# bis", "", "#bis", False, False, "#BIS"), ("# º", "#", "# º", "#", True, True, "#"), (" # TER ", "# ter", "", "# ter", True, True, "#"),
+    ("# quater", "# quáter", "", "# quáter", True, True, "#"), ("#  quáter", "# quáter", "", "# quáter", True, True, "#"), ("# qua\u0301ter", "# quáter", "", "# quáter", True, True, "#"), ("# QUÁTER", "# quáter", "", "# quáter", True, True, "#"),
+    ("# QUA\u0301TER", "# quáter", "", "# quáter", True, True, "#"), ("#° bis", "#° bis", "", "# bis", True, True, "#°"), ("bis #", "bis #", "", "bis #", False, False, "bis"), ("# bisagra", "# bisagra", "", "# bisagra", False, False, "#"),
+    ("00#", "00#", "", "00#", True, False, "00#"), ("# quinquies", "# quinquies", "", "# quinquies", True, True, "#"), ("# Septies", "# septies", "", "# septies", True, True, "#"), ("# octies", "# octies", "", "# octies", False, False, "#"),
+)
+#: What may follow a number, and whether it goes on with it.
+TAILS = (
+    ("", False), (" de la ley", False), ("bis", True), (" BISx", True), (".5", True), (", y", False), (". Otro", False), ("º", True), (" tercero", False), (" ter", False), (" terx", True), (" bisagras", False), ("．５", True), ("-A", True),
+    (" Bis2", True), ("/b", True), (" terminación", False),
+)
+
+
+def _picked(spark: SparkSession, d: str, options: tuple, names: str) -> DataFrame:
+    """The events with one of a few fixed values each, by their number."""
+    some = F.broadcast(spark.createDataFrame([(i, *v) for i, v in enumerate(options)], f"_i long, {names}"))
+    return table(spark, d, "events").select("event_id", "event_type").join(some, F.col("event_id") % len(options) == F.col("_i"))
 
 
 def number_normalize(spark: SparkSession, d: str) -> DataFrame:
-    ship(spark)
-    rows = spark.createDataFrame([(i, t) for i, t in enumerate(NUMBERS)], "id int, raw string")
-    h = numbers.header_number(F.col("raw"))
-    c = numbers.cited_number(F.col("raw"))
-    return rows.select("id", h["number"].alias("number"), h["ordinal_raw"].alias("ordinal_raw"), c.alias("cited"), numbers.is_canonical(c).alias("canonical"), numbers.is_catalog(c).alias("in_catalog"), numbers.base(F.col("raw")).alias("base"))
+    raw = F.replace("written", F.lit("#"), (F.col("event_id") % 700 + 1).cast("string"))
+    rows = _picked(spark, d, tuple((n[0],) for n in NUMBERS), "written string").select("event_id", raw.alias("raw"))
+    h, c = numbers.header_number(F.col("raw")), numbers.cited_number(F.col("raw"))
+    return rows.select("event_id", h["number"].alias("number"), h["ordinal_raw"].alias("ordinal_raw"), c.alias("cited"), numbers.is_canonical(c).alias("canonical"), numbers.is_catalog(c).alias("in_catalog"), numbers.base(F.col("raw")).alias("base"))
 
 
 def glue_detect(spark: SparkSession, d: str) -> DataFrame:
-    ship(spark)
-    return spark.createDataFrame([(i, t) for i, t in enumerate(TAILS)], "id int, tail string").select("id", numbers.is_glued(F.col("tail")).alias("glued"))
+    rows = _picked(spark, d, tuple((t[0],) for t in TAILS), "tail string")
+    return rows.select("event_id", numbers.is_glued(F.concat_ws(" ", "tail", "event_type")).alias("glued"))
 
 
 def article_numbers(spark: SparkSession, d: str) -> DataFrame:
-    raw = F.concat_ws(" ", (F.col("event_id") % 300).cast("string"), F.when(F.col("event_type") == "click", "BIS").when(F.col("event_type") == "view", "quater").when(F.col("event_type") == "error", "º"))
+    raw = F.concat_ws(" ", (F.col("event_id") % 300).cast("string"), F.when(F.col("event_type") == "click", "BIS").when(F.col("event_type") == "view", "QUÁTER").when(F.col("event_type") == "purchase", "QUA\u0301TER").when(F.col("event_type") == "error", "º"))
     h = numbers.header_number(raw)
     return table(spark, d, "events").select("event_id", h["number"].alias("number"), h["ordinal_raw"].alias("ordinal_raw"))
 
@@ -147,7 +162,8 @@ def inverted_index(spark: SparkSession, d: str) -> DataFrame:
 
 
 def search_all_tokens(spark: SparkSession, d: str) -> DataFrame:
-    return full_text.containing_all(full_text.index(table(spark, d, "documents").select("doc_id", "text"), "doc_id", "text"), "doc_id", ["the", "OF", "ing"])
+    asked = ["the", "OF", "ing"]
+    return full_text.containing_all(full_text.index(table(spark, d, "documents").select("doc_id", "text"), "doc_id", "text", asked), "doc_id", asked)
 
 
 def index_ghosts(spark: SparkSession, d: str) -> DataFrame:
@@ -156,7 +172,7 @@ def index_ghosts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def common_tokens(spark: SparkSession, d: str) -> DataFrame:
-    return full_text.vocabulary(full_text.index(table(spark, d, "documents").select("doc_id", "text"), "doc_id", "text"), 25)
+    return full_text.vocabulary(table(spark, d, "documents").select("text"), "text", 25)
 
 
 def occurrence_ratio(spark: SparkSession, d: str) -> DataFrame:
@@ -188,13 +204,13 @@ _FRAMES = (
 _FOLD = "translate(lower(text), 'áàâäãåéèêëíìîïóòôöõúùûüñçýÿ', 'aaaaaaeeeeiiiiooooouuuuncyy')"
 _TOKENS = "SELECT {k}, unnest(regexp_extract_all({f}, '[\\p{{L}}\\p{{N}}]+')) AS token, unnest(range(len(regexp_extract_all({f}, '[\\p{{L}}\\p{{N}}]+')))) AS position FROM {t}"
 
-#: What the numbers of NUMBERS are: number, ordinal_raw, cited, canonical, in_catalog, base.
+_text = lambda v: str(v).lower() if isinstance(v, bool) else "'" + v + "'"
+_NUMBER = lambda c: f"replace({c}, '#', CAST(event_id % 700 + 1 AS VARCHAR))"
 _NUMBERS_SQL = (
-    "SELECT * FROM (VALUES (0, '12', '', '12', true, true, '12'), (1, '12 bis', '', '12 bis', true, true, '12'), (2, '12 bis', '', '12bis', false, false, '12BIS'), (3, '7', '7 º', '7', true, true, '7'), "
-    "(4, '3 ter', '', '3 ter', true, true, '3'), (5, '10 quáter', '', '10 quáter', true, true, '10'), (6, '10 quáter', '', '10 quáter', true, true, '10'), (7, '10 quáter', '', '10 quáter', true, true, '10'), "
-    "(8, '１２', '', '12', true, true, '１２'), (9, '5° bis', '', '5 bis', true, true, '5°'), (10, 'bis 4', '', 'bis 4', false, false, 'bis'), (11, '', '', '', false, false, ''), (12, '12 bisagra', '', '12 bisagra', false, false, '12'), "
-    "(13, '007', '', '007', true, false, '007'), (14, '4 quinquies', '', '4 quinquies', true, true, '4'), (15, '8 octies', '', '8 octies', false, false, '8')) t(id, number, ordinal_raw, cited, canonical, in_catalog, base)"
-)
+    f"SELECT event_id, {', '.join(f'{_NUMBER(c)} AS {c}' for c in ('number', 'ordinal_raw', 'cited', 'base'))}, canonical, in_catalog FROM events JOIN (VALUES "
+    + ", ".join(f"({i}, {', '.join(map(_text, n[1:]))})" for i, n in enumerate(NUMBERS)) + f") t(i, number, ordinal_raw, cited, canonical, in_catalog, base) ON event_id % {len(NUMBERS)} = i"
+)
+_TAILS_SQL = f"SELECT event_id, event_id % {len(TAILS)} IN ({', '.join(str(i) for i, t in enumerate(TAILS) if t[1])}) AS glued FROM events"
 
 QUERIES = {
     "line_stream": (line_stream, f"WITH {_LINES} SELECT doc, line, text FROM n"),
@@ -228,10 +244,10 @@ QUERIES = {
         "AND len(list_filter(regexp_split_to_array(text, '[ \\-]+'), lambda w: length(w) >= 3)) >= 2 AND NOT regexp_matches(text, '^(LIBRO|T[IÍ]TULO|CAP[IÍ]TULO|SECCI[OÓ]N|ART[IÍ]CULO|TRANSITORIO)( |-|$)')",
     ),
     "number_normalize": (number_normalize, _NUMBERS_SQL),
-    "glue_detect": (glue_detect, "SELECT CAST(id AS INTEGER) AS id, id IN (2, 3, 4, 7, 10, 12, 13, 14, 15) AS glued FROM range(17) t(id)"),
+    "glue_detect": (glue_detect, _TAILS_SQL),
     "article_numbers": (
         article_numbers,
-        "SELECT event_id, CASE event_type WHEN 'click' THEN (event_id % 300) || ' bis' WHEN 'view' THEN (event_id % 300) || ' quáter' ELSE CAST(event_id % 300 AS VARCHAR) END AS number, "
+        "SELECT event_id, CASE event_type WHEN 'click' THEN (event_id % 300) || ' bis' WHEN 'view' THEN (event_id % 300) || ' quáter' WHEN 'purchase' THEN (event_id % 300) || ' quáter' ELSE CAST(event_id % 300 AS VARCHAR) END AS number, "
         "CASE WHEN event_type = 'error' THEN (event_id % 300) || ' º' ELSE '' END AS ordinal_raw FROM events",
     ),
     "classify_first_match": (
