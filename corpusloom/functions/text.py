@@ -74,3 +74,16 @@ def descriptive_label(text: Column) -> Column:
     capitals = text.rlike(r"^[A-ZÁÉÍÓÚÜÑ \-]{4,}$")
     words = F.size(F.filter(F.split(text, r"[ \-]+"), lambda w: F.length(w) >= 3)) >= 2
     return capitals & words & ~text.rlike(r"^(?:LIBRO|T[IÍ]TULO|CAP[IÍ]TULO|SECCI[OÓ]N|ART[IÍ]CULO|TRANSITORIO)\b")
+
+
+def snippet(lines: Column, most: int = 3, units: int = 120) -> Column:
+    """The first lines of an array, for a message: joined by a space, cut after so many UTF-16 code units, and not within a character."""
+    begin = F.substring(F.array_join(F.slice(lines, 1, most), " "), 1, units)
+    size = lambda c: F.when(c.rlike(r"[\x{10000}-\x{10FFFF}]"), 2).otherwise(1)
+    none = F.struct(F.lit(0).alias("n"), F.lit("").alias("t"))
+
+    def more(acc: Column, c: Column) -> Column:
+        n = acc["n"] + size(c)
+        return F.struct(n.alias("n"), F.when(n <= units, F.concat(acc["t"], c)).otherwise(acc["t"]).alias("t"))
+
+    return F.aggregate(F.split(begin, ""), none, more, lambda acc: acc["t"])

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import descriptive_label, trim
-from corpusloom.operators import grammar, markup, segmentation
+from corpusloom.operators import automaton, grammar, markup, segmentation
 from corpusloom.operators.integrity import contained_in, positional_differences
 
 #: What the gaps and the ledger's rows are called.
@@ -163,6 +163,42 @@ def matched_policy(unbound: DataFrame, policy: DataFrame) -> tuple[DataFrame, Da
     return fine.select("doc", F.col("_a.source_unit_id").alias("source_unit_id"), "kind", "reason"), faults
 
 
+#: What a sequence of events is compared in with a reviewed policy.
+FIELDS = ("source_unit_id", "caption", "base", "ficha", "order", "source_lines")
+
+
+def in_sequence(unbound: DataFrame, policy: DataFrame, contexts: DataFrame, reviewed: dict[str, object]) -> tuple[DataFrame, DataFrame]:
+    """(classes, faults) of source events without unit, by an automaton that waits for the rows of a reviewed policy one after the other.
+
+    ``policy`` has ``place`` from 0 and is small: its length is the number of
+    states. ``contexts`` (doc, ...) says what each document is; only documents
+    of the ``reviewed`` context are classified. There an event that isn't the
+    one waited for, and an end before the last row, are faults (drift,
+    unfinished, with the place reached). Elsewhere an event with an id of the
+    policy is one (foreign-context), and all else has no class.
+    """
+    rows = policy.orderBy("place").collect()  # a reviewed policy, of tens of rows
+    n = len(rows)
+    fits = F.lit(True)
+    for name, value in reviewed.items():
+        fits = fits & F.col(name).eqNullSafe(F.lit(value))
+    known = contexts.select("doc", fits.alias("_reviewed"))
+    told = unbound.join(known, "doc", "left").withColumn("_reviewed", F.coalesce("_reviewed", F.lit(False)))
+    keyed = policy.select("place", F.struct(*FIELDS).alias("_policy"), "kind", "reason", F.col("source_unit_id").alias("_target"))
+    small = F.broadcast(keyed)
+    foreign = told.filter("not _reviewed").join(small.select("_target"), F.col("source_unit_id") == F.col("_target"), "left_semi")
+    mine = told.filter("_reviewed").join(small, F.struct(*FIELDS) == F.col("_policy"), "left")
+    lost = n + 1  # once here, always here
+    step = F.transform(F.sequence(F.lit(0), F.lit(lost)), lambda s: F.when((s == F.col("place")) & (s < n), s + 1).otherwise(lost))
+    walked = automaton.states_at(mine.withColumn("_step", step), "doc", "order", "_step", n + 2)
+    classes = walked.filter(F.col("after") != lost).select("doc", "source_unit_id", "kind", "reason")
+    drift = walked.filter((F.col("after") == lost) & (F.col("before") != lost)).select("doc", F.lit("drift").alias("fault"), F.col("before").alias("place"))
+    ends = known.filter("_reviewed").select("doc").join(walked.groupBy("doc").agg(F.max_by("after", "order").alias("state")), "doc", "left")
+    short = ends.filter(F.coalesce("state", F.lit(0)) < n).select("doc", F.lit("unfinished").alias("fault"), F.coalesce("state", F.lit(0)).alias("place"))
+    faults = drift.unionByName(short).unionByName(foreign.select("doc", F.lit("foreign-context").alias("fault"), F.lit(None).cast("int").alias("place")))
+    return classes.join(faults.select("doc").distinct(), "doc", "left_anti"), faults
+
+
 def incomplete(source: DataFrame, ledger: DataFrame) -> DataFrame:
     """Places at which the ledger isn't the source's events in order, each once."""
     return positional_differences(source.select("doc", "order", F.col("unit").alias("source_unit_id"), "caption"), ledger, ["doc"], ["order"], ["source_unit_id", "caption"])

@@ -43,6 +43,13 @@ def timestamp(value: Column) -> Column:
     return F.coalesce(value.rlike(STAMP) & fits & (part(4) <= 23) & (part(5) <= 59) & (part(6) <= 59), F.lit(False))
 
 
+def day(value: Column) -> Column:
+    """The date that a text dd/MM/yyyy is, or null if there is no such day."""
+    shape = r"\A([0-9]{2})/([0-9]{2})/([0-9]{4})\z"
+    part = lambda i: F.regexp_extract(value, shape, i)
+    return F.when(value.rlike(shape), F.concat_ws("-", part(3), part(2), part(1)).try_cast("date"))
+
+
 def human(value: Column) -> Column:
     """A trimmed NFC text of 1 to 512 UTF-16 units without control or format characters."""
     clean = ~value.rlike(r"[\p{Cc}\p{Cf}\p{Cs}]") & (X.trim(value) == value) & (value != "") & (X.utf16_length(value) <= 512)
@@ -107,8 +114,14 @@ def authority_faults(authorities: DataFrame, ledger: DataFrame) -> DataFrame:
 
 def catalog_faults(authorities: DataFrame) -> DataFrame:
     """(slug, fault) over a whole catalog: ids that don't increase, repeated slugs and paths."""
-    rows = authorities.select(F.lit(0).alias("one"), F.monotonically_increasing_id().alias("at"), "slug", "authorityId", "capture")
-    falling = integrity.not_increasing(rows, ["one"], ["at"], "authorityId").select("slug", F.lit("authorityId").alias("fault"))
+    if "ordinal" in authorities.columns:  # the place before is found by a join, however large the catalog is
+        rows = authorities.select("ordinal", "slug", "authorityId", "capture")
+        before = rows.select((F.col("ordinal") + 1).alias("ordinal"), F.col("authorityId").alias("_before"))
+        falling = rows.join(before, "ordinal").filter(F.col("authorityId") <= F.col("_before"))
+    else:
+        rows = authorities.select(F.lit(0).alias("one"), F.monotonically_increasing_id().alias("at"), "slug", "authorityId", "capture")
+        falling = integrity.not_increasing(rows, ["one"], ["at"], "authorityId")
+    falling = falling.select("slug", F.lit("authorityId").alias("fault"))
     out = falling
     for name, column in (("slug", "slug"), ("gzipPath", "capture.gzipPath"), ("sidecarPath", "capture.sidecarPath")):
         again = integrity.repeated_keys(rows.select(F.col(column).alias("v")), ["v"])

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.plans import relational, structure, texts, validation
+from corpusloom.plans import relational, stores, structure, texts, validation
 
-MODULES = (relational, structure, texts, validation)
+MODULES = (relational, structure, texts, validation, stores)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
