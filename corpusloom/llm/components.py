@@ -89,7 +89,7 @@ def _mark(edges: DataFrame) -> tuple:
     return tuple(row)
 
 
-def block_pairs(members: DataFrame, size: Column, member: Column, block: int, alone: bool = False) -> DataFrame:
+def block_pairs(members: DataFrame, size: Column, member: Column, block: int | Column, alone: bool = False) -> DataFrame:
     """Members of groups dealt to tasks of at most about twice ``block`` rows, any two of a group in one at least.
 
     Adds _b, the row's block, and _i and _j, the task's blocks. A group of up

@@ -18,7 +18,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import prepare, staged
@@ -27,13 +27,12 @@ from corpusloom.llm.components import LINKS, block_pairs, components, run_groups
 THRESHOLD = 0.95
 #: Length of a list, tables of codes to start with, vectors in a bucket, rounds of the descent.
 NEIGHBOURS, TABLES, BUCKET, ROUNDS = 16, 10, 256, 2
-#: Groups that the lists of one vector are merged in at first.
-SALTS = 8
 #: Less similar vectors aren't taken into lists: two links in a row still give 0.8.
 FLOOR = 0.6
 #: Queries of the audit, the recall it asks for, and how often it may add tables.
 QUERIES, RECALL, ATTEMPTS = 256, 0.98, 4
-BLOCK = 512
+#: Vectors in a block where links are counted, and in components of more than GROWN blocks, so that each vector is copied to few; rows that are compared at a time.
+BLOCK, GROWN, LARGE_BLOCK, TILE = 512, 8, 8192, 1024
 #: Vectors in a block where all pairs are compared.
 EXACT_BLOCK = 2048
 
@@ -71,10 +70,15 @@ def nearest(ids: list[int], x: np.ndarray, most: int, parts: list[int]) -> list[
 
 
 def _merge(lists: DataFrame) -> DataFrame:
-    """One list for each id from several, the nearest first; in two steps, as some ids are in very many lists."""
-    every = F.sort_array(F.array_distinct(F.flatten(F.collect_list("found"))), asc=False)
-    some = lists.groupBy("id", F.pmod(F.xxhash64("found"), F.lit(SALTS)).alias("salt")).agg(F.slice(every, 1, NEIGHBOURS).alias("found"))
-    return some.groupBy("id").agg(F.slice(every, 1, NEIGHBOURS).alias("found"))
+    """One list for each id from several, the nearest first.
+
+    Some ids are in very many lists; each partition keeps the nearest of an id
+    before they meet, so that nothing grows with their number.
+    """
+    entries = lists.select("id", F.inline("found")).groupBy("id", "n").agg(F.max("s").alias("s"))
+    place = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("s"), F.desc("n")))
+    nearest_of = entries.withColumn("_place", place).filter(F.col("_place") <= NEIGHBOURS)
+    return nearest_of.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("s", "n")), asc=False).alias("found"))
 
 
 def _sizes(nodes: DataFrame) -> dict[int, int]:
@@ -192,15 +196,19 @@ def _every_pair(nodes: DataFrame, parts: DataFrame, wide: bool) -> DataFrame:
 
 
 def _count_links(group: dict[str, list], wide: bool) -> list[tuple]:
+    """Links of the vectors of two blocks, or within one, as many rows at a time as keep the products small."""
     x, block = _unpack(group["x"], wide), np.array(group["_b"])
-    first, second = (block == group["_i"][0]), (block == group["_j"][0])
-    ids = np.array(group["id"])
-    a, b, w = np.flatnonzero(first), np.flatnonzero(second), np.array(group["copies"])
-    s = x[a] @ x[b].T >= THRESHOLD
-    if group["_i"][0] == group["_j"][0]:
-        np.fill_diagonal(s, False)
-        return [(int(i), int(n)) for i, n in zip(ids[a], s @ w[b], strict=True) if n]
-    return [(int(i), int(n)) for i, n in [*zip(ids[a], s @ w[b], strict=True), *zip(ids[b], w[a] @ s, strict=True)] if n]
+    ids, w, one = np.array(group["id"]), np.array(group["copies"]), group["_i"][0] == group["_j"][0]
+    a, b = np.flatnonzero(block == group["_i"][0]), np.flatnonzero(block == group["_j"][0])
+    out, others = [], np.zeros(len(b), np.int64)
+    for start in range(0, len(a), TILE):
+        rows = a[start : start + TILE]
+        s = x[rows] @ x[b].T >= THRESHOLD
+        if one:
+            s[np.arange(len(rows)), np.arange(start, start + len(rows))] = False
+        out += [(int(i), int(n)) for i, n in zip(ids[rows], s @ w[b], strict=True) if n]
+        others += w[rows] @ s
+    return out if one else out + [(int(i), int(n)) for i, n in zip(ids[b], others, strict=True) if n]
 
 
 def links(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -244,7 +252,8 @@ def links(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
         parts = _every_pair(nodes, parts, wide)
     found = parts.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
     members = parts.join(found, "component").withColumnRenamed("node", "id")
-    dealt = block_pairs(members, F.col("n"), F.col("id"), BLOCK, alone=True).drop("n").join(nodes.select("id", "x", "copies"), "id")
+    block = F.when(F.col("n") > GROWN * BLOCK, LARGE_BLOCK).otherwise(BLOCK)
+    dealt = block_pairs(members, F.col("n"), F.col("id"), block, alone=True).drop("n").join(nodes.select("id", "x", "copies"), "id")
     counted = run_groups(dealt, ["component", "_i", "_j"], lambda g: _count_links(g, wide), _COUNTS).groupBy("id").agg(F.sum("links").alias("links"))
     return _named(rows.select("vec_id", "m"), ids, nodes.select("id", "m", "copies"), parts, counted)
 

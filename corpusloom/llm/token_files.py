@@ -27,8 +27,8 @@ from corpusloom.llm import token_ids
 from corpusloom.llm.common import only, prepare, staging_path, tokenizer_path
 
 LENGTH, END_ID = 2048, 0
-#: Rows of fixed-size lists in a record batch, and bytes of the table that a file is made from.
-BATCH_ROWS, PART_BYTES = 256, 1 << 26
+#: Rows of fixed-size lists in a record batch, bytes of the table that a file is made from, and code points of a text by which rows of one id are dealt to files.
+BATCH_ROWS, PART_BYTES, RANGE_CHARS = 256, 1 << 26, 64
 
 
 def schema(length: int, bits: int) -> pa.Schema:
@@ -118,7 +118,8 @@ def write(documents: DataFrame, folder: str, path: str | None = None, length: in
     rows = only(documents, doc_id=id_col, text=text_col)
     size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))  # of its files, or an estimate
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_BYTES) if size < 1 << 60 else 1)  # beyond: not known
-    ordered = rows.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
+    order = ["doc_id", F.substring("text", 1, RANGE_CHARS), F.xxhash64("text"), "_tie"]  # so that rows of one id are dealt to many files, equal ones too
+    ordered = rows.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(parts, *order).sortWithinPartitions(*order).select("doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer, task = token_ids.load(path), TaskContext.get()
@@ -147,7 +148,7 @@ def digest(documents: DataFrame, path: str | None = None, folder: str | None = N
     """Write all documents and read the files back: doc_id, start, n_tokens, ids_crc32.
 
     Null texts count as empty and give their end id alone; rows with a null id
-    come first and rows with equal ids next to each other, in the order of their texts, each with its own place; an empty table
+    come first and rows with equal ids next to each other, in the order of their first 64 code points and then of a hash of the text, each with its own place; an empty table
     gives no files and no rows; other columns are ignored.
     """
     spark = documents.sparkSession

@@ -638,3 +638,36 @@ def test_names_of_the_pages_that_came_out_empty():
     assert text("<form id='aspnetForm'><p>All of a page in a form.</p><div class='comments'><article class='comment-body'><p>c</p></article></div></form>") == "All of a page in a form."
     assert text("<main><article><p>A</p></article><div class='comments'><article class='comment'><p>" + "c " * 300 + "</p></article></div><div class='related'><article><p>R</p></article></div></main>") == "A"
     assert text("<p>Some text that is the content.</p><p>" + "More of it. " * 9 + "</p><div class='sidebar'>" + "<p>side</p>" * 40 + "</div>").count("side") == 0
+
+
+def test_all_rows_of_one_id_are_many_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(token_files, "PART_BYTES", 2000)
+    for texts in ([f"text number {i} of a table" for i in range(400)], ["the same text in each row"] * 400):
+        folder = f"file://{tmp_path}/{len(set(texts))}"
+        rows = docs(spark, texts, [None] * 400).repartition(4)
+        got = token_files.digest(rows, folder=folder).collect()
+        assert len(got) == 400 and sum(r.n_tokens for r in got) == max(r.start + r.n_tokens for r in got)
+        assert len(list((tmp_path / str(len(set(texts)))).glob("*.arrow"))) >= 4
+
+
+def test_a_hub_of_very_many_vectors(spark):
+    """The lists that name one vector are merged in bounded memory: nothing is collected that grows with them."""
+    lists = spark.range(30_000).selectExpr("0L as id", "array(struct(id / 40000.0D as s, id as n)) as found").unionByName(spark.createDataFrame([(1, [(0.7, 5), (0.9, 6), (0.9, 5)])], "id long, found array<struct<s:double,n:long>>"))
+    merged = nn_descent._merge(lists)
+    got = {r.id: [(x.s, x.n) for x in r.found] for r in merged.collect()}
+    assert got == {0: [(i / 40_000, i) for i in range(29_999, 29_983, -1)], 1: [(0.9, 6), (0.9, 5)]}
+    assert "WindowGroupLimit" in merged._jdf.queryExecution().toString()
+
+
+def test_links_are_counted_alike_in_blocks_of_any_size(spark, monkeypatch):
+    r = np.random.default_rng(12)
+    base = r.normal(size=(3, 12))
+    x = (base[r.integers(0, 3, 260)] + r.normal(size=(260, 12)) * 0.13).astype(np.float32)
+    u = x / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    want = ((u @ u.T >= 0.95).sum(1) - 1).tolist()
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    for block, grown, large, tile in ((512, 8, 8192, 1024), (16, 2, 40, 7), (16, 100, 40, 5)):
+        for name, value in (("BLOCK", block), ("GROWN", grown), ("LARGE_BLOCK", large), ("TILE", tile)):
+            monkeypatch.setattr(nn_descent, name, value)
+        got = {v.vec_id: v.n_links for v in nn_descent.links(table).collect()}
+        assert [got[i] for i in range(260)] == want
