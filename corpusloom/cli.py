@@ -1,4 +1,4 @@
-"""Build a release from a folder of captures: python -m corpusloom.cli --fixturesDir F --outDir O --registry R."""
+"""Build a release from a folder of captures: python -m corpusloom.cli --fixturesDir F --outDir O --registry R [--sources S] [--policy P]."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ import os
 import sys
 
 REFUSED = 2
-FLAGS = ("--fixturesDir", "--outDir", "--registry")
+FLAGS = ("--fixturesDir", "--outDir", "--registry", "--sources", "--policy")
 
 
 class Refusal(Exception):
@@ -36,9 +36,11 @@ def parse(argv: list[str], cwd: str, repo: str) -> dict[str, str]:
     out = {"fixtures": got.get("--fixturesDir", pinned if here else os.path.join(cwd, "fixtures")), "out": got.get("--outDir", os.path.join(repo, "app", "public", "corpus") if here else os.path.join(cwd, "corpus-out"))}
     if inside(out["out"]) and out["fixtures"] != pinned:
         raise Refusal("ERR_FIXTURES_NOT_PINNED", "an output in the repository needs its own captures")
-    return out | {"registry": got.get("--registry", os.path.join(out["fixtures"], "registry.json"))}
+    more = {name: got[flag] for flag, name in (("--sources", "sources"), ("--policy", "policy")) if flag in got}
+    return out | {"registry": got.get("--registry", os.path.join(out["fixtures"], "registry.json"))} | more
 
 
+FIXTURE_SET = "fixtures-v1"
 #: Names of the two grammars in the catalog's digest.
 WORD, TREATY = "word", "treaty"
 REGISTRY = "array<struct<slug:string,fixture:string,id:long,version_id:long,number:string,name:string,tipo:long,date:string,source_url:string,imported_at:string,treaty:boolean,rules:string,allows_zero_ficha:boolean,articles:long,warnings:array<string>>>"
@@ -91,8 +93,52 @@ def digests(rows):
     return tuple(rows.agg(fold("slug", "id", "version_id", "articles", "rules"), fold("slug", "sha256")).first())
 
 
-def build(spark, fixtures: str, out: str, registry: str) -> dict:
-    """Read, extract, check and publish; the registry is a JSON array of authorities with the name of their capture."""
+#: Reviewed classes of source units that no unit takes, with the context that they are for.
+POLICY = "struct<context:struct<authorityId:long,versionId:long>,entries:array<struct<place:int,source_unit_id:long,caption:string,base:long,ficha:long,`order`:long,source_lines:array<string>,kind:string,reason:string>>>"
+
+
+def reviewed_sources(spark, sources: str) -> tuple:
+    """(sidecars, faults) of a folder with reviewed-input-catalog.json and sidecars, all read strictly."""
+    from pyspark.sql import functions as F
+
+    from corpusloom.operators import gates, validators
+    from corpusloom.sources import captures
+
+    known, refused = captures.catalog(spark, f"{sources}/{CATALOG}")
+    docs, bad = captures.sidecars(spark, sources)
+    docs = docs.withColumn("path", F.regexp_extract("path", r"(corpus-sources/v1/[^/]+/[^/]+)$", 1))
+    docs = docs.join(known.select(F.col("capture.sidecarPath").alias("path"), "ordinal"), "path", "left")
+    told = lambda rows, code, *says: gates.violation(rows.withColumn("_none", F.lit(None).cast("long")), code, "_none", detail=F.concat_ws(" ", *says))
+    return docs, [
+        told(refused.unionByName(bad), "source-json", "path", "code", "at"), told(captures.sidecar_faults(docs), "sidecar", "slug", "fault"), told(captures.coverage_faults(known, docs), "coverage", "path", "fault"),
+        told(validators.catalog_faults(known).unionByName(validators.authority_faults(known, captures.ledger(known))), "catalog", "slug", "fault"),
+    ]
+
+
+CATALOG = "reviewed-input-catalog.json"
+
+
+def policy_of(spark, path: str, found, listed) -> tuple:
+    """(classes, faults) of the source events without unit by a reviewed policy, waited for one after the other."""
+    from pyspark.sql import functions as F
+
+    from corpusloom.operators import extraction, gates
+
+    read = spark.read.text(path, wholetext=True).select(F.from_json("value", POLICY, {"mode": "FAILFAST"}).alias("p"))
+    context, entries = read.select("p.context").first()[0], read.select(F.inline("p.entries"))
+    loose = found.ledger.filter(F.col("kind") == extraction.GAP).select("doc", "source_unit_id")
+    source = found.lines.filter("event is not null").select("doc", "line", "event.*").withColumnRenamed("unit", "source_unit_id").join(loose, ["doc", "source_unit_id"])
+    contexts = listed.select(F.col("id").alias("doc"), F.col("id").alias("authorityId"), F.col("version_id").alias("versionId"))
+    classes, faults = extraction.in_sequence(extraction.with_source_lines(found.lines, source), entries, contexts, context.asDict())
+    return classes, [gates.violation(extraction.policy_faults(entries).withColumn("doc", F.lit(None).cast("long")), "policy-pair", "doc", detail=F.col("reason")), gates.violation(faults, "policy", "doc", ordinal="place", detail=F.col("fault"))]
+
+
+def build(spark, fixtures: str, out: str, registry: str, sources: str | None = None, policy: str | None = None) -> dict:
+    """Read, extract, check and publish; the registry is a JSON array of authorities with the name of their capture.
+
+    ``sources`` is a folder with a catalog and sidecars, whose faults stop the
+    build; ``policy`` a file of reviewed classes of source units.
+    """
     from pyspark.sql import functions as F
 
     from corpusloom.operators import extraction, gates, identity, manifest
@@ -107,10 +153,19 @@ def build(spark, fixtures: str, out: str, registry: str) -> dict:
     rows = listed.join(files, F.col("fixture") == F.col("_name"), "left")
     if not rows.filter(F.col("_name").isNull() | F.col("problem").isNotNull()).isEmpty():
         raise gates.Refused("input")
+    docs = None
+    if sources:
+        docs, found_faults = reviewed_sources(spark, sources)
+        for part in found_faults:  # files that can't be read first
+            gates.require_none(part)
     made, ledgers = [], []
     for rules in (WORD, TREATY):
         mine, captured = listed.filter(F.col("rules") == rules), rows.filter(F.col("rules") == rules).withColumn("doc", F.col("id"))
         found = extraction.extract(captured.select("doc", "html"), rules == TREATY)
+        if policy:
+            classes, policy_faults = policy_of(spark, policy, found, mine)
+            gates.require_none(gates.union(policy_faults))
+            found = extraction.extract(captured.select("doc", "html"), rules == TREATY, classes.checkpoint())
         approved = mine.select(F.col("id").alias("doc"), F.explode("warnings").alias("warning"))
         gates.require_none(gates.union(source_faults(captured, found)))
         gates.require_none(gates.union([*gates.publishable(found.warnings, approved, found.dropped), *gates.ledger_gaps(found.gaps, found.ledger), counts_as_registered(found, mine)]))
@@ -120,11 +175,16 @@ def build(spark, fixtures: str, out: str, registry: str) -> dict:
 
     def describe(back):
         measures = manifest.measure(back).join(listed.select(F.col("id").alias("norma_id"), "slug", "ordinal"), "norma_id")
-        sidecars = rows.select("slug", F.col("sha256").alias("digest"))
+        sidecars = (rows if docs is None else docs).select("slug", F.col("sha256").alias("digest"))
         evidence = identity.evidence(*digests(rows), sidecars, ledgers[0].unionByName(ledgers[1]), measures)
-        return manifest.build(measures, evidence.first()[0], "fixtures-v1")
-
-    return publish.publish(spark, tables, describe, out)
+        return manifest.build(measures, evidence.first()[0], FIXTURE_SET)
+
+    keys = {"slug": "slug", "docId": "id", "versionId": "version_id", "name": "name", "articleCount": "articles"}
+    profile = [{k: r[c] for k, c in keys.items() if c != "articles" or r[c] is not None} for r in listed.orderBy("ordinal").collect()]  # a row for each authority
+    for row in profile:
+        row.setdefault("articleCount", None)
+    complete = all(r["articleCount"] is not None for r in profile)
+    return publish.publish(spark, tables, describe, out, profile if complete else None, FIXTURE_SET)
 
 
 def main(argv: list[str]) -> int:

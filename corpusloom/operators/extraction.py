@@ -183,7 +183,7 @@ def in_sequence(unbound: DataFrame, policy: DataFrame, contexts: DataFrame, revi
     for name, value in reviewed.items():
         fits = fits & F.col(name).eqNullSafe(F.lit(value))
     known = contexts.select("doc", fits.alias("_reviewed"))
-    told = unbound.join(known, "doc", "left").withColumn("_reviewed", F.coalesce("_reviewed", F.lit(False)))
+    told = unbound.select("doc", *FIELDS).join(known, "doc", "left").withColumn("_reviewed", F.coalesce("_reviewed", F.lit(False)))
     keyed = policy.select("place", F.struct(*FIELDS).alias("_policy"), "kind", "reason", F.col("source_unit_id").alias("_target"))
     small = F.broadcast(keyed)
     foreign = told.filter("not _reviewed").join(small.select("_target"), F.col("source_unit_id") == F.col("_target"), "left_semi")
@@ -199,6 +199,16 @@ def in_sequence(unbound: DataFrame, policy: DataFrame, contexts: DataFrame, revi
     return classes.join(faults.select("doc").distinct(), "doc", "left_anti"), faults
 
 
+def with_source_lines(lines: DataFrame, source: DataFrame) -> DataFrame:
+    """Source events (doc, line, ...) with ``source_lines``, the texts since the event before them in the document."""
+    ends = lines.select("doc", "line", "text", F.col("event").isNotNull().cast("int").alias("_end"))
+    w = Window.partitionBy("doc").orderBy("line").rowsBetween(Window.unboundedPreceding, -1)
+    part = ends.withColumn("_part", F.coalesce(F.sum("_end").over(w), F.lit(0)))
+    texts = F.array_sort(F.collect_list(F.when(F.col("_end") == 0, F.struct("line", "text"))))
+    told = part.groupBy("doc", "_part").agg(F.max(F.when(F.col("_end") == 1, F.col("line"))).alias("line"), F.transform(texts, lambda x: x["text"]).alias("source_lines")).filter("line is not null")
+    return source.join(told.select("doc", "line", "source_lines"), ["doc", "line"])
+
+
 def incomplete(source: DataFrame, ledger: DataFrame) -> DataFrame:
     """Places at which the ledger isn't the source's events in order, each once."""
     return positional_differences(source.select("doc", "order", F.col("unit").alias("source_unit_id"), "caption"), ledger, ["doc"], ["order"], ["source_unit_id", "caption"])

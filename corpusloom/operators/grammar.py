@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.numbers import base, header_number
+from corpusloom.functions.text import trim
 from corpusloom.operators.segmentation import owned_candidates
 
 #: Ordinal words, and the patterns of headers, terminators and headings; (?iu) folds marked letters too.
@@ -76,12 +77,25 @@ RECOVERED_OPEN = (
 )
 
 
+#: What is left of a line, or of its number, where a suffix and an ordinal sign are glued to each other.
+_GLUED_TAIL = r"(?iu)^(?:bis|ter|qu(?:a\u0301|\u00E1|a)ter|quinquies|sexies|septies)(?:[ \t\u00A0]+|[ \t\u00A0]*[º°])"
+_SUFFIXED = r"(?iu)[ \t\u00A0](?:bis|ter|qu(?:a\u0301|\u00E1|a)ter|quinquies|sexies|septies)$"
+
+
+def glued_ordinal(text: Column, pattern: str) -> Column:
+    """Whether a header of this shape lost its suffix to its text, or its text begins with the ordinal sign of its suffix: it is no header then."""
+    tail, number = trim(F.regexp_replace(text, pattern, "")), trim(F.regexp_extract(text, pattern, 1))
+    return tail.rlike(_GLUED_TAIL) | number.rlike(_SUFFIXED) & tail.rlike("^[º°]")
+
+
 def recovered(lines: DataFrame, events: DataFrame) -> DataFrame:
     """Events with the headers that only looser shapes find, each proved by the terminator of its base that comes next.
 
     A line that is an event already is no candidate.
     """
-    shape = F.when(F.col("text").rlike(RECOVERED_SUFFIXED), F.regexp_extract("text", RECOVERED_SUFFIXED, 1)).when(F.col("text").rlike(RECOVERED_OPEN), F.regexp_extract("text", RECOVERED_OPEN, 1))
+    text = F.col("text")
+    first, second = text.rlike(RECOVERED_SUFFIXED), text.rlike(RECOVERED_OPEN)
+    shape = F.when(first, F.when(~glued_ordinal(text, RECOVERED_SUFFIXED), F.regexp_extract(text, RECOVERED_SUFFIXED, 1))).when(second & ~glued_ordinal(text, RECOVERED_OPEN), F.regexp_extract(text, RECOVERED_OPEN, 1))
     found = lines.select("doc", "line", "text", shape.alias("_n")).filter("_n is not null").join(events.select("doc", "line"), ["doc", "line"], "left_anti")
     number = header_number(F.col("_n"))
     found = found.select("doc", "line", "text", number["number"].alias("number"), number["ordinal_raw"].alias("ordinal_raw"), base(number["number"]).alias("base"))

@@ -2,25 +2,31 @@
 
 from __future__ import annotations
 
+import itertools
 import json
+import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions import hashing
-from corpusloom.operators import gates, identity
+from corpusloom.operators import differences, gates, identity
 
+#: The manifest's keys in their order, its versions and the shapes of times and identities.
 EPOCH = "1970-01-01T00:00:00.000Z"
 MEASURES = ["n_articles", "n_transitories", "n_gaps", "front_matter", "n_coordinates", "content_hash", "content_identity", "adopted_identity"]
+BUILT, IDENTITY, STATES = r"[0-9]{4}-[0-9]{2}-[0-9]{2}T", r"\A[0-9a-f]{16}\Z", ("present", "absent")
+TOTALS = ("authorities", "articles", "transitories", "gaps", "frontMatterPresent", "frontMatterAbsent", "sourceUnitCoordinates")
+NORMA = ("slug", "docId", "versionId", "name", "articleCount", "transitoryCount", "gapCount", "frontMatter", "sourceUnitCoordinates", "contentHash", "contentIdentity", "adoptedContentIdentity")
 ROOT = ("formatVersion", "schemaVersion", "fixtureSet", "builtAt", "releaseGenerationId", "identityAlgorithms", "totals", "normas", "releaseEvidenceIdentity")
 
 
 def relations(found, registry: DataFrame) -> dict[str, DataFrame]:
     """Relations at rest from what was extracted and a registry (id, version_id, number, name, tipo, date, source_url, imported_at)."""
-    from pyspark.sql import Window
-
     key = lambda df: df.withColumnRenamed("doc", "norma_id")
-    nodes = key(found.hierarchy).withColumn("id", F.row_number().over(Window.partitionBy("norma_id").orderBy("doc_order")) + F.col("norma_id") * 1_000_000)
+    from corpusloom.operators import loading
+
+    nodes = loading.surrogate_ids(key(found.hierarchy), "norma_id", "doc_order", "norma_id")  # counted over all authorities, in their order
     place = nodes.select("norma_id", F.col("line").alias("_l"), F.col("id").alias("_id"))
     parents = place.withColumnRenamed("_l", "parent_line").withColumnRenamed("_id", "parent_id")
     tree = nodes.join(parents, ["norma_id", "parent_line"], "left").select("id", "norma_id", "kind", "label", "display_label", "doc_order", F.col("line").alias("extract_order"), "parent_id")
@@ -69,8 +75,39 @@ def build(measures: DataFrame, evidence: str, fixture_set: str, built_at: str =
     }
 
 
-def check(manifest: dict, t: dict[str, DataFrame]) -> DataFrame:
-    """All violations of a release by its manifest: usable, totals, measures, and the gates on the relations."""
+def expected(manifest: dict, profile: list[dict], fixture_set: str) -> dict:
+    """What a manifest has to be, given the authorities of its profile in order (slug, docId, versionId, name, articleCount).
+
+    What only the release itself can say is taken from the manifest where it
+    has the right shape, and is null where it hasn't.
+    """
+    told = lambda d, k, fine: d.get(k) if isinstance(d, dict) and fine(d.get(k)) else None
+    text = lambda shape: lambda v: isinstance(v, str) and re.search(shape, v) is not None
+    count = lambda v: type(v) is int and 0 <= v <= gates.MAX_SAFE
+    listed = manifest.get("normas")
+    given = [n if isinstance(n, dict) else {} for n in listed] if isinstance(listed, list) else []
+    kinds = {"transitoryCount": count, "gapCount": count, "frontMatter": STATES.__contains__, "sourceUnitCoordinates": count, "contentHash": text(IDENTITY), "contentIdentity": text(IDENTITY), "adoptedContentIdentity": text(IDENTITY)}
+    rows = []
+    for want, got in itertools.zip_longest(profile, given[: len(profile)], fillvalue={}):
+        rows.append({k: want[k] if k in want else told(got, k, kinds[k]) for k in NORMA})
+    total = lambda k: sum(n[k] or 0 for n in rows)
+    present = sum(n["frontMatter"] == "present" for n in rows)
+    totals = (len(rows), total("articleCount"), total("transitoryCount"), total("gapCount"), present, len(rows) - present, total("sourceUnitCoordinates"))
+    ident = told(manifest, "releaseGenerationId", text(IDENTITY))
+    return dict(zip(ROOT, (
+        3, 2, fixture_set, told(manifest, "builtAt", text(BUILT)), ident, {"adopted": hashing.AUTHORITY_V2, "releaseEvidence": hashing.EVIDENCE_V2}, dict(zip(TOTALS, totals, strict=True)), rows,
+        {"algorithm": hashing.EVIDENCE_V2, "value": ident},
+    ), strict=True))
+
+
+def faults(spark: SparkSession, manifest: dict, profile: list[dict], fixture_set: str) -> DataFrame:
+    """(path, problem, was, now) of the places at which a manifest isn't what its profile asks for; an object's keys have to be in their order."""
+    table = lambda d: spark.createDataFrame([(0, json.dumps(d, ensure_ascii=False))], "one int, text string")
+    return differences.differences(table(expected(manifest, profile, fixture_set)), table(manifest), ["one"], "text", ordered=True).drop("one")
+
+
+def check(manifest: dict, t: dict[str, DataFrame], profile: list[dict] | None = None, fixture_set: str | None = None) -> DataFrame:
+    """All violations of a release by its manifest: usable, totals, measures, and the gates on the relations; with a profile also every place at which the manifest differs from it."""
     spark = t["norma"].sparkSession
     if tuple(manifest) != ROOT or (manifest["formatVersion"], manifest["schemaVersion"]) != (3, 2) or manifest["releaseGenerationId"] != manifest["releaseEvidenceIdentity"]["value"]:
         raise gates.Refused("manifest-unusable")
@@ -82,8 +119,12 @@ def check(manifest: dict, t: dict[str, DataFrame]) -> DataFrame:
         raise gates.Refused("manifest-totals")
     names = dict(zip(["docId", "versionId", "name", "articleCount", "transitoryCount", "gapCount", "frontMatter", "sourceUnitCoordinates", "contentHash", "contentIdentity", "adoptedContentIdentity"], ["norma_id", "version_id", "name", *MEASURES], strict=True))
     kinds = "norma_id long, version_id long, name string, n_articles long, n_transitories long, n_gaps long, front_matter string, n_coordinates long, content_hash string, content_identity string, adopted_identity string"
-    expected = spark.createDataFrame([tuple(n[k] for k in names) for n in normas], kinds)
-    return gates.union([gates.release(t), *gates.counts(measure(t), expected, ["version_id", "name", *MEASURES])])
+    measured = spark.createDataFrame([tuple(n[k] for k in names) for n in normas], kinds)
+    found = [gates.release(t), *gates.counts(measure(t), measured, ["version_id", "name", *MEASURES])]
+    if profile is not None:
+        where = faults(spark, manifest, profile, fixture_set or manifest["fixtureSet"])
+        found.append(gates.violation(where.withColumn("norma_id", F.lit(None).cast("long")), "manifest-profile", detail=F.concat_ws(" ", "path", "problem")))
+    return gates.union(found)
 
 
 def text(manifest: dict) -> str:
