@@ -2,11 +2,17 @@
 
 All work on texts is done with DataFrame functions. The forest is trained on
 the driver from labelled findings, a bounded table, and becomes one expression.
+Where none are given, findings are planted in passages of the documents
+themselves: tokens of many makes, true and false ones, whose places and labels
+are known from the planting and not from the patterns here, so that what the
+patterns miss counts against them. A part is held out to measure on. Words that
+many documents have make up the dictionary.
 """
 
 from __future__ import annotations
 
 import random
+from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,30 +21,42 @@ from pyspark.sql import functions as F
 from corpusloom.llm import spans
 from corpusloom.llm.common import fresh
 
-#: Kinds of candidates: by the name in front, as a key block, by their form, or any long token of mixed characters.
-NAMED = r"(?i:(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|auth[_-]?key|client[_-]?secret|bearer)[\"']?\x20?[:=]\x20?[\"']?)"
+#: What secrets are called in four languages, and what stands between a name and its secret.
+NAMES = (
+    r"pass[_-]?word|passwd|pwd|pass[_-]?phrase|secret|token|api[_\x20-]?key|access[_\x20-]?key|auth[_-]?key|client[_-]?secret|credentials?|bearer|"
+    r"mot\x20de\x20passe|mdp|cl[eé]\x20(?:secr[eè]te|api)|jeton|passwort|kennwort|geheimnis|zugangsschl[uü]ssel|contrase[nñ]a|clave|secreto"
+)
+BETWEEN = r"[\"']?(?:\x20?[:=]\x20?|\x20(?:is|est|ist|lautet|es)\x20|(?<=(?i:bearer))\x20)[\"']?"
+#: Kinds of candidates: by the name in front, as a key block, in a URL, by their form, or any long token of mixed characters.
+NAMED = rf"(?iu:(?:{NAMES}){BETWEEN})"
 BLOCK = r"-----BEGIN\x20[A-Z\x20]{0,24}PRIVATE\x20KEY-----[A-Za-z0-9+/=\s]++-----END\x20[A-Z\x20]{0,24}PRIVATE\x20KEY-----"
 LONG = r"(?:\G|(?<![A-Za-z0-9+/_=-]))(?=[A-Za-z+/_=-]*+[0-9])(?=[0-9+/_=-]*+[A-Za-z])[A-Za-z0-9+/_=-]{16,}+"
-PATTERN = rf"({NAMED})([A-Za-z0-9+/_=.@!$%^&*~-]{{8,}}+)|({BLOCK})|({LONG})"
-REPLACEMENT = f"$1{spans.OPEN}$2$3$4{spans.CLOSE}"
+LOGIN = r"(?<=[A-Za-z0-9])://[^\s:/@\"'<>]{1,64}:"
+PATTERN = rf"({NAMED})([A-Za-z0-9+/_=.@!$%^&*~-]{{8,}}+)|({LOGIN})([^\s:/@\"'<>]{{4,128}}+)(?=@)|({BLOCK})|({LONG})"
+REPLACEMENT = f"$1$3{spans.OPEN}$2$4$5$6{spans.CLOSE}"
 
-#: Frequent words and placeholders; what they cover of a candidate makes it less of a secret.
+#: Placeholders and parts of addresses; what they cover of a candidate makes it less of a secret.
 WORDS = (
-    "password changeme example sample placeholder dummy secret token test your here user admin default value "
-    "this that with from have what when there which their about would could other after first "
-    "dans avec pour plus tout cette sont nous vous elle leur mais "
-    "nicht eine einer sich auch werden haben oder wird sind dass "
-    "para como pero este esta todo sobre entre cuando donde desde "
+    "password changeme example sample placeholder dummy secret token test your here user admin default value passwort contrasena motdepasse "
     "index image images file files static assets docs page pages html content article download github http https www com org net"
 ).split()
 
-KEYWORD = r"(?i)(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|credential|bearer|auth|aws|private)[^\n]{0,24}$"
+KEYWORD = rf"(?iu)(?:{NAMES}|auth|aws|private)[^\n]{{0,24}}$"
 BENIGN = r"(?i)(?:commit|sha1|sha256|md5|checksum|hash|digest|revision|uuid|guid|etag|integrity|isbn|serial|version|file|page)[^\n]{0,16}$"
 KNOWN = r"^(?:AKIA|ASIA)[0-9A-Z]{16}$|^gh[pousr]_[A-Za-z0-9]{36}$|^xox[abprs]-|^AIza[0-9A-Za-z_-]{35}$|^sk_live_|^eyJ[A-Za-z0-9_-]{10}|^-----BEGIN"
-FEATURES = ("length", "transitions", "digits", "upper", "distinct", "covered", "path", "keyword", "benign", "known", "hexadecimal", "named")
+FEATURES = ("length", "transitions", "digits", "upper", "distinct", "covered", "words", "path", "keyword", "benign", "known", "hexadecimal", "named", "login", "signs")
+#: Words of the dictionary and documents that each has to be in; passages that findings are planted in, their length, findings of each make, and every which is held out.
+DICTIONARY, SEEN, PASSAGES, PASSAGE_CHARS, PLANTED, HELD = 2000, 5, 400, 400, 40, 4
 
 
-def feature_columns(match: Column, left: Column, right: Column, named: Column) -> list[Column]:
+def dictionary(documents: DataFrame, text_col: str = "text") -> list[str]:
+    """The words of four letters and more that most documents have, counted over all texts; of equally frequent ones the first."""
+    words = F.array_distinct(F.regexp_extract_all(F.lower(F.col(f"`{text_col}`")), F.lit(r"[a-zà-öø-ÿ]{4,}+"), F.lit(0)))
+    counted = documents.select(F.explode(words).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= SEEN)
+    return [r.word for r in counted.filter(F.length("word") <= 30).orderBy(F.desc("n"), "word").limit(DICTIONARY).collect()]
+
+
+def feature_columns(match: Column, left: Column, right: Column, known: list[str]) -> list[Column]:
     """Numbers about a candidate, its place in a path and the words before it, in the order of FEATURES."""
     n = F.length(match).cast("double")
     kinds = F.translate(match, "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "a" * 26 + "B" * 26 + "0" * 10)
@@ -46,6 +64,8 @@ def feature_columns(match: Column, left: Column, right: Column, named: Column) -
     m = F.length(kinds).cast("double")
     flag = lambda c: c.cast("double")
     covered = m - F.length(F.regexp_replace(F.lower(match), "|".join(sorted(WORDS, key=len, reverse=True)), ""))
+    letters = F.regexp_extract_all(F.lower(match), F.lit(r"[a-zà-öø-ÿ]{4,}+"), F.lit(0))
+    words = F.aggregate(F.filter(letters, lambda w: w.isin(known)) if known else F.slice(letters, 1, 0), F.lit(0), lambda total, w: total + F.length(w))
     return [
         F.least(n, F.lit(100.0)),
         F.length(runs) / m,
@@ -53,13 +73,15 @@ def feature_columns(match: Column, left: Column, right: Column, named: Column) -
         F.length(F.regexp_replace(kinds, "[^B]", "")) / m,
         F.size(F.array_distinct(F.split(match, ""))).cast("double"),
         covered / m,
+        words / m,
         flag(left.rlike(r"(?:https?://|www\.|/|\\)[^\s]*$") | right.rlike(r"^[/\\?]|^\.[A-Za-z]{2,4}\b") | match.rlike(r"[A-Za-z]/[A-Za-z][^/]*/")),
         flag(left.rlike(KEYWORD)), flag(left.rlike(BENIGN)), flag(match.rlike(KNOWN)),
-        flag(match.rlike(r"^[0-9a-f]+$|^[0-9A-F]+$")), flag(named),
+        flag(match.rlike(r"^[0-9a-f]+$|^[0-9A-F]+$")), flag(left.rlike(NAMED + "$")), flag(left.rlike(LOGIN + "$") & right.rlike("^@")),
+        F.length(F.regexp_replace(kinds, "[aB0]", "")) / m,
     ]
 
 
-def candidates(rows: DataFrame, text: Column, name: str) -> DataFrame:
+def candidates(rows: DataFrame, text: Column, name: str, known: list[str]) -> DataFrame:
     """``rows`` with ``name``, array<struct<start, end, f>>: the candidates of a text and their features."""
     pieces = fresh(rows, "_pieces")
     plain = fresh(rows, "_text")
@@ -68,42 +90,86 @@ def candidates(rows: DataFrame, text: Column, name: str) -> DataFrame:
     rows = rows.withColumn(pieces, F.when(F.size(name) > 0, spans.segments(F.col(plain)))).drop(plain)
 
     def one(x: Column) -> Column:
-        start = F.greatest(x["start"] - 60, F.lit(0))
+        start = F.greatest(x["start"] - 80, F.lit(0))
         left = spans.piece(F.col(pieces), start, x["start"] - start)
         right = spans.piece(F.col(pieces), x["end"], F.lit(8))
-        named = left.rlike(NAMED + "$")
-        return F.struct(x["start"].alias("start"), x["end"].alias("end"), F.array(*feature_columns(x["match"], left, right, named)).alias("f"))
+        return F.struct(x["start"].alias("start"), x["end"].alias("end"), F.array(*feature_columns(x["match"], left, right, known)).alias("f"))
 
     return rows.withColumn(name, F.transform(name, one)).drop(pieces)
 
 
-def labelled_findings(seed: int = 5, count: int = 150) -> list[tuple[str, str, int]]:
-    """Labelled findings made by rule: (text before, token, 1 for a secret), ``count`` of each sort."""
+def passages(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> list[str]:
+    """Beginnings of some documents, by a hash of id and text, for findings to stand in; a bounded sample."""
+    rows = documents.select(F.substring(f"`{text_col}`", 1, PASSAGE_CHARS).alias("t"), F.xxhash64(F.col(f"`{id_col}`"), F.lit(7)).alias("h")).filter("t <> ''")
+    return [r.t for r in rows.orderBy("h", "t").limit(PASSAGES).collect()]
+
+
+#: Names that planted findings have, apart from those that the patterns know, and what comes after them.
+_CALLED = ("password", "Password", "passwd", "mot de passe", "mdp", "Passwort", "Kennwort", "contraseña", "Contraseña", "clave", "secret", "token", "api_key", "API key", "access_key", "client_secret", "clé secrète", "pin code", "login key")
+_SAYS = ("=", ": ", " = ", ":", '="', " is ", " est ", " ist ", " es ")
+_BEFORE_HASH = ("commit ", "sha1 ", "checksum: ", "md5 ", "revision ", "integrity hash ", "etag ")
+
+
+def planted(texts: list[str], seed: int = 5, count: int = PLANTED) -> list[tuple[int, str, int, int, str, int]]:
+    """Labelled findings (number, text, start, end, make, 1 for a secret), ``count`` of each make, each in a passage of a document."""
     rng = random.Random(seed)
+    lower, digits, signs = "abcdefghijklmnopqrstuvwxyz", "0123456789", "!$%&*_-"
+    every, hexa = lower + lower.upper() + digits, digits + "abcdef"
     pick = lambda chars, n: "".join(rng.choice(chars) for _ in range(n))
-    lower, digits = "abcdefghijklmnopqrstuvwxyz", "0123456789"
-    upper, hexa = lower.upper(), digits + "abcdef"
-    words = lambda n, sep: sep.join(pick("aeiou", 1).join(pick("bcdfglmnprst", 2)) + rng.choice(WORDS) for _ in range(n))
-    say = lambda: " ".join(pick(lower, rng.randint(2, 9)) for _ in range(4)) + " "
+    natural = [w for t in texts for w in t.split() if w.isalpha() and len(w) >= 4] or [pick(lower, n) for n in range(4, 14) for _ in range(9)]
+    plain = lambda n: "".join(rng.choice(natural) for _ in range(9))[:n].lower()
+    word = lambda: rng.choice(natural).lower()
+    name = lambda: rng.choice(_CALLED) + rng.choice(_SAYS)
+    human = lambda: (rng.choice(natural).capitalize()[:7].replace("o", "0").replace("e", "3") + pick(digits, rng.randint(1, 4)) + pick(signs, 1) + pick(every, rng.randint(2, 6)))
+    makes = {
+        "cloud key": lambda: ("", "AKIA" + pick(lower.upper() + digits, 16), "", 1), "code host": lambda: ("", "ghp_" + pick(every, 36), "", 1), "named hex": lambda: (name(), pick(hexa, rng.choice([16, 18, 20, 32, 40, 64])), "", 1),
+        "named": lambda: (name(), pick(every + "+/_-", rng.randint(10, 48)), "", 1), "human": lambda: (name(), human(), "", 1), "login": lambda: (f"{rng.choice(['mongodb', 'postgres', 'https', 'amqp'])}://{word()}:", rng.choice([human(), pick(every, rng.randint(8, 24))]), "@db.host/x", 1),
+        "aws": lambda: (rng.choice(["aws secret ", "aws ", "private key: "]), pick(every + "+/", 40), "", 1), "web token": lambda: ("", "eyJ" + pick(every, 30) + "." + pick(every, 40), "", 1),
+        "hash": lambda: (rng.choice(_BEFORE_HASH), pick(hexa, rng.choice([32, 40, 64])), "", 0), "uuid": lambda: (rng.choice(["uuid ", "guid: ", "", "id="]), "-".join(pick(hexa, k) for k in (8, 4, 4, 4, 12)), "", 0),
+        "address": lambda: (rng.choice(["https://www.example.org/", "src/main/", "see /usr/share/"]), "-".join([word(), word(), word()]) + "-" + pick(digits, 2), rng.choice(["/", ".html", ""]), 0),
+        "slug": lambda: ("", rng.choice("-_").join(word() for _ in range(rng.randint(3, 5))) + pick(digits, rng.randint(1, 4)), "", 0), "glued words": lambda: ("", plain(rng.randint(16, 40)) + pick(digits, rng.randint(1, 3)), "", 0),
+        "placeholder": lambda: (name(), rng.choice(["changeme", "example-", "your-", "test", "placeholder", "<your-", "dummy"]) + rng.choice(["password", "token-here", "secret123", "value1234"]), "", 0),
+        "prose": lambda: (name(), max((word() for _ in range(6)), key=len) + rng.choice(["", ".", word()]), "", 0), "number": lambda: ("", pick(digits, 12) + rng.choice("-_") + pick(lower, rng.randint(4, 10)), "", 0),
+        "login words": lambda: (f"https://{word()}:", rng.choice(["password", "changeme", "secret"]), "@host.org", 0), "file": lambda: (rng.choice(["file ", "image ", ""]), f"{word()}_{pick(digits, 8)}_{word()}-v{pick(digits, 2)}", rng.choice([".pdf", ".png", ""]), 0),
+    }
     out = []
-    for _ in range(count):
-        name = rng.choice(["password=", "password: ", "token = \"", "secret=", "api_key: ", "access_key=", "client_secret = '"])
-        out += [
-            (say(), "AKIA" + pick(upper + digits, 16), 1),
-            (say(), "ghp_" + pick(lower + upper + digits, 36), 1),
-            (say() + name, pick(hexa, rng.choice([16, 18, 20, 32, 40, 64])), 1),
-            (say() + name, pick(lower + upper + digits + "+/_-", rng.randint(10, 48)), 1),
-            (say() + "aws " + rng.choice(["", "secret "]), pick(lower + upper + digits + "+/", 40), 1),
-            (say() + rng.choice(["commit ", "sha1 ", "checksum: ", "md5 ", "revision ", "integrity hash "]), pick(hexa, rng.choice([32, 40, 64])), 0),
-            (say() + rng.choice(["uuid ", "guid: ", ""]), "-".join(pick(hexa, k) for k in (8, 4, 4, 4, 12)), 0),
-            (say() + rng.choice(["https://www.example.org/", "src/main/", "see /usr/share/"]), words(3, "-") + pick(digits, 2), 0),
-            (say(), words(rng.randint(3, 5), rng.choice(["-", "_", ""])) + pick(digits, rng.randint(1, 4)), 0),
-            (say() + name, rng.choice(["changeme", "example-", "your-", "test", "placeholder"]) + rng.choice(["password", "token-here", "secret123", "value1234"]), 0),
-            (say(), pick(digits, 12) + rng.choice(["-", "_"]) + pick(lower, rng.randint(4, 10)), 0),
-        ]
+    for k in range(count):
+        for make, write in makes.items():
+            before, token, after, label = write()
+            around = rng.choice(texts) if texts else ""
+            cut = around.rfind(" ", 0, rng.randint(0, len(around))) + 1 if around else 0
+            begin = around[:cut] + before
+            out.append((len(out), f"{begin}{token}{after} {around[cut:]}", len(begin), len(begin) + len(token), make, label))
     return out
 
 
+@dataclass
+class Findings:
+    """Candidates of planted findings with their labels, and those held out; ``missed`` secrets are no candidates at all."""
+
+    x: np.ndarray
+    y: np.ndarray
+    held_x: np.ndarray
+    held_y: np.ndarray
+    missed: int
+
+
+def findings(spark: SparkSession, texts: list[str], known: list[str], seed: int = 5, count: int = PLANTED) -> Findings:
+    """The features of what is found at the places of planted findings: a candidate counts if it has half of the token and little else."""
+    table = spark.createDataFrame(planted(texts, seed, count), "number long, text string, start int, end int, make string, label int")
+    rows = candidates(table, F.col("text"), "found", known)
+    both = lambda x: F.greatest(F.least(x["end"], F.col("end")) - F.greatest(x["start"], F.col("start")), F.lit(0))
+    here = F.filter("found", lambda x: (both(x) * 2 >= F.col("end") - F.col("start")) & (x["end"] - x["start"] <= 2 * (F.col("end") - F.col("start"))))
+    got = rows.select("number", "label", F.get(here, F.lit(0))["f"].alias("f")).orderBy("number").collect()
+    width = len(FEATURES)
+    part = lambda held: [r for r in got if r.f is not None and (r.number // 18 % HELD == 0) == held]
+    array = lambda rows: np.array([r.f for r in rows], float).reshape(len(rows), width)
+    learned, held = part(False), part(True)
+    missed = sum(r.f is None and r.label == 1 and r.number // 18 % HELD == 0 for r in got)
+    label = lambda rows: np.array([r.label for r in rows], float)
+    return Findings(array(learned), label(learned), array(held), label(held), missed)
+
+
 class Forest:
     """Classification trees on bootstrap samples, each split on a few features taken at random."""
 
@@ -155,44 +221,67 @@ class Forest:
         return total / len(self.trees)
 
 
-def train(spark: SparkSession, findings: list[tuple[str, str, int]] | None = None, most: int = 20_000) -> Forest:
-    """The forest from labelled findings (text before, token, label), of which at most ``most``, a sample, are taken."""
-    findings = labelled_findings() if findings is None else findings
-    if len(findings) > most:
-        findings = random.Random(9).sample(findings, most)
-    table = spark.createDataFrame(findings, "left string, token string, label int")
-    named = F.col("left").rlike(NAMED + "$")
-    got = table.select(F.array(*feature_columns(F.col("token"), F.substring("left", -60, 60), F.lit(" "), named)).alias("f"), "label").collect()
-    return Forest(np.array([r.f for r in got], dtype=float), np.array([r.label for r in got], dtype=float))
+@dataclass
+class Scanner:
+    """A forest and the dictionary that its features need."""
+
+    forest: Forest
+    known: list[str]
+
+
+def train(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", labelled: Findings | None = None) -> Scanner:
+    """The forest from labelled findings, by default planted in passages of ``documents``, with the dictionary of all their texts."""
+    known = dictionary(documents, text_col)
+    if labelled is None:
+        labelled = findings(documents.sparkSession, passages(documents, id_col, text_col), known)
+    return Scanner(Forest(labelled.x, labelled.y), known)
 
 
-def _judged(documents: DataFrame, text: Column, forest: Forest, name: str) -> DataFrame:
+def measured(documents: DataFrame, threshold: float = 0.5, seeds: tuple[int, ...] = (5,), id_col: str = "doc_id", text_col: str = "text") -> dict[str, float]:
+    """Precision and recall on the held-out part of planted findings; secrets that no pattern proposes count as missed."""
+    known, texts = dictionary(documents, text_col), passages(documents, id_col, text_col)
+    right = wrong = lost = 0
+    for seed in seeds:
+        f = findings(documents.sparkSession, texts, known, seed)
+        said = Forest(f.x, f.y).score(f.held_x) >= threshold
+        right, wrong, lost = right + int((said & (f.held_y == 1)).sum()), wrong + int((said & (f.held_y == 0)).sum()), lost + f.missed + int((~said & (f.held_y == 1)).sum())
+    return {"precision": right / max(1, right + wrong), "recall": right / max(1, right + lost), "secrets": right + lost}
+
+
+def _judged(documents: DataFrame, text: Column, scanner: Scanner, name: str) -> DataFrame:
     """``documents`` with ``name``, the candidates of a text with their scores."""
-    rows = candidates(documents, text, name)
-    return rows.withColumn(name, F.transform(name, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), forest.column(x["f"]).alias("score"))))
+    rows = candidates(documents, text, name, scanner.known)
+    return rows.withColumn(name, F.transform(name, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), scanner.forest.column(x["f"]).alias("score"))))
 
 
-def scan(documents: DataFrame, forest: Forest | None = None, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scan(documents: DataFrame, scanner: Scanner | None = None, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Secrets in each whole text: doc_id, n_candidates, n_secrets, spans.
 
     ``spans`` has start:end of each secret by start, comma-joined, in code
-    points, end exclusive. Null texts count as empty and have none; repeated
-    rows and null ids give a row each; other columns are ignored.
+    points, end exclusive. Null texts count as empty and have none; very long
+    texts are walked in runs and segments of bounded length; repeated rows and
+    null ids give a row each; an empty table gives no rows, and where there are
+    no texts the findings are planted in none; other columns are ignored.
     """
-    forest = forest or train(documents.sparkSession)
+    scanner = scanner or train(documents, id_col, text_col)
     rows = documents.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    rows = _judged(rows, F.col("text"), forest, "found").select("doc_id", "found")
+    rows = _judged(rows, F.col("text"), scanner, "found").select("doc_id", "found")
     secrets = F.filter("found", lambda x: x["score"] >= threshold)
     listed = F.array_join(F.transform(secrets, lambda x: F.concat_ws(":", x["start"].cast("string"), x["end"].cast("string"))), ",")
     return rows.select("doc_id", F.size("found").cast("long").alias("n_candidates"), F.size(secrets).cast("long").alias("n_secrets"), listed.alias("spans"))
 
 
-def redacted(documents: DataFrame, forest: Forest | None = None, threshold: float = 0.5, mask: str = "[SECRET]") -> DataFrame:
-    """``documents`` with each secret in ``text`` replaced by ``mask`` and n_chars set anew; other texts stay as they are."""
-    forest = forest or train(documents.sparkSession)
+def redacted(documents: DataFrame, scanner: Scanner | None = None, threshold: float = 0.5, mask: str = "[SECRET]", id_col: str = "doc_id") -> DataFrame:
+    """``documents`` with each secret in ``text`` replaced by ``mask`` and n_chars set anew; other texts stay as they are.
+
+    Null and empty texts stay; every row stays, repeated ones and those with a
+    null id as well; a very long text is put together from its segments; an
+    empty table stays empty; all columns stay, whatever they are called.
+    """
+    scanner = scanner or train(documents, id_col)
     names = documents.columns
     found, pieces = fresh(documents, "_found"), fresh(documents, "_pieces")
-    rows = _judged(documents, F.col("text"), forest, found)
+    rows = _judged(documents, F.col("text"), scanner, found)
     rows = rows.withColumn(found, F.filter(found, lambda x: x["score"] >= threshold)).withColumn(pieces, F.when(F.size(found) > 0, spans.segments(F.col("text"))))
     before = lambda i: F.when(i == 0, 0).otherwise(F.get(found, i - 1)["end"])
     kept = F.transform(found, lambda x, i: F.concat(spans.piece(F.col(pieces), before(i), x["start"] - before(i)), F.lit(mask)))

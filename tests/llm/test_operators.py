@@ -671,3 +671,32 @@ def test_links_are_counted_alike_in_blocks_of_any_size(spark, monkeypatch):
             monkeypatch.setattr(nn_descent, name, value)
         got = {v.vec_id: v.n_links for v in nn_descent.links(table).collect()}
         assert [got[i] for i in range(260)] == want
+
+
+def test_secrets_of_four_languages_and_in_addresses(spark):
+    texts = ["see mongodb://user:pAssw0rd9x@host now", "my password is Tr0ub4dor&3xyz ok", "Contraseña: Qw8rtyUiop12", "mot de passe : Xk29vQpl77Rt", "Kennwort=9aF3kLm2Qz8v", "the password is required here", "https://user:password@host", "el secreto es maravilloso"]
+    rows = {r.doc_id: r for r in secrets.scan(docs(spark, texts)).collect()}
+    assert [rows[i].n_candidates for i in range(5)] == [1] * 5
+    assert [rows[i].spans for i in range(2)] == ["19:29", "15:29"] and [rows[i].n_secrets for i in range(2, 8)] == [1, 1, 1, 0, 0, 0]
+
+
+def test_the_expression_of_the_forest_is_its_score(spark):
+    from pyspark.sql import functions as F
+
+    r = np.random.default_rng(5)
+    width = len(secrets.FEATURES)
+    x = r.random((400, width)).round(2)
+    forest = secrets.Forest(x, (x[:, 0] + x[:, 3] * x[:, 5] > 0.8).astype(float))
+    more = np.vstack([r.random((300, width)).round(2), x[:50]])
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(more)], "i int, f array<double>")
+    got = {v.i: v.s for v in table.select("i", forest.column(F.col("f")).alias("s")).collect()}
+    assert np.allclose([got[i] for i in range(len(more))], forest.score(more), atol=1e-12)
+
+
+def test_planted_findings_are_told_apart(spark, words):
+    r = np.random.default_rng(2)
+    rows = docs(spark, [" ".join(r.choice(words, 80)) for _ in range(60)])
+    found = secrets.planted(secrets.passages(rows))
+    assert all(t[s:e] and 0 <= s < e <= len(t) for _, t, s, e, _, _ in found) and len({m for *_, m, _ in found}) == 18 and set(secrets.dictionary(rows)) <= set(words)
+    got = secrets.measured(rows)
+    assert got["precision"] >= 0.9 and got["recall"] >= 0.85
