@@ -15,7 +15,7 @@ import random
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusloom.llm import spans
@@ -23,15 +23,15 @@ from corpusloom.llm.common import fresh
 
 #: What secrets are called in four languages, and what stands between a name and its secret.
 NAMES = (
-    r"pass[_-]?word|passwd|pwd|pass[_-]?phrase|secret|token|api[_\x20-]?key|access[_\x20-]?key|auth[_-]?key|client[_-]?secret|credentials?|bearer|"
-    r"mot\x20de\x20passe|mdp|cl[eé]\x20(?:secr[eè]te|api)|jeton|passwort|kennwort|geheimnis|zugangsschl[uü]ssel|contrase[nñ]a|clave|secreto"
+    r"p(?:ass(?:[_-]?(?:word|phrase)|wd|wort)|wd)|secreto?|token|a(?:(?:pi|ccess)[_\x20-]?key|uth[_-]?key)|bearer|m(?:ot\x20de\x20passe|dp)|jeton|kennwort|geheimnis|zugangsschl[uüÜ]ssel|"
+    r"c(?:lient[_-]?secret|redentials?|l(?:ave|[eéÉ]\x20(?:secr[eèÈ]te|api))|ontrase[nñÑ]a)"
 )
 BETWEEN = r"[\"']?(?:\x20?[:=]\x20?|\x20(?:is|est|ist|lautet|es)\x20|(?<=(?i:bearer))\x20)[\"']?"
 #: Kinds of candidates: by the name in front, as a key block, in a URL, by their form, or any long token of mixed characters.
-NAMED = rf"(?iu:(?:{NAMES}){BETWEEN})"
+NAMED = rf"(?i:(?:{NAMES}){BETWEEN})"
 BLOCK = r"-----BEGIN\x20[A-Z\x20]{0,24}PRIVATE\x20KEY-----[A-Za-z0-9+/=\s]++-----END\x20[A-Z\x20]{0,24}PRIVATE\x20KEY-----"
 LONG = r"(?:\G|(?<![A-Za-z0-9+/_=-]))(?=[A-Za-z+/_=-]*+[0-9])(?=[0-9+/_=-]*+[A-Za-z])[A-Za-z0-9+/_=-]{16,}+"
-LOGIN = r"(?<=[A-Za-z0-9])://[^\s:/@\"'<>]{1,64}:"
+LOGIN = r":(?<=[A-Za-z0-9]:)//[^\s:/@\"'<>]{1,64}:"
 PATTERN = rf"({NAMED})([A-Za-z0-9+/_=.@!$%^&*~-]{{8,}}+)|({LOGIN})([^\s:/@\"'<>]{{4,128}}+)(?=@)|({BLOCK})|({LONG})"
 REPLACEMENT = f"$1$3{spans.OPEN}$2$4$5$6{spans.CLOSE}"
 
@@ -41,7 +41,7 @@ WORDS = (
     "index image images file files static assets docs page pages html content article download github http https www com org net"
 ).split()
 
-KEYWORD = rf"(?iu)(?:{NAMES}|auth|aws|private)[^\n]{{0,24}}$"
+KEYWORD = rf"(?i)(?:{NAMES}|auth|aws|private)[^\n]{{0,24}}$"
 BENIGN = r"(?i)(?:commit|sha1|sha256|md5|checksum|hash|digest|revision|uuid|guid|etag|integrity|isbn|serial|version|file|page)[^\n]{0,16}$"
 KNOWN = r"^(?:AKIA|ASIA)[0-9A-Z]{16}$|^gh[pousr]_[A-Za-z0-9]{36}$|^xox[abprs]-|^AIza[0-9A-Za-z_-]{35}$|^sk_live_|^eyJ[A-Za-z0-9_-]{10}|^-----BEGIN"
 FEATURES = ("length", "transitions", "digits", "upper", "distinct", "covered", "words", "path", "keyword", "benign", "known", "hexadecimal", "named", "login", "signs")
@@ -53,7 +53,9 @@ def dictionary(documents: DataFrame, text_col: str = "text") -> list[str]:
     """The words of four letters and more that most documents have, counted over all texts; of equally frequent ones the first."""
     words = F.array_distinct(F.regexp_extract_all(F.lower(F.col(f"`{text_col}`")), F.lit(r"[a-zà-öø-ÿ]{4,}+"), F.lit(0)))
     counted = documents.select(F.explode(words).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= SEEN)
-    return [r.word for r in counted.filter(F.length("word") <= 30).orderBy(F.desc("n"), "word").limit(DICTIONARY).collect()]
+    salted = Window.partitionBy(F.pmod(F.xxhash64("word"), F.lit(16))).orderBy(F.desc("n"), "word")  # the most frequent of each sixteenth, so that few rows come to the driver
+    most = counted.filter(F.length("word") <= 30).withColumn("_place", F.row_number().over(salted)).filter(F.col("_place") <= DICTIONARY)
+    return [r.word for r in most.orderBy(F.desc("n"), "word").limit(DICTIONARY).collect()]
 
 
 def feature_columns(match: Column, left: Column, right: Column, known: list[str]) -> list[Column]:
