@@ -700,3 +700,41 @@ def test_planted_findings_are_told_apart(spark, words):
     assert all(t[s:e] and 0 <= s < e <= len(t) for _, t, s, e, _, _ in found) and len({m for *_, m, _ in found}) == 18 and set(secrets.dictionary(rows)) <= set(words)
     got = secrets.measured(rows)
     assert got["precision"] >= 0.9 and got["recall"] >= 0.85
+
+
+def piped(spark, folder, rows, labelled):
+    import corpus_pipeline
+
+    rows.select("doc_id", "text", "lang", "source", "n_chars").write.parquet(f"{folder}/documents.parquet")
+    labels(spark, labelled).write.parquet(f"{folder}/labels.parquet")
+    out = spark.read.parquet(f"{folder}/documents.parquet")
+    kept = {}
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, out, str(folder))
+        out = spark.createDataFrame(out.collect(), out.schema)
+        kept[name] = out
+    return kept
+
+
+@pytest.mark.parametrize("labelled", [[], [(i, 1, 0) for i in range(40)]])
+def test_stages_on_hard_tables(spark, tmp_path, words, labelled):
+    """Nulls, empty and very long texts, repeated rows, rows of one id and without id, with and without labels."""
+    r = np.random.default_rng(9)
+    texts = [" ".join(r.choice(words, 90)).capitalize() + "." for _ in range(40)]
+    long = " ".join(r.choice(words, 30_000))
+    more = [(None, texts[0] + " other"), (None, texts[1]), (None, texts[1]), (3, texts[3]), (4, " ".join(r.choice(words, 90))), (90, None), (91, ""), (92, long), (None, None)]
+    rows = docs(spark, texts + [t for _, t in more], [*range(40), *[i for i, _ in more]])
+    kept = piped(spark, tmp_path, rows, labelled)
+    first, last = kept["quality_rules"], kept["packing"]
+    ids = lambda name: sorted(x.doc_id for x in kept[name].filter("doc_id is not null").collect())
+    assert not {90, 91} & set(ids("quality_rules")) and {0, 3, 4, 92} <= set(ids("quality_rules")) and ids("quality_rules").count(4) == 2
+    assert len(ids("near_dedup")) == len(set(ids("near_dedup"))) and set(ids("near_dedup")) == set(ids("quality_classifier"))
+    without = lambda name: kept[name].filter("doc_id is null").count()
+    assert without("near_dedup") == without("quality_classifier") and first.columns == rows.select("doc_id", "text", "lang", "source", "n_chars").columns
+    whole = {(x.doc_id, x.doc_tokens): 0 for x in last.collect()}
+    assert kept["secret_scan"].count() == kept["near_dedup"].count() and len(whole) >= len(ids("secret_scan")) and last.groupBy("sequence_id").agg({"length": "sum"}).filter("`sum(length)` > 2048").isEmpty()
+
+
+def test_stages_of_an_empty_table(spark, tmp_path):
+    kept = piped(spark, tmp_path, docs(spark, []), [(1, 1, 0)])
+    assert all(k.count() == 0 for k in kept.values()) and "sequence_id" in kept["packing"].columns
