@@ -35,7 +35,7 @@ WINDOW, END_ID = 2048, 1
 #: Groups that the pieces of one length are ranked in.
 SALTS = 512
 #: Pieces in the tokenizer's cache: fewer than elsewhere, as workers in a pipeline hold the caches of other stages too.
-CACHED = 300_000
+CACHED = 150_000
 
 
 def combinations(window: int, present: np.ndarray) -> np.ndarray:
