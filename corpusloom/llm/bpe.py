@@ -36,7 +36,7 @@ WORD_SPLIT = rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{WHITE}\p{{L}}\p{{N}}
 BYTE_SPLIT = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{WHITE}\p{{L}}\p{{N}}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+"
 
 #: Code points of a text that are split and encoded at a time, and words in the cache.
-SEGMENT, CACHED_WORDS = 1 << 16, 150_000
+SEGMENT, CACHED_WORDS = 1 << 16, 400_000
 #: Symbols of a pretoken that are read before stable tokens are looked for, and pairs of tokens that are remembered.
 WINDOW, CACHED_PAIRS = 12, 400_000
 
@@ -160,10 +160,12 @@ class Transducer:
 
     def __init__(self, merges: MergeList, window: int = WINDOW):
         self.merges, self.window = merges, max(2, window)
+        self.most = self.window + merges.longest + merges.lookahead  # symbols that may be held
         self._begin()
 
     def _begin(self) -> None:
         self.held, self.start, self.before, self.waiting, self.look = "", [0], None, None, self.window
+        self.open: list[int] = []  # places from which a token may go on
 
     def _last(self, place: int) -> str | None:
         """The last token of what lies before a place."""
@@ -171,13 +173,18 @@ class Transducer:
 
     def _take(self, symbol: str) -> None:
         self.held += symbol
-        end = len(self.start)
-        for place in range(max(0, end - self.merges.longest), end):
-            token = self.held[place:]
-            if (place == end - 1 or token in self.merges.tokens) and self.merges.follows(self._last(place), token):
-                self.start.append(place)
-                return
-        raise ValueError("not a symbol of this merge list")
+        end, held, merges = len(self.start), self.held, self.merges
+        found, going = None, []
+        for place in (*self.open, end - 1):
+            token = held[place:]
+            if found is None and (place == end - 1 or token in merges.tokens) and merges.follows(self._last(place), token):
+                found = place
+            if token in merges.starts:
+                going.append(place)
+        if found is None:
+            raise ValueError("not a symbol of this merge list")
+        self.start.append(found)
+        self.open = going
 
     def _tokens(self, end: int) -> list[str]:
         out = []
@@ -187,8 +194,7 @@ class Transducer:
         return out[::-1]
 
     def _stable(self) -> list[str]:
-        end = len(self.held)
-        open_places = {end} | {i for i in range(max(0, end - self.merges.longest + 1), end) if self.held[i:] in self.merges.starts}
+        open_places = {len(self.held), *self.open}
         while len(open_places) > 1:  # back to where all agree
             last = max(open_places)
             open_places.remove(last)
@@ -198,6 +204,9 @@ class Transducer:
         if out:
             self.before, self.held = out[-1], self.held[agreed:]
             self.start = [0, *[max(0, s - agreed) for s in self.start[agreed + 1 :]]]
+            self.open = [p - agreed for p in self.open]
+        if len(self.held) > self.most:
+            raise RuntimeError("the lookahead of the merge list isn't sufficient")
         return out
 
     def push(self, symbols: Iterable[str]) -> Iterator[str]:

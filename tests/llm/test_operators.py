@@ -74,7 +74,10 @@ def test_stable_tokens_come_out_before_the_end():
         for size in (1, 2, 3, 7, 60):
             text = "".join(r.choice(["a", "b", "c"], size))
             machine = bpe.Transducer(listed, window=int(r.integers(2, 9)))
-            out = list(machine.push(text))
+            out = []
+            for symbol in text:
+                out += machine.push(symbol)
+                assert len(machine.held) <= machine.most == machine.window + listed.longest + listed.lookahead
             assert out + machine.finish() == listed.merge([*text[:-1], text[-1] + suffix])
     merges = bpe.MergeList([("a", "b"), ("b", "c"), ("ab", "c")], {})
     machine, most, out = bpe.Transducer(merges, window=6), 0, []
