@@ -59,14 +59,14 @@ def source_faults(rows, found) -> list:
     """What is wrong with the source events of captures (doc, html, version_id, allows_zero_ficha): marks, handlers, contexts, and ledgers that leave one out."""
     from pyspark.sql import functions as F
 
-    from corpusloom.operators import extraction, gates, markup, validators
+    from corpusloom.operators import extraction, gates, validators
 
     source = found.lines.filter("event is not null").select("doc", "line", "event.*")
     known = rows.select(F.col("doc").alias("_d"), "version_id", F.coalesce("allows_zero_ficha", F.lit(True)).alias("_zero"))
     fault = validators.context_fault(F.col("version"), F.col("ficha"), F.col("doc"), F.col("version_id"), F.col("_zero"))
     contexts = source.join(known, F.col("doc") == F.col("_d")).withColumn("_f", fault).filter("_f is not null")
     return [
-        gates.violation(markup.faults(rows, "doc", "html"), "source-mark", "doc", detail=F.col("fault")),
+        gates.violation(found.faults, "source-mark", "doc", detail=F.col("fault")),
         gates.violation(contexts, "source-context", "doc", ordinal="line", detail=F.col("_f")),
         gates.violation(extraction.incomplete(source, found.ledger), "source-ledger", "doc", ordinal="position"),
     ]

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import descriptive_label, trim
-from corpusloom.operators import automaton, grammar, markup, segmentation
+from corpusloom.operators import aggregates, automaton, grammar, markup, segmentation
 from corpusloom.operators.integrity import contained_in, positional_differences
 
 #: What the gaps and the ledger's rows are called.
@@ -33,6 +33,7 @@ class Extracted:
     gaps: DataFrame
     ledger: DataFrame
     warnings: DataFrame
+    faults: DataFrame
 
 
 def _body(heads: DataFrame, lines: DataFrame, start: str, end: str) -> DataFrame:
@@ -45,8 +46,7 @@ def _body(heads: DataFrame, lines: DataFrame, start: str, end: str) -> DataFrame
     w = Window.partitionBy("doc").orderBy("line", F.col("_s").isNull()).rowsBetween(Window.unboundedPreceding, 0)
     owned = h.unionByName(l).withColumn("_from", F.last("_s", True).over(w)).withColumn("_to", F.last("_e", True).over(w))
     owned = owned.filter("text is not null and line > _from and line < _to")
-    parts = F.array_sort(F.collect_list(F.struct("line", "text")))
-    bodies = owned.groupBy("doc", F.col("_from").alias(start)).agg(F.array_join(F.transform(parts, lambda x: x["text"]), " ").alias("_rest"))
+    bodies = aggregates.ordered_text(owned.withColumnRenamed("_from", start), ["doc", start], "line", "text").withColumnRenamed("text", "_rest")
     joined = heads.join(bodies, ["doc", start], "left")
     return joined.withColumn("body", F.trim(F.concat_ws(" ", F.when(F.col("tail") != "", F.col("tail")), "_rest"))).drop("_rest", "tail")
 
@@ -60,7 +60,8 @@ def extract(captures: DataFrame, treaty: bool = False, policy: DataFrame | None
     ``policy`` has reviewed classes of source units that no unit takes: (doc,
     source_unit_id, kind, reason), kinds and reasons as in APPROVED.
     """
-    lines = markup.line_stream(captures, "doc", "html").checkpoint()
+    parsed = markup.parse(captures, "doc", "html").checkpoint()
+    lines = markup.lines_in(parsed)
     events = grammar.classified(lines, treaty, fifth_admitted)
     events = (grammar.recovered(lines, events) if recover else events).checkpoint()
     source = lines.filter("event is not null").select("doc", "line", "event.*")
@@ -117,7 +118,7 @@ def extract(captures: DataFrame, treaty: bool = False, policy: DataFrame | None
     front_matter = front.groupBy("doc").agg(F.array_join(F.transform(sort, lambda x: x["text"]), " ").alias("body"), F.count(F.lit(1)).alias("n_lines"))
 
     gaps, ledger = reconcile(source, articles, provisions, lines, events, inside, policy)
-    return Extracted(lines, hierarchy, articles, provisions, dropped, front_matter, gaps, ledger, warnings(lines, hierarchy, articles, provisions, dropped, front_matter, whole))
+    return Extracted(lines, hierarchy, articles, provisions, dropped, front_matter, gaps, ledger, warnings(lines, hierarchy, articles, provisions, dropped, front_matter, whole), markup.faults_in(parsed))
 
 
 def reconcile(source: DataFrame, articles: DataFrame, provisions: DataFrame, lines: DataFrame, events: DataFrame, spans: DataFrame, policy: DataFrame | None) -> tuple[DataFrame, DataFrame]:

@@ -158,16 +158,31 @@ def parsed(html: Column) -> Column:
     return run(html)
 
 
+def parse(captures: DataFrame, doc: str, html: str) -> DataFrame:
+    """(doc, p) with p as parsed() has it; staged, it is the one parse that lines and faults need."""
+    return captures.select(F.col(doc).alias("doc"), parsed(F.col(html)).alias("p"))
+
+
+def lines_in(rows: DataFrame) -> DataFrame:
+    """(doc, line, text, event) of what parse() gave; event is null where the line carries none."""
+    lines = rows.select("doc", F.posexplode("p.lines").alias("line", "l"))
+    event = F.when(F.col("l.unit").isNotNull(), F.struct(*[F.col(f"l.{x}").alias(x) for x in ("order", "caption", "base", "ficha", "version", "unit", "kind")]))
+    return lines.select("doc", F.col("line").cast("long").alias("line"), F.col("l.text").alias("text"), event.alias("event"))
+
+
+def faults_in(rows: DataFrame) -> DataFrame:
+    """(doc, fault) of what parse() gave."""
+    return rows.select("doc", F.explode("p.faults").alias("fault"))
+
+
 def line_stream(captures: DataFrame, doc: str, html: str) -> DataFrame:
     """(doc, line, text, event) for each line of each capture; event is null where the line carries none."""
-    rows = captures.select(F.col(doc).alias("doc"), parsed(F.col(html)).alias("p")).select("doc", F.posexplode("p.lines").alias("line", "l"))
-    event = F.when(F.col("l.unit").isNotNull(), F.struct(*[F.col(f"l.{x}").alias(x) for x in ("order", "caption", "base", "ficha", "version", "unit", "kind")]))
-    return rows.select("doc", F.col("line").cast("long").alias("line"), F.col("l.text").alias("text"), event.alias("event"))
+    return lines_in(parse(captures, doc, html))
 
 
 def faults(captures: DataFrame, doc: str, html: str) -> DataFrame:
     """(doc, fault) for spoofed marks, anchors without handler and malformed handlers."""
-    return captures.select(F.col(doc).alias("doc"), F.explode(parsed(F.col(html))["faults"]).alias("fault"))
+    return faults_in(parse(captures, doc, html))
 
 
 def source_urls(captures: DataFrame, doc: str, html: str) -> DataFrame:
@@ -177,8 +192,12 @@ def source_urls(captures: DataFrame, doc: str, html: str) -> DataFrame:
     return keyed.groupBy("doc", "caption_key").agg(F.min_by("href", "at").alias("href"))
 
 
-def text_lines(rows: DataFrame, doc: str, text: str) -> DataFrame:
-    """(doc, line, text): the lines of plain texts, blanks collapsed, empty ones left out, numbered anew; all within a row."""
+def clean_lines(text: Column) -> Column:
+    """The lines of a plain text in order, blanks collapsed, empty ones left out."""
     clean = lambda x: F.regexp_replace(F.regexp_replace(x, r"[ \t\f\x0B]++", " "), rf"\A[{WHITE}]++|[{WHITE}]+\z", "")
-    kept = F.filter(F.transform(F.split(text, "\n", -1), clean), lambda x: x != "")
-    return rows.select(F.col(doc).alias("doc"), F.posexplode(kept).alias("line", "text")).withColumn("line", F.col("line").cast("long"))
+    return F.filter(F.transform(F.split(text, "\n", -1), clean), lambda x: x != "")
+
+
+def text_lines(rows: DataFrame, doc: str, text: str) -> DataFrame:
+    """(doc, line, text): the lines of plain texts, numbered anew; all within a row."""
+    return rows.select(F.col(doc).alias("doc"), F.posexplode(clean_lines(F.col(text))).alias("line", "text")).withColumn("line", F.col("line").cast("long"))

@@ -16,8 +16,8 @@ def line_stream(spark: SparkSession, d: str) -> DataFrame:
 
 
 def ordered_join(spark: SparkSession, d: str) -> DataFrame:
-    lines = markup.text_lines(table(spark, d, "documents").select("doc_id", "text"), "doc_id", "text")
-    return aggregates.ordered_text(lines, ["doc"], "line", "text")
+    lines = markup.clean_lines(F.col("text"))
+    return table(spark, d, "documents").select(F.col("doc_id").alias("doc"), F.array_join(lines, " ").alias("text")).filter("text <> ''")
 
 
 def html_tag_strip(spark: SparkSession, d: str) -> DataFrame:

@@ -182,7 +182,8 @@ class Log:
             name = relation.getPath().getName()
             if relation.isDirectory() and name != "_log":
                 for folder in self._fs.listStatus(relation.getPath()):
-                    if f"{name}/{folder.getPath().getName()}" not in named:
+                    mine = f"{name}/{folder.getPath().getName()}"
+                    if not any(f == mine or f.startswith(f"{mine}/") for f in named):
                         gone += self._fs.delete(folder.getPath(), True)
         return gone
 

@@ -156,3 +156,9 @@ def test_set_null_and_cascade(spark):
     rows = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "fk int, v string")
     assert sorted((r.fk or 0, r.v) for r in loading.set_null(gone, "k", rows, "fk").collect()) == [(0, "a"), (0, "c"), (2, "b")]
     assert sorted(r.v for r in loading.cascade(gone, "k", rows, "fk").collect()) == ["b", "c"]
+
+
+def test_long_texts_are_hashed_alike_alone_and_together():
+    r = random.Random(3)
+    texts = ["".join(r.choice("abé🙂") for _ in range(r.randrange(0, 90))) for _ in range(120)] + ["x" * 5000]
+    assert hashing.fnv1a64(texts) == [hashing.fnv1a64([t])[0] for t in texts]

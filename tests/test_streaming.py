@@ -37,3 +37,16 @@ def test_capture_payloads(spark, tmp_path):
     assert got == {"a": ("", None), "b": ("null", None), "c": ("y", None), "d": (None, "payload"), "e": (None, "json")}
     names = captures.files(spark, str(tmp_path), without=("a.json",))
     assert sorted(r.name for r in names.collect()) == ["b.json", "c.json", "d.json", "e.json"]
+
+
+def test_batches_are_kept_once_and_old_folders_go(spark, tmp_path):
+    root = f"file://{tmp_path}/table"
+    write = ingest.replace_partitions(root, "k", "at", 3)
+    assert ingest.read_table(spark, root) is None
+    frame = lambda *rows: spark.createDataFrame(list(rows), "k long, at long, v string")
+    for number in range(8):
+        write(frame((number % 3, number, f"v{number}"), (99, number, "same")), number)
+        write(frame((99, 1000, "twice")), number)  # the same batch again does nothing
+    assert sorted(map(tuple, ingest.read_table(spark, root).collect())) == [(0, 6, "v6"), (1, 7, "v7"), (2, 5, "v5"), (99, 7, "same")]
+    write(frame().limit(0), 8)
+    assert len(list((tmp_path / "table" / "data").iterdir())) <= 2 + ingest.KEPT * 2 and ingest.read_table(spark, root).count() == 4
