@@ -59,10 +59,6 @@ def restamp(rows: DataFrame, owner: str, *order: str) -> DataFrame:
     return rows.withColumn("ordinal", (F.row_number().over(Window.partitionBy(owner).orderBy(*order)) - 1).cast("long"))
 
 
-def schema_rows(df: DataFrame, relation: str) -> list[tuple[str, int, str, str, bool]]:
-    return [(relation, i, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(df.schema.fields)]
-
-
 def schema_differences(df: DataFrame, expected: T.StructType, relation: str) -> list[tuple[str, str, str]]:
     """(relation, column, problem) between a DataFrame and a schema; names are compared exactly, though Spark resolves them without case."""
     have = {f.name: f for f in df.schema.fields}
@@ -81,6 +77,28 @@ def schema_differences(df: DataFrame, expected: T.StructType, relation: str) ->
     return out
 
 
+def audited(rows: DataFrame, relation: str, spec: Sequence[tuple[str, str, bool]], key: Sequence[str]) -> DataFrame:
+    """(relation, column, problem, n) where a relation isn't what a specification (name, type, may be null) and a key ask for.
+
+    Names and types are those of the schema: missing, case, type, unknown, with
+    n 0. Nulls and repeated keys are those of the rows: one aggregate for all
+    columns, one grouping for the key; n counts the rows that are null and the
+    keys that occur twice or more, of which a null in the key is part.
+    """
+    kinds = {kind: T.StructType.fromDDL(f"c {kind}")["c"].dataType for _, kind, _ in spec}
+    expected = T.StructType([T.StructField(n, kinds[kind]) for n, kind, _ in spec])
+    said = [(r, c, problem, 0) for r, c, problem in schema_differences(rows, expected, relation)]
+    have = set(rows.columns)
+    required = [n for n, _, nullable in spec if not nullable and n in have]
+    told = rows.sparkSession.createDataFrame(said, "relation string, column string, problem string, n long")
+    say = lambda df, column, problem: df.filter("n > 0").select(F.lit(relation).alias("relation"), column.alias("column"), F.lit(problem).alias("problem"), F.col("n").cast("long").alias("n"))
+    if required:
+        counts = rows.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in required])
+        told = told.unionByName(say(counts.select(F.inline(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).alias("n")) for c in required]))), F.col("c"), "null"))
+    again = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").agg(F.count(F.lit(1)).alias("n"))
+    return told.unionByName(say(again, F.lit(",".join(key)), "key"))
+
+
 def classify_first(rows: DataFrame, rules: Sequence[tuple[Column, str]], default: str, name: str = "verdict") -> DataFrame:
     """Rows with the verdict of the first rule that holds; the order decides."""
     chain = F.when(rules[0][0], rules[0][1])

@@ -31,6 +31,21 @@ def integer_text(value: Column) -> Column:
     return F.when(number.between(1, MAX_SAFE), number)
 
 
+def shaped(value: Column, shape: str) -> Column:
+    """Whether a text has one of the shapes of this module as a whole; null hasn't."""
+    return F.coalesce(value.rlike(shape), F.lit(False))
+
+
+def one_of(value: Column, allowed: tuple) -> Column:
+    """Whether a value is one of a closed list; null isn't."""
+    return F.coalesce(value.isin(*allowed), F.lit(False))
+
+
+def constant(value: Column, wanted: object) -> Column:
+    """Whether a value is just this one."""
+    return value.eqNullSafe(F.lit(wanted))
+
+
 def slug(value: Column) -> Column:
     return F.coalesce(value.rlike(SLUG) & (F.length(value) <= 64), F.lit(False))
 

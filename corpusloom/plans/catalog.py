@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.plans import relational, release, stores, structure, texts, validation
+from corpusloom.plans import relational, release, sources, stores, structure, texts, validation
 
-MODULES = (relational, structure, texts, validation, stores, release)
+MODULES = (relational, structure, texts, validation, stores, release, sources)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

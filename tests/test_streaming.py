@@ -50,3 +50,12 @@ def test_batches_are_kept_once_and_old_folders_go(spark, tmp_path):
     assert sorted(map(tuple, ingest.read_table(spark, root).collect())) == [(0, 6, "v6"), (1, 7, "v7"), (2, 5, "v5"), (99, 7, "same")]
     write(frame().limit(0), 8)
     assert len(list((tmp_path / "table" / "data").iterdir())) <= 2 + ingest.KEPT * 2 and ingest.read_table(spark, root).count() == 4
+
+
+def test_events_that_come_again_count_once(spark, tmp_path):
+    rows = [(1, "2024-01-01 00:00:00", "a"), (1, "2024-01-01 00:01:00", "a"), (2, "2024-01-01 00:02:00", "b")]
+    spark.createDataFrame(rows, "event_id long, ts string, event_type string").selectExpr("event_id", "cast(ts as timestamp_ntz) as ts", "event_type").write.parquet(str(tmp_path / "in"))
+    schema = spark.read.parquet(str(tmp_path / "in")).schema
+    stream = ingest.distinct_events(ingest.new_files(spark, str(tmp_path / "in"), schema), "event_id")
+    stream.writeStream.format("memory").queryName("once").outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    assert sorted(r.event_id for r in spark.table("once").collect()) == [1, 2]
