@@ -352,7 +352,8 @@ def round_trip(documents: DataFrame, path: str | None = None, id_col: str = "doc
     """Encode each whole text and decode its ids again.
 
     Returns doc_id, n_tokens, ids_sha256 and decoded_sha256. A null text counts
-    as an empty one, with 0 tokens; rows with equal or null ids each give a
+    as an empty one, with 0 tokens; a very long one is encoded a segment at a
+    time, and a segment goes on to the next white space, however far that is; rows with equal or null ids each give a
     row; other columns are ignored.
     """
     path = path or tokenizer_path("word_bpe_49k.json")

@@ -173,7 +173,8 @@ def pack(documents: DataFrame, path: str | None = None, window: int = WINDOW, id
     """Pack all documents; a row for each piece.
 
     Returns doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
-    A null text counts as empty and gives its end id alone. Rows with equal or
+    A null text counts as empty and gives its end id alone; a very long text is
+    encoded as a whole, its ids being held by its task, and cut into windows. Rows with equal or
     null ids are packed each; an empty table gives no rows; other columns are
     ignored. Pieces are the same on each run; which of several pieces with equal length
     lies where depends on a hash of doc_id and start.

@@ -202,8 +202,11 @@ def find(documents: DataFrame, threshold: float = 0.5, id_col: str = "doc_id", t
     """Personal data in each whole text.
 
     Returns doc_id, n_email, n_ip, n_card, n_phone (base spans), base_sha256
-    and spans. Null texts count as empty and have no spans; repeated rows and
-    null ids give a row each; other columns are ignored.
+    and spans. Null texts count as empty and have no spans; very long texts are
+    gone through in runs of bounded length; repeated rows and null ids give a
+    row each; an empty table gives no rows. Spans of one kind don't overlap,
+    those of different kinds may; of spans that start at the same place the
+    kinds follow each other as they are listed. Other columns are ignored.
     """
     rows = staged(candidates(only(documents, doc_id=id_col, text=text_col)), "pii")
     counted = rows.select(F.explode("found").alias("c")).groupBy("c.kind", "c.votes").agg(F.count(F.lit(1)).alias("n"))

@@ -147,7 +147,8 @@ def write(documents: DataFrame, folder: str, path: str | None = None, length: in
 def digest(documents: DataFrame, path: str | None = None, folder: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Write all documents and read the files back: doc_id, start, n_tokens, ids_crc32.
 
-    Null texts count as empty and give their end id alone; rows with a null id
+    Null texts count as empty and give their end id alone; a very long text is
+    encoded as a whole, its ids being held by its task, and fills rows and batches as it goes; rows with a null id
     come first and rows with equal ids next to each other, in the order of their first 64 code points and then of a hash of the text, each with its own place; an empty table
     gives no files and no rows; other columns are ignored.
     """

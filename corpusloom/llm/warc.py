@@ -224,11 +224,11 @@ def _replace(system: pa.fs.FileSystem, name: str, final: str) -> None:
 _WRITTEN = "file string, ordinal int, page_id long, bytes long, same binary"
 
 
-def write_whole(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+def write_whole(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", file_bytes: int = FILE_BYTES, file_records: int = FILE_RECORDS) -> DataFrame:
     """Archive pages as responses, each file one gzip stream: (file, ordinal, page_id, bytes, same) for each record.
 
-    ``same`` is a digest that equal payloads share. A file has FILE_BYTES of
-    payload or FILE_RECORDS records at most, or one record.
+    ``same`` is a digest that equal payloads share. A file has ``file_bytes``
+    of payload or ``file_records`` records at most, or one record.
     """
     prepare(pages.sparkSession)
     rows = only(pages, page_id=id_col, url=url_col, html=html_col)
@@ -255,7 +255,7 @@ def write_whole(pages: DataFrame, folder: str, id_col: str = "page_id", url_col:
         for batch in batches:
             for page_id, url, html in zip(batch.column("page_id"), batch.column("url"), batch.column("html"), strict=True):
                 page_id, url, payload = page_id.as_py(), url.as_py(), html.as_py()
-                if out is not None and (size + len(payload) > FILE_BYTES or len(listed) == FILE_RECORDS):
+                if out is not None and (size + len(payload) > file_bytes or len(listed) == file_records):
                     yield close()
                 if out is None:
                     final, name = f"part-{part:06d}-{number:04d}.warc.gz", f"{base}/.attempt-{attempt}-{number:04d}"
@@ -359,7 +359,7 @@ def index(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(SIDECAR).json(folder, pathGlobFilter="*.index.json")
 
 
-def read(spark: SparkSession, folder: str, wanted: DataFrame | None = None) -> DataFrame:
+def read(spark: SparkSession, folder: str, wanted: DataFrame | None = None, read_bytes: int = READ_BYTES) -> DataFrame:
     """Response and revisit records at the places that their sidecars give: page_id, payload_bytes, payload_digest, record_type, refers_to.
 
     Large files are read by several tasks. ``wanted`` takes the place of the
@@ -368,7 +368,7 @@ def read(spark: SparkSession, folder: str, wanted: DataFrame | None = None) -> D
     """
     prepare(spark)
     places = (index(spark, folder) if wanted is None else wanted).filter(F.col("type").isin("response", "revisit"))
-    dealt = places.select("file", "offset", "length", F.floor(F.col("offset") / READ_BYTES).alias("_range")).repartition("file", "_range").sortWithinPartitions("file", "offset")
+    dealt = places.select("file", "offset", "length", F.floor(F.col("offset") / read_bytes).alias("_range")).repartition("file", "_range").sortWithinPartitions("file", "offset")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, base = _files(folder)

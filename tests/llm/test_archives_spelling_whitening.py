@@ -264,3 +264,23 @@ def test_centring_keeps_large_numbers():
     sums = whitening._column_sums(x)
     assert sums.tolist() == [2**62 - 3, 2] and whitening.centred(x, 2, sums).tolist() == [[3, -12], [-3, 12]]
     assert whitening.pack(np.array([1_000_000, 1_000_001]))[0] == 2 and whitening.unpack([whitening.pack(np.array([2**40, 3]) + 1_000_000)]).tolist() == [[2**40, 3]]
+
+
+@pytest.mark.parametrize(("most", "size"), [(7, 1 << 20), (1000, 900), (1000, 1)])
+def test_files_of_bounded_size(spark, tmp_path, most, size):
+    rows = [(i, f"u{i}", f"page {i} " * (i % 5 + 1) + "x" * (1000 if i % 4 == 0 else 0)) for i in range(50)]
+    folders = f"file://{tmp_path}/whole", f"file://{tmp_path}/out"
+    table = pages(spark, rows).coalesce(1)
+    written = warc.write_whole(table, folders[0], file_records=most, file_bytes=size).collect()
+    per_file = collections.Counter(w.file for w in written)
+    payload = collections.Counter()
+    for w in written:
+        payload[w.file] += w.bytes
+    assert sorted(w.page_id for w in written) == list(range(50)) and max(per_file.values()) <= most and all(payload[f] <= size or n == 1 for f, n in per_file.items()) and len(per_file) > 4
+    assert {f: sorted(w.ordinal for w in written if w.file == f) for f in per_file} == {f: list(range(n)) for f, n in per_file.items()}
+    again = warc.repeats(spark.createDataFrame(written), least=1000)
+    assert warc.normalise(spark.createDataFrame([(f,) for f in per_file], "file string"), *folders, again) == 50
+    got = warc.read(spark, folders[1], read_bytes=300).collect()
+    assert sorted(r.page_id for r in got) == list(range(50)) and all(r.payload_digest == hashlib.sha1(rows[r.page_id][2].encode()).hexdigest() for r in got)
+    one = warc.index(spark, folders[1]).filter("ordinal = 0").limit(1)
+    assert warc.read(spark, folders[1], one).count() == 1  # a record by its place alone
