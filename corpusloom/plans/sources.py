@@ -53,7 +53,7 @@ def markup_lines(spark: SparkSession, d: str) -> DataFrame:
 
 def caption_keys(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "events").select("event_id", "user_id")
-    raw = F.concat(F.lit(" FICHA  Artículo\t"), F.col("event_id").cast("string"), F.when(F.col("user_id") % 2 == 0, " BIS ").otherwise(""))
+    raw = F.concat(F.lit(" FICHA\xa0 Arti\u0301culo\t"), F.col("event_id").cast("string"), F.when(F.col("user_id") % 2 == 0, " BIS ").otherwise(""))
     return e.select("event_id", X.caption(raw).alias("caption"), X.caption_key(raw).alias("caption_key"))
 
 
