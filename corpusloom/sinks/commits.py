@@ -15,14 +15,14 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.operators import loading
+from corpusloom.operators import links, loading
 from corpusloom.operators.gates import Refused
 
 #: Times that a writer tries again after another was first.
@@ -173,19 +173,32 @@ class Log:
         """Rebuild a relation in other columns (name, type, default): kept ones as they are, new ones with their default."""
         return self.rewrite(relation, lambda df: loading.backfill(df, schema), "migrate")
 
-    def vacuum(self, keep: int = 1) -> int:
-        """Remove data folders that none of the last ``keep`` versions names; returns how many. No other writer may be staging."""
-        versions = self.versions()[-keep:]
-        named = {f for v in versions for folders in self.state(v).folders.values() for f in folders}
-        gone = 0
+    def residue(self, keep: int = 1) -> list[str]:
+        """Data folders that none of the last ``keep`` versions names: left by writers that failed or lost, or by versions gone by."""
+        named = {f for v in self.versions()[-keep:] for folders in self.state(v).folders.values() for f in folders}
+        out = []
         for relation in self._fs.listStatus(self._path(self.root)):
             name = relation.getPath().getName()
             if relation.isDirectory() and name != "_log":
-                for folder in self._fs.listStatus(relation.getPath()):
-                    mine = f"{name}/{folder.getPath().getName()}"
-                    if not any(f == mine or f.startswith(f"{mine}/") for f in named):
-                        gone += self._fs.delete(folder.getPath(), True)
-        return gone
+                mine = [f"{name}/{folder.getPath().getName()}" for folder in self._fs.listStatus(relation.getPath())]
+                out += [m for m in mine if not any(f == m or f.startswith(f"{m}/") for f in named)]
+        return sorted(out)
+
+    def vacuum(self, keep: int = 1) -> int:
+        """Remove the residue; returns how many folders. No other writer may be staging."""
+        return sum(self._fs.delete(self._path(f"{self.root}/{f}"), True) for f in self.residue(keep))
+
+    def preflight(self, some: Sequence[links.Link], keep: int = 1) -> DataFrame:
+        """(code, detail, n) of what should not be there before relations are rebuilt: residue of writers, and children without parent over the links between stored relations."""
+        state = self.state()
+        left = [("residue", f, 1) for f in self.residue(keep)]
+        out = self.spark.createDataFrame(left, "code string, detail string, n long")
+        known = [k for k in some if {k.child, k.parent} <= state.schemas.keys()]
+        if known:
+            tables = {r: self.read(r, state) for r in {x for k in known for x in (k.child, k.parent)}}
+            lost = links.violations(tables, known).filter("n > 0")
+            out = out.unionByName(lost.select(F.lit("link").alias("code"), F.col("name").alias("detail"), "n"))
+        return out
 
 
 def _nullable(schema: T.StructType) -> dict:

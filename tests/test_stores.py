@@ -124,7 +124,7 @@ def test_commit_log(spark, tmp_path):
         log.append("t", rows(1))
     log.migrate("t", [("id", "long", None), ("k", "string", None), ("more", "long", 7)])
     assert sorted(map(tuple, log.read("t").collect())) == [(1, "10", 7), (4, "5", 7), (5, "40", 7)] and log.state().high["t"] == 5
-    assert log.vacuum(2) == 1 and len(log.read("t", log.state(3)).collect()) == 3
+    assert len(log.residue(2)) == 1 and log.vacuum(2) == 1 and log.residue(2) == [] and len(log.read("t", log.state(3)).collect()) == 3
     log.delete("t", F.lit(True))
     assert log.read("t").count() == 0 and log.read("t").columns == ["id", "k", "more"]
     with pytest.raises(Refused, match="version-missing"):
@@ -191,3 +191,18 @@ def test_a_number_with_a_capital_accent_is_canonical(spark):
     captures.ensure_checkpoints(spark)
     found = extraction.extract(spark.createDataFrame([(1, html)], "doc long, html string"))
     assert [r.number for r in found.articles.orderBy("doc_order").collect()] == ["10 quáter", "11 quáter"]
+
+
+def test_preflight_names_residue_and_lost_parents(spark, tmp_path):
+    from corpusloom.operators.links import Link
+
+    log = commits.Log(spark, f"file://{tmp_path}/log")
+    log.append("parent", spark.createDataFrame([(1,), (2,)], "k long"))
+    log.append("child", spark.createDataFrame([(1,), (3,), (None,)], "p long"))
+    some = [Link("child_parent", "child", ("p",), "parent", ("k",)), Link("other", "x", ("p",), "parent", ("k",))]
+    assert {tuple(r) for r in log.preflight(some).collect()} == {("link", "child_parent", 1)}
+    lost = log.stage(spark.createDataFrame([(9,)], "k long"), "parent")
+    assert {tuple(r) for r in log.preflight(some).collect()} == {("residue", lost, 1), ("link", "child_parent", 1)}
+    log.delete("child", F.col("p") == 3)
+    log.vacuum()
+    assert log.preflight(some).isEmpty()
