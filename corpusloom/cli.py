@@ -43,7 +43,9 @@ def parse(argv: list[str], cwd: str, repo: str) -> dict[str, str]:
 FIXTURE_SET = "fixtures-v1"
 #: Names of the two grammars in the catalog's digest.
 WORD, TREATY = "word", "treaty"
-REGISTRY = "array<struct<slug:string,fixture:string,id:long,version_id:long,number:string,name:string,tipo:long,date:string,source_url:string,imported_at:string,treaty:boolean,rules:string,allows_zero_ficha:boolean,articles:long,warnings:array<string>>>"
+#: What the registry may admit for an authority: headers with the fifth suffix, headers of looser shapes.
+FIFTH, LOOSE = "fifth", "loose"
+REGISTRY = "array<struct<slug:string,fixture:string,id:long,version_id:long,number:string,name:string,tipo:long,date:string,source_url:string,imported_at:string,treaty:boolean,rules:string,allows_zero_ficha:boolean,articles:long,warnings:array<string>,admits:array<string>>>"
 
 
 def authorities(spark, registry: str):
@@ -136,12 +138,13 @@ def policy_of(spark, path: str, found, listed) -> tuple:
 def build(spark, fixtures: str, out: str, registry: str, sources: str | None = None, policy: str | None = None) -> dict:
     """Read, extract, check and publish; the registry is a JSON array of authorities with the name of their capture.
 
+    All authorities go through at once, each by the rules of its context.
     ``sources`` is a folder with a catalog and sidecars, whose faults stop the
     build; ``policy`` a file of reviewed classes of source units.
     """
     from pyspark.sql import functions as F
 
-    from corpusloom.operators import extraction, gates, identity, manifest
+    from corpusloom.operators import extraction, gates, identity, manifest, rules
     from corpusloom.session import ship
     from corpusloom.sinks import publish
     from corpusloom.sources import captures
@@ -158,25 +161,26 @@ def build(spark, fixtures: str, out: str, registry: str, sources: str | None = N
         docs, found_faults = reviewed_sources(spark, sources)
         for part in found_faults:  # files that can't be read first
             gates.require_none(part)
-    made, ledgers = [], []
-    for rules in (WORD, TREATY):
-        mine, captured = listed.filter(F.col("rules") == rules), rows.filter(F.col("rules") == rules).withColumn("doc", F.col("id"))
-        found = extraction.extract(captured.select("doc", "html"), rules == TREATY)
-        if policy:
-            classes, policy_faults = policy_of(spark, policy, found, mine)
-            gates.require_none(gates.union(policy_faults))
-            found = extraction.extract(captured.select("doc", "html"), rules == TREATY, classes.checkpoint())
-        approved = mine.select(F.col("id").alias("doc"), F.explode("warnings").alias("warning"))
-        gates.require_none(gates.union(source_faults(captured, found)))
-        gates.require_none(gates.union([*gates.publishable(found.warnings, approved, found.dropped), *gates.ledger_gaps(found.gaps, found.ledger), counts_as_registered(found, mine)]))
-        made.append(manifest.relations(found, mine.select("id", "version_id", "number", "name", "tipo", "date", "source_url", "imported_at")))
-        ledgers.append(found.ledger.join(mine.select(F.col("id").alias("doc"), "slug"), "doc").select("slug", F.col("order").alias("ordinal"), "source_unit_id", "kind", "reason"))
-    tables = {n: made[0][n].unionByName(made[1][n]) for n in made[0]}
+    admitted = {what: [(r.id, r.version_id) for r in listed.filter(F.array_contains("admits", what)).select("id", "version_id").collect()] for what in (FIFTH, LOOSE)}  # a row for each authority
+    table = rules.standard(spark, admitted[FIFTH], admitted[LOOSE])
+    contexts = listed.select(F.col("id").alias("doc"), F.col("rules").alias("template"), F.col("id").alias("authority"), F.col("version_id").alias("version"))
+    captured = rows.withColumn("doc", F.col("id"))
+    extracted = lambda classes=None: extraction.extract(captured.select("doc", "html"), policy=classes, classify=lambda lines: rules.events(lines, contexts, table))
+    found = extracted()
+    if policy:
+        classes, policy_faults = policy_of(spark, policy, found, listed)
+        gates.require_none(gates.union(policy_faults))
+        found = extracted(classes.checkpoint())
+    approved = listed.select(F.col("id").alias("doc"), F.explode("warnings").alias("warning"))
+    gates.require_none(gates.union(source_faults(captured, found)))
+    gates.require_none(gates.union([*gates.publishable(found.warnings, approved, found.dropped), *gates.ledger_gaps(found.gaps, found.ledger), counts_as_registered(found, listed)]))
+    tables = manifest.relations(found, listed.select("id", "version_id", "number", "name", "tipo", "date", "source_url", "imported_at"))
+    ledgers = found.ledger.join(listed.select(F.col("id").alias("doc"), "slug"), "doc").select("slug", F.col("order").alias("ordinal"), "source_unit_id", "kind", "reason")
 
     def describe(back):
         measures = manifest.measure(back).join(listed.select(F.col("id").alias("norma_id"), "slug", "ordinal"), "norma_id")
         sidecars = (rows if docs is None else docs).select("slug", F.col("sha256").alias("digest"))
-        evidence = identity.evidence(*digests(rows), sidecars, ledgers[0].unionByName(ledgers[1]), measures)
+        evidence = identity.evidence(*digests(rows), sidecars, ledgers, measures)
         return manifest.build(measures, evidence.first()[0], FIXTURE_SET)
 
     keys = {"slug": "slug", "docId": "id", "versionId": "version_id", "name": "name", "articleCount": "articles"}

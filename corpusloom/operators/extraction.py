@@ -6,6 +6,7 @@ Python. Everything else is windows and joins over (doc, line).
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -51,19 +52,23 @@ def _body(heads: DataFrame, lines: DataFrame, start: str, end: str) -> DataFrame
     return joined.withColumn("body", F.trim(F.concat_ws(" ", F.when(F.col("tail") != "", F.col("tail")), "_rest"))).drop("_rest", "tail")
 
 
-def extract(captures: DataFrame, treaty: bool = False, policy: DataFrame | None = None, fifth_admitted: Column | None = None, recover: bool = False) -> Extracted:
+def extract(captures: DataFrame, treaty: bool = False, policy: DataFrame | None = None, fifth_admitted: Column | None = None, recover: bool = False, classify: Callable[[DataFrame], DataFrame] | None = None) -> Extracted:
     """Relations from captures (doc, html).
 
     With ``recover`` headers of looser shapes count too, where their own
-    terminator follows.
+    terminator follows. ``classify`` gives the events of lines instead, as
+    rules.events() does for documents of several contexts at once.
 
     ``policy`` has reviewed classes of source units that no unit takes: (doc,
     source_unit_id, kind, reason), kinds and reasons as in APPROVED.
     """
     parsed = markup.parse(captures, "doc", "html").checkpoint()
     lines = markup.lines_in(parsed)
-    events = grammar.classified(lines, treaty, fifth_admitted)
-    events = (grammar.recovered(lines, events) if recover else events).checkpoint()
+    if classify is None:
+        events = grammar.classified(lines, treaty, fifth_admitted)
+        events = (grammar.recovered(lines, events) if recover else events).checkpoint()
+    else:
+        events = classify(lines.select("doc", "line", "text")).checkpoint()
     source = lines.filter("event is not null").select("doc", "line", "event.*")
 
     heads = segmentation.tree_parent(events.filter("kind = 'H'")).select("doc", "line", "heading", "level", "text", "parent_line")
@@ -78,7 +83,7 @@ def extract(captures: DataFrame, treaty: bool = False, policy: DataFrame | None
     unit = grammar.TREATY_UNIT if treaty else grammar.UNIT
     units = segmentation.units(events)
     found = units.filter("head_line is not null")
-    first = events.filter("kind = 'A'").select("doc", F.col("line").alias("head_line"), "number", "ordinal_raw", trim(F.regexp_replace("text", unit, "")).alias("tail"))
+    first = events.filter("kind = 'A'").select("doc", F.col("line").alias("head_line"), "number", "ordinal_raw", F.col("tail") if classify else trim(F.regexp_replace("text", unit, "")).alias("tail"))
     if recover:
         for shape in (grammar.RECOVERED_SUFFIXED, grammar.RECOVERED_OPEN):
             first = first.withColumn("tail", trim(F.regexp_replace("tail", shape, "")))

@@ -57,7 +57,7 @@ def rules_in_context(spark: SparkSession, d: str) -> DataFrame:
     lines = e.join(texts, F.col("line") % len(LINES) == F.col("_i")).drop("_i")
     which = F.broadcast(spark.createDataFrame([(i, *c) for i, c in enumerate(CONTEXTS)], "_c long, template string, authority long, version long"))
     contexts = e.select("doc").distinct().join(which, F.col("doc") % len(CONTEXTS) == F.col("_c")).drop("_c")
-    return rules.classified(lines, contexts, rules.standard(spark, (2, 20), (3, 30))).select("doc", "line", "kind")
+    return rules.classified(lines, contexts, rules.standard(spark, [(2, 20)], [(3, 30)])).select("doc", "line", "kind")
 
 
 def json_differences(spark: SparkSession, d: str) -> DataFrame:

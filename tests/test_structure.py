@@ -241,3 +241,21 @@ def test_a_build_with_sources_and_policy(spark, tmp_path):
 def test_arguments_for_sources_and_policy():
     got = cli.parse(["--sources", "s", "--policy=p"], "/w", "/r")
     assert got["sources"] == "/w/s" and got["policy"] == "/w/p"
+
+
+def test_contexts_decide_what_a_build_admits(spark, tmp_path):
+    """The same lines in three authorities: only those that the registry admits have the odd headers."""
+    (tmp_path / "in").mkdir()
+    anchor = lambda n, v, unit: f"<a onclick='handleArticuloClick({n},0,{v},{unit})'>Ficha Artículo {n}</a>"
+    registry = []
+    for i, admits in ((1, None), (2, ["fifth"]), (3, ["loose"])):
+        odd = f"<html><p>ARTÍCULO 4 quinquies.- cinco</p></html>{anchor(4, i, i * 10 + 4)}<html><p>Artículo 5 septies : siete</p></html>{anchor(5, i, i * 10 + 5)}<html><p>Artículo 6 quinquies º no</p></html>{anchor(6, i, i * 10 + 6)}"
+        (tmp_path / "in" / f"{i}.json").write_text(json.dumps({"html": f"<html><p>ARTÍCULO 1.- uno</p></html>{anchor(1, i, i * 10 + 1)}{odd}"}))
+        made = {1: 1, 2: 2, 3: 3}[i]
+        said = [f'extractor returned {made} articles but the source contains 8 "ARTICULO N" occurrence(s) — possible off-template or many dropped']
+        registry.append({"slug": f"s{i}", "fixture": f"{i}.json", "id": i, "version_id": i, "treaty": False, "articles": made, "warnings": said, "admits": admits, "number": "1", "name": "x", "tipo": 1, "date": "d", "source_url": "u", "imported_at": "i"})
+    (tmp_path / "registry.json").write_text(json.dumps(registry))
+    made = cli.build(spark, str(tmp_path / "in"), f"file://{tmp_path}/out", str(tmp_path / "registry.json"))
+    assert [n["articleCount"] for n in made["normas"]] == [1, 2, 3] and [n["gapCount"] for n in made["normas"]] == [3, 2, 1]
+    _, tables = publish.current(spark, f"file://{tmp_path}/out")
+    assert {(r.norma_id, r.number, r.body) for r in tables["article"].collect()} == {(1, "1", "uno"), (2, "1", "uno"), (3, "1", "uno"), (2, "4 quinquies", "cinco"), (3, "4 quinquies", "cinco"), (3, "5 septies", "siete")}
