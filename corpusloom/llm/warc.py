@@ -37,7 +37,7 @@ from corpusloom.llm.components import small_or_shuffled
 #: Bytes of payload from which equal records are revisits; of payloads and records in a file; of compressed bytes read by one task.
 LEAST, FILE_BYTES, FILE_RECORDS, READ_BYTES = 1000, 1 << 28, 100_000, 1 << 25
 #: Bytes that are inflated or deflated at a time, and bytes of a header that may be looked at.
-PIECE, HEADER = 1 << 16, 1 << 20
+PIECE, HEADER = 1 << 16, 1 << 24
 #: Fixed values of the format.
 VERSION, DATE, END = "WARC/1.1", "1970-01-01T00:00:00Z", b"\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
