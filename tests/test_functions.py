@@ -2,6 +2,7 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -60,6 +61,17 @@ def test_markup_lines_and_faults():
     assert markup.fragments("a<html>b</html> <HTML x>c</HTML>d") == ["a", "<html>b</html>", "<HTML x>c</HTML>", "d"]
 
 
+def test_a_parse_holds_few_payloads_at_once(spark):
+    pages = ["<p>a<br>b</p>" * 100, None, "", "x" * (markup.HELD + 1), *["<p>é</p>" + "e" * (markup.HELD // 3 - 8)] * 8]
+    parts = list(markup.parsed_parts([pa.array(pages, pa.string()), pa.array(["<p>c</p>"]), pa.array([], pa.string())]))
+    sizes = [len(p) for p in parts]
+    assert sizes == [3, 1, 3, 3, 2, 1]
+    lines = [[line["text"] for line in row["lines"]] for p in parts for row in p.to_pylist()]
+    assert lines == [[t for t, _ in markup.lines_of(p or "")[0]] for p in pages] + [["c"]]
+    got = markup.line_stream(spark.createDataFrame(list(enumerate(pages)), "i long, t string").coalesce(1), "i", "t").groupBy("doc").count().collect()
+    assert {r.doc: r["count"] for r in got} == {i: len(x) for i, x in enumerate(lines[:-1]) if x}
+
+
 @pytest.mark.parametrize(
     ("data", "code"),
     [(b'{"a":1}', None), (b"\xef\xbb\xbf1", "bom"), (b"\xff", "utf8"), (b'{"a":1,"\\u0061":2}', "repeated-key"), (b"-1", "number"), (b"1.5", "number"), (b"01", "number"), (b"1e3", "number"), (b"9007199254740992", "number"), (b'"\\ud800"', "surrogate"), (b'"\x01"', "syntax"), (b"[" * 65 + b"]" * 65, "depth"), (b"1 2", "syntax"), (b'"a\\"[-1"', None)],
