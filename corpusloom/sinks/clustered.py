@@ -22,9 +22,7 @@ def write(rows: DataFrame, folder: str, key: str, order: Sequence[str], files: i
     spark = rows.sparkSession
     n = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
     (rows.repartitionByRange(n, key, *order).sortWithinPartitions(key, *order).write.mode("errorifexists").parquet(f"{folder}/data"))
-    name = F.regexp_extract("_metadata.file_path", r"([^/]+)$", 1)
-    ranges = spark.read.parquet(f"{folder}/data").groupBy(name.alias("file")).agg(F.min(key).alias("low"), F.max(key).alias("high"), F.count(F.lit(1)).alias("rows"), F.count_if(F.col(key).isNull()).alias("nulls"))
-    ranges.coalesce(1).write.parquet(f"{folder}/{RANGES}")
+    ranges_of(spark.read.parquet(f"{folder}/data"), key).coalesce(1).write.parquet(f"{folder}/{RANGES}")
     known = spark.read.parquet(f"{folder}/{RANGES}")
     count, nulls = known.agg(F.count(F.lit(1)), F.coalesce(F.sum("nulls"), F.lit(0))).first()
     if nulls:
@@ -32,6 +30,11 @@ def write(rows: DataFrame, folder: str, key: str, order: Sequence[str], files: i
     return count
 
 
+def ranges_of(data: DataFrame, key: str) -> DataFrame:
+    """(file, low, high, rows, nulls) of each file; the name is the file's own, so that no text is worked on row by row."""
+    return data.groupBy(F.col("_metadata.file_name").alias("file")).agg(F.min(key).alias("low"), F.max(key).alias("high"), F.count(F.lit(1)).alias("rows"), F.count_if(F.col(key).isNull()).alias("nulls"))
+
+
 def files_of(spark: SparkSession, folder: str, low: object, high: object) -> list[str]:
     """The files that may hold keys from low to high, in order; as many as there are, never all rows."""
     ranges = spark.read.parquet(f"{folder}/{RANGES}").filter((F.col("low") <= F.lit(high)) & (F.col("high") >= F.lit(low)))

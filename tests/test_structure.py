@@ -138,6 +138,18 @@ def test_a_key_reads_its_files_only_and_in_order(spark, tmp_path):
         clustered.write(rows.withColumn("k", F.lit(None).cast("long")), f"file://{tmp_path}/u", "k", ["o"], 2)
 
 
+def test_ranges_do_no_work_on_text_row_by_row(spark, tmp_path):
+    rows = spark.range(1000).selectExpr("id % 10 as k", "id as o")
+    folder = f"file://{tmp_path}/odd name%20/t"
+    n = clustered.write(rows, folder, "k", ["o"], 5)
+    data = spark.read.parquet(f"{folder}/data")
+    ranges = clustered.ranges_of(data, "k")
+    assert "regexp" not in ranges._jdf.queryExecution().optimizedPlan().toString()
+    assert ranges.count() == n and ranges.agg(F.sum("rows")).first()[0] == 1000
+    assert {r.file for r in ranges.collect()} == {r.f for r in data.select(F.regexp_extract("_metadata.file_path", r"([^/]+)$", 1).alias("f")).distinct().collect()}
+    assert clustered.scan(spark, folder, "k", 3, 4).count() == 200
+
+
 def compared(spark, a, b, **options):
     table = lambda v: spark.createDataFrame([(1, v if isinstance(v, str) or v is None else json.dumps(v))], "doc int, t string")
     return {tuple(r)[1:] for r in differences.differences(table(a), table(b), ["doc"], "t", **options).collect()}
