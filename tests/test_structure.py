@@ -168,6 +168,18 @@ def test_differences_name_each_place(spark):
     assert {(p, q) for p, q, *_ in compared(spark, want, have)} == {("$.id.type", "value"), ("$.id.key", "value"), ("$.v.nullable", "value"), ("$.v.default", "kind"), ("$.v.key", "value"), ("$.w", "unknown")}
 
 
+def test_differences_join_documents_once(spark):
+    a = spark.createDataFrame([(1, '{"x":{"y":[1]}}'), (2, '{"x":[0,{"q":1}]}'), (3, "1"), (4, "{"), (5, "[1]"), (None, '{"z":1}')], "doc int, t string")
+    b = spark.createDataFrame([(1, '{"x":{"y":[1]}}'), (2, '{"x":{"0":0},"w":{"v":1}}'), (4, "{"), (5, "[1.0]"), (6, '"s"')], "doc int, t string")
+    df = differences.differences(a, b, ["doc"], "t", ordered=True)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1 and plan.count("ArrowEvalPython") == 1
+    assert {tuple(r) for r in df.collect()} == {
+        (2, "$.x", "kind", None, None), (2, "$.x[0]", "missing", "0", None), (2, "$.x[1]", "missing", None, None), (2, '$.x["0"]', "unknown", None, "0"), (2, "$.w", "unknown", None, None),
+        (3, "$", "missing", "1", None), (5, "$[0]", "value", "1", "1.0"), (6, "$", "unknown", None, "s"), (None, "$", "missing", None, None),
+    }
+
+
 def good_manifest():
     row = lambda i: {"slug": f"s{i}", "docId": i, "versionId": i + 1, "name": f"n{i}", "articleCount": 2, "transitoryCount": 1, "gapCount": i, "frontMatter": "present" if i else "absent", "sourceUnitCoordinates": 3, "contentHash": "0" * 16, "contentIdentity": "1" * 16, "adoptedContentIdentity": "a" * 16}
     m = {"formatVersion": 3, "schemaVersion": 2, "fixtureSet": "f", "builtAt": "2026-01-01T00:00:00.000Z", "releaseGenerationId": "b" * 16, "identityAlgorithms": {"adopted": "corpus-authority-v2", "releaseEvidence": "corpus-release-evidence-v2"}}
